@@ -53,5 +53,6 @@ def preview(text: Column, width: int = 100) -> Column:
 
 
 def fixed_point(value: Column, digits: int) -> Column:
-    """Number as text with exactly `digits` decimals."""
-    return F.format_string(f"%.{digits}f", F.round(value.cast("double"), digits))
+    """Number as text with exactly `digits` decimals; null for null."""
+    shown = F.format_string(f"%.{digits}f", F.round(value.cast("double"), digits))
+    return F.when(value.isNotNull(), shown)

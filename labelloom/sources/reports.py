@@ -89,20 +89,13 @@ def preparation_report(counts: DataFrame, sizes: DataFrame, source: str, n_colum
         return spark.createDataFrame(rows, "block int, place int, line string")
 
     totals = counts.agg(F.sum("n").alias("n"), F.count("*").alias("k"))
+    texts = [
+        F.concat(F.lit("- Total samples: "), F.col("n").cast("string")),
+        F.lit(f"- Features: {n_columns}"),
+        F.concat(F.lit("- Classes: "), F.col("k").cast("string")),
+    ]
     about = totals.select(
-        F.inline(
-            F.array(
-                F.struct(
-                    F.lit(1).alias("block"),
-                    F.lit(0).alias("place"),
-                    F.concat(F.lit("- Total samples: "), F.col("n").cast("string")).alias("line"),
-                ),
-                F.struct(F.lit(1), F.lit(1), F.lit(f"- Features: {n_columns}")),
-                F.struct(
-                    F.lit(1), F.lit(2), F.concat(F.lit("- Classes: "), F.col("k").cast("string"))
-                ),
-            )
-        )
+        F.lit(1).alias("block"), F.posexplode(F.array(*texts)).alias("place", "line")
     )
     classes = counts.select(
         F.lit(3).alias("block"),
@@ -149,12 +142,11 @@ def report_lines(spark: SparkSession, path: str) -> DataFrame:
     Reports are a few lines each; they are read whole so that line order is certain.
     """
     files = (
-        spark.read.option("wholetext", True)
-        .option("recursiveFileLookup", True)
-        .text(path)
+        spark.read.text(path, wholetext=True, recursiveFileLookup=True)
         .select(F.col("_metadata.file_path").alias("file"), "value")
     )
-    return files.select("file", F.posexplode(F.split("value", "\n")).alias("line_no", "line"))
+    body = F.regexp_replace("value", r"\n\z", "")
+    return files.select("file", F.posexplode(F.split(body, "\n")).alias("line_no", "line"))
 
 
 def report_parse(lines: DataFrame, by: str = "file") -> DataFrame:
