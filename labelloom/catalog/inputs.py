@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from labelloom.operators.clean import prepare
+from labelloom.plans.spread import spread
 
 # Labels of the stance views.
 LANG_TO_STANCE = {"en": "in-favor", "fr": "against"}
@@ -38,6 +39,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def spread_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents for work on their texts."""
+    return spread(documents(spark, sf_dir), "doc_id")
+
+
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
 

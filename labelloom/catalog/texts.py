@@ -14,6 +14,7 @@ from labelloom.functions.prompts import TEMPLATES, render_prompt as fill
 from labelloom.functions.sequences import IGNORED, PAD_ID, restore_mask
 from labelloom.functions.text import STOP_WORDS
 from labelloom.operators import classifier, features, labelling, resample, sequences, split
+from labelloom.plans.lookup import settle
 
 
 def literal(text: str) -> str:
@@ -51,7 +52,7 @@ vocabulary AS (
 
 
 def _vocabulary(spark, sf_dir):
-    return sequences.vocabulary(i.documents(spark, sf_dir), "text", 2000)
+    return sequences.vocabulary(i.spread_documents(spark, sf_dir), "text", 2000)
 
 
 @query(f"WITH {VOCABULARY} SELECT token, n, id FROM vocabulary")
@@ -81,9 +82,9 @@ TEXT_IDS = encoded_sql("x", prompt_sql("instruction"), 256)
 TARGET_IDS = encoded_sql("y", "lang", 16)
 
 
-def _encoded(spark, sf_dir):
-    vocab = _vocabulary(spark, sf_dir)
-    pairs = sequences.training_pairs(i.documents(spark, sf_dir), "doc_id", "text", "lang")
+def _encoded(spark, sf_dir, vocab=None):
+    vocab = settle(_vocabulary(spark, sf_dir)) if vocab is None else vocab
+    pairs = sequences.training_pairs(i.spread_documents(spark, sf_dir), "doc_id", "text", "lang")
     return sequences.encode_sequence(pairs, vocab, "doc_id", "text", "label_text")
 
 
@@ -106,8 +107,8 @@ def encode_sequence(spark, sf_dir):
 SELECT doc_id, array_to_string(ids, ' ') AS input_ids FROM x"""
 )
 def truncate_sequence(spark, sf_dir):
-    vocab = _vocabulary(spark, sf_dir)
-    cut = sequences.truncate_sequence(i.documents(spark, sf_dir), vocab, "doc_id", "text", 512)
+    vocab = settle(_vocabulary(spark, sf_dir))
+    cut = sequences.truncate_sequence(i.spread_documents(spark, sf_dir), vocab, "doc_id", "text", 512)
     return cut.select("doc_id", *spaced("input_ids"))
 
 
@@ -118,8 +119,8 @@ def truncate_sequence(spark, sf_dir):
 SELECT doc_id, batch_id, array_to_string({padded_sql("ids", "longest")}, ' ') AS input_ids FROM m"""
 )
 def batch_pad(spark, sf_dir):
-    vocab = _vocabulary(spark, sf_dir)
-    cut = sequences.truncate_sequence(i.documents(spark, sf_dir), vocab, "doc_id", "text", 256)
+    vocab = settle(_vocabulary(spark, sf_dir))
+    cut = sequences.truncate_sequence(i.spread_documents(spark, sf_dir), vocab, "doc_id", "text", 256)
     padded = sequences.batch_pad(split.batch_ids(cut, "doc_id", 16), "input_ids")
     return padded.select("doc_id", "batch_id", *spaced("input_ids"))
 
@@ -147,8 +148,8 @@ SELECT doc_id, coalesce(words, '') AS text FROM documents LEFT JOIN (
   FROM x_p JOIN vocabulary USING (token) GROUP BY doc_id) USING (doc_id)"""
 )
 def decode_sequence(spark, sf_dir):
-    vocab = _vocabulary(spark, sf_dir)
-    return sequences.decode_sequence(_encoded(spark, sf_dir), vocab, "doc_id", "input_ids")
+    vocab = settle(_vocabulary(spark, sf_dir))
+    return sequences.decode_sequence(_encoded(spark, sf_dir, vocab), vocab, "doc_id", "input_ids")
 
 
 @query(
@@ -210,7 +211,7 @@ load_keyword_model = partial(labelling.KeywordModel, **WORD_LISTS)
 
 @query(f"SELECT doc_id, {KEYWORD} AS label_pred, {KEYWORD} AS raw_response FROM documents")
 def batch_label(spark, sf_dir):
-    return labelling.batch_label(i.documents(spark, sf_dir), load_keyword_model, "doc_id", "text")
+    return labelling.batch_label(i.spread_documents(spark, sf_dir), load_keyword_model, "doc_id", "text")
 
 
 @query(f"SELECT conv_id, turn, role, text, {KEYWORD} AS label_pred FROM conversations")
@@ -232,7 +233,7 @@ CONTENT = (
     f"SELECT doc_id, array_to_string({CONTENT.format('text')}, ' ') AS tokens FROM documents"
 )
 def tokenize_words(spark, sf_dir):
-    rows = features.tokenize_words(i.documents(spark, sf_dir), "doc_id", "text")
+    rows = features.tokenize_words(i.spread_documents(spark, sf_dir), "doc_id", "text")
     return rows.select("doc_id", F.array_join("tokens", " ").alias("tokens"))
 
 
@@ -250,7 +251,7 @@ TERMS = f"""occurrences AS (
 
 
 def _parted(spark, sf_dir):
-    rows = i.documents(spark, sf_dir).select("doc_id", "text", "lang")
+    rows = i.spread_documents(spark, sf_dir).select("doc_id", "text", "lang")
     return split.stratified_split(rows, "doc_id", "lang")
 
 

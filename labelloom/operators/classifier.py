@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from labelloom.functions.text import STOP_WORDS, content_words
 from labelloom.operators.clean import label_decode, label_encode, label_index
 from labelloom.operators.features import term_statistics
-from labelloom.plans.lookup import pull_small, settle
+from labelloom.plans.lookup import literal_table, pull_small, settle
 
 
 @dataclass
@@ -68,13 +68,14 @@ def fit_classifier(
         columns.append(F.col(weight).cast("double").alias("__weight"))
     points = coded.select(*columns).persist()
     try:
-        rows = points.count()
+        # The summed loss weighs every row by its weight, as the penalty has to.
+        total = points.agg(F.sum(F.lit(1.0) if weight is None else "__weight")).first()[0]
         learner = LogisticRegression(
             family="multinomial",
             labelCol="__code",
             featuresCol="features",
             maxIter=max_iter,
-            regParam=1.0 / (c * rows),
+            regParam=1.0 / (c * total),
             elasticNetParam=0.0,
             standardization=False,
             tol=tol,
@@ -96,7 +97,7 @@ def coefficients(fitted: TextClassifier, spark) -> DataFrame:
         for code in range(matrix.shape[0])
         for term, value in zip(["", *fitted.terms], [intercepts[code], *matrix[code]])
     ]
-    table = spark.createDataFrame(rows, "encoded_value int, term string, coefficient double")
+    table = literal_table(spark, rows, "encoded_value int, term string, coefficient double")
     return label_decode(table, "encoded_value", fitted.labels).select(
         "label", "term", "coefficient"
     )

@@ -24,21 +24,17 @@ def term_statistics(
 ) -> DataFrame:
     """The `max_features` most frequent terms: index, total count, document frequency, idf.
 
-    Each document sends its terms once as occurrences and once as distinct terms, so
+    Each document sends its tokens once as occurrences and once as distinct terms, so
     both counts come from one aggregate over terms, combined before the shuffle.
     """
     tokens = df.select(content_words(F.col(text), stop_words).alias("tokens"))
-    occurrence = F.transform("tokens", lambda t: F.struct(t.alias("term"), F.lit(0).alias("doc")))
-    distinct = F.transform(
-        F.array_distinct("tokens"), lambda t: F.struct(t.alias("term"), F.lit(1).alias("doc"))
+    both = tokens.select(
+        F.posexplode(F.array("tokens", F.array_distinct("tokens"))).alias("kind", "terms")
     )
     counts = (
-        tokens.select(F.inline(F.concat(occurrence, distinct)))
+        both.select("kind", F.explode("terms").alias("term"))
         .groupBy("term")
-        .agg(
-            F.count_if(F.col("doc") == 0).alias("n"),
-            F.sum(F.col("doc").cast("long")).alias("df"),
-        )
+        .agg(F.count_if(F.col("kind") == 0).alias("n"), F.count_if(F.col("kind") == 1).alias("df"))
     )
     # At most `max_features` rows reach the ranking window.
     top = counts.orderBy(F.desc("n"), "term").limit(max_features)

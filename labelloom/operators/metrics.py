@@ -10,7 +10,7 @@ from labelloom.functions.labels import STANCES
 from labelloom.functions.text import preview
 from labelloom.operators.clean import label_decode
 from labelloom.operators.profile import ratio
-from labelloom.plans.lookup import settle, union_all
+from labelloom.plans.lookup import literal_table, settle, union_all
 
 
 def is_correct(true: str, pred: str) -> Column:
@@ -30,7 +30,7 @@ def confusion_counts(
 
 
 def listed(spark: SparkSession, labels: Sequence[str], name: str = "label") -> DataFrame:
-    return spark.createDataFrame([(label,) for label in labels], f"{name} string")
+    return literal_table(spark, [(label,) for label in labels], f"{name} string")
 
 
 def confusion_matrix(counts: DataFrame, labels: Sequence[str] = STANCES) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from labelloom.operators.profile import label_counts, ratio
-from labelloom.plans.lookup import lookup_join, settle
+from labelloom.plans.lookup import literal_table, lookup_join, settle
 from labelloom.plans.ranking import mark_first
 
 # Copies of one row written by one task; rows with more are spread over several tasks.
@@ -28,7 +28,7 @@ def class_weights(df: DataFrame, label: str, labels: Sequence[str]) -> DataFrame
             "label", ratio(F.col("__t.rows"), F.col("__t.k") * F.col("n")).alias("__weight")
         )
     )
-    listed = df.sparkSession.createDataFrame([(name,) for name in labels], "label string")
+    listed = literal_table(df.sparkSession, [(name,) for name in labels], "label string")
     return listed.join(weights, "label", "left").select(
         "label", F.coalesce("__weight", F.lit(1.0)).alias("weight")
     )

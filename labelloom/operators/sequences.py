@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from labelloom.functions.prompts import render_prompt
 from labelloom.functions.sequences import EOS_ID, FIRST_FREE_ID, PAD_ID, UNK_ID, pad, truncate
 from labelloom.functions.text import words
-from labelloom.plans.lookup import pull_small
+from labelloom.plans.lookup import pull_small, settle
 
 DICTIONARY_SLOTS = 4096
 
@@ -78,6 +78,7 @@ def encode_sequence(
     max_target_length: int = 16,
 ) -> DataFrame:
     """Text and target as id arrays of fixed length: cut, closed by the end id, padded."""
+    vocab = settle(vocab)
     both = [("input_ids", text, max_length), ("labels", target, max_target_length)]
     return df.select(
         key,

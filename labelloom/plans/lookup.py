@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 # Together they bound what may reach the driver and every executor: 20,000 rows x 2 KB = 40 MB.
 MAX_ROWS = 20_000
@@ -38,6 +40,16 @@ def pin_small(df: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame | None:
     return df.sparkSession.createDataFrame(table, schema=df.schema)
 
 
+def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A few literal rows as a local relation."""
+    fields = T.StructType.fromDDL(schema)
+    columns = list(zip(*rows)) if rows else [[] for _ in fields]
+    arrays = [
+        pa.array(values, to_arrow_type(field.dataType)) for values, field in zip(columns, fields)
+    ]
+    return spark.createDataFrame(pa.table(arrays, names=fields.names), schema=fields)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """A small aggregate computed once and reused; a large one stays a lazy plan."""
     pinned = pin_small(df)

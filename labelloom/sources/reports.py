@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from labelloom.functions.text import fixed_point
 from labelloom.operators.metrics import classification_report, metrics_bundle
-from labelloom.plans.lookup import settle, union_all
+from labelloom.plans.lookup import literal_table, settle, union_all
 
 # The wording of the metric lines, with unit and decimals.
 METRIC_LINES = (
@@ -32,7 +32,7 @@ def evaluation_report(
 
     def fixed(lines: Sequence[str], block: int) -> DataFrame:
         rows = [(block, i, line) for i, line in enumerate(lines)]
-        return spark.createDataFrame(rows, "block int, place int, line string")
+        return literal_table(spark, rows, "block int, place int, line string")
 
     def placed(df: DataFrame, block: int, place: Column, line: Column) -> DataFrame:
         return df.select(
@@ -86,7 +86,7 @@ def preparation_report(counts: DataFrame, sizes: DataFrame, source: str, n_colum
 
     def fixed(lines: Sequence[str], block: int) -> DataFrame:
         rows = [(block, i, line) for i, line in enumerate(lines)]
-        return spark.createDataFrame(rows, "block int, place int, line string")
+        return literal_table(spark, rows, "block int, place int, line string")
 
     totals = counts.agg(F.sum("n").alias("n"), F.count("*").alias("k"))
     texts = [
