@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from typing import Protocol
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from labelloom.functions.labels import (
@@ -19,6 +21,9 @@ from labelloom.functions.labels import (
 
 BATCH_SIZE = 16
 
+# The labelling code travels with the job, so executors need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class Model(Protocol):
     """Answers a batch of texts with one raw response each."""

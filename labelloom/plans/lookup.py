@@ -15,12 +15,13 @@ MAX_ROW_BYTES = 2_048
 SALTS = 64
 
 
-def pull_small(df: DataFrame, max_rows: int = MAX_ROWS) -> pa.Table | None:
+def pull_small(df: DataFrame, max_rows: int | None = None) -> pa.Table | None:
     """The frame as an Arrow table, or None where it is over the row or the row-size limit.
 
     Over-long rows are blanked on the executors, so no more than
     `max_rows * MAX_ROW_BYTES` bytes ever leave them.
     """
+    max_rows = MAX_ROWS if max_rows is None else max_rows
     columns = df.columns
     wide = F.length(F.to_json(F.struct(*columns))) > MAX_ROW_BYTES
     guarded = df.limit(max_rows + 1).select(
@@ -32,7 +33,7 @@ def pull_small(df: DataFrame, max_rows: int = MAX_ROWS) -> pa.Table | None:
     return table.drop_columns(["__wide"])
 
 
-def pin_small(df: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame | None:
+def pin_small(df: DataFrame, max_rows: int | None = None) -> DataFrame | None:
     """The frame as a local relation of known size, or None where it is over the limit."""
     table = pull_small(df, max_rows)
     if table is None:
