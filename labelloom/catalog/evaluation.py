@@ -9,6 +9,7 @@ from labelloom.catalog.preparation import rounded
 from labelloom.catalog.registry import query
 from labelloom.functions.labels import STANCES, label_lenient
 from labelloom.operators import checks, clean, metrics
+from labelloom.plans.lookup import settle
 from labelloom.plans.scratch import scratch_path
 from labelloom.sources import reports
 
@@ -211,7 +212,7 @@ FROM judged ORDER BY doc_id LIMIT 10"""
 )
 def prediction_review(spark, sf_dir):
     judged = _judged(spark, sf_dir)
-    index = clean.label_index(judged, "true")
+    index = settle(clean.label_index(judged, "true"))
     coded = clean.label_encode(judged, "true", index, "true_code")
     coded = clean.label_encode(coded, "pred", index, "pred_code")
     return metrics.prediction_review(coded, index, "doc_id", "text", "true_code", "pred_code")

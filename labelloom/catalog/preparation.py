@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from labelloom.catalog import inputs as i
 from labelloom.catalog.registry import query
 from labelloom.operators import checks, clean, profile
+from labelloom.plans.lookup import settle
 from labelloom.plans.scratch import scratch_path
 from labelloom.sources import tables
 
@@ -241,7 +242,7 @@ def label_encode(spark, sf_dir):
 @query("SELECT o_orderkey, o_orderpriority AS label FROM orders")
 def label_decode(spark, sf_dir):
     rows = i.orders(spark, sf_dir)
-    index = clean.label_index(rows, "o_orderpriority")
+    index = settle(clean.label_index(rows, "o_orderpriority"))
     coded = clean.label_encode(rows, "o_orderpriority", index).drop("o_orderpriority")
     return clean.label_decode(coded, "label_encoded", index).select("o_orderkey", "label")
 

@@ -10,7 +10,7 @@ from labelloom.functions.labels import STANCES
 from labelloom.functions.text import preview
 from labelloom.operators.clean import label_decode
 from labelloom.operators.profile import ratio
-from labelloom.plans.lookup import literal_table, settle, union_all
+from labelloom.plans.lookup import first_rows, literal_table, settle, union_all
 
 
 def is_correct(true: str, pred: str) -> Column:
@@ -230,16 +230,13 @@ def outcome_examples(
 ) -> DataFrame:
     """The first num_samples // 2 correct and as many incorrect rows, with a text preview.
 
-    Two top-n plans: each task keeps only its own first rows, nothing is shuffled.
+    Two narrow top-n plans: each task keeps only its own first keys.
     """
     k = num_samples // 2
     right = is_correct(true, pred)
     ordinal = F.row_number().over(Window.orderBy(key))
     parts = [
-        df.filter(condition)
-        .orderBy(key)
-        .limit(k)
-        .select(
+        first_rows(df.filter(condition), key, k).select(
             F.lit(outcome).alias("outcome"),
             ordinal.alias("ordinal"),
             key,
@@ -263,7 +260,7 @@ def prediction_review(
     n: int = 10,
 ) -> DataFrame:
     """The first n rows with a tick or cross, decoded labels and a text preview."""
-    top = df.select(key, text, true_code, pred_code).orderBy(key).limit(n)
+    top = first_rows(df.select(key, text, true_code, pred_code), key, n)
     named = label_decode(
         label_decode(top, true_code, index, "true_label"), pred_code, index, "pred_label"
     )

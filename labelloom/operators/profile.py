@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from labelloom.functions.text import preview
-from labelloom.plans.lookup import lookup_join
+from labelloom.plans.lookup import fetch_by_key
 
 # Thresholds and their wording. The first rule that holds wins.
 SHARE_LIMIT = 0.1
@@ -88,8 +88,7 @@ def class_example(df: DataFrame, key: str, text: str, label: str, width: int = 1
         df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.min(key).alias(key)).select(key)
     )
     return (
-        lookup_join(df.select(key, label, text), first, key)
-        .filter(F.col(label).isNotNull())
+        fetch_by_key(df.select(key, label, text), first, key)
         .select(
             F.upper(label).alias("label"),
             F.col(key).alias("first_key"),

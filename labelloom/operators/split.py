@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from labelloom.functions.order import seeded_hash
 from labelloom.operators.profile import ratio
+from labelloom.plans.lookup import first_rows
 from labelloom.plans.ranking import mark_first, number_rows
 
 # Up to this many rows a sample is a top-n; larger ones never pass through one task.
-TOP_N_LIMIT = 10_000
+TOP_N_LIMIT = 1_000
 
 
 def split_quotas(sizes: DataFrame, group: str, test_size: float, rounding: str = "remainder") -> DataFrame:
@@ -141,7 +142,7 @@ def stratification_check(df: DataFrame, label: str, split: str = "split") -> Dat
 def sample_n(df: DataFrame, key: str, n: int, seed: int | str = 42) -> DataFrame:
     """Exactly n rows (or all, if fewer), without replacement."""
     if n <= TOP_N_LIMIT:
-        return df.orderBy(seeded_hash(key, seed), key).limit(n)
+        return first_rows(df, key, n, seeded_hash(key, seed))
     quota = lambda sizes: sizes.withColumn("quota", F.least("n", F.lit(n).cast("long")))
     marked = mark_first(
         df.withColumn("__all", F.lit(0)), quota, key=key, group="__all", seed=seed, into="__in"
@@ -151,7 +152,7 @@ def sample_n(df: DataFrame, key: str, n: int, seed: int | str = 42) -> DataFrame
 
 def head_n(df: DataFrame, key: str, n: int) -> DataFrame:
     """First n rows in key order."""
-    return df.orderBy(key).limit(n)
+    return first_rows(df, key, n)
 
 
 def batch_ids(df: DataFrame, key: str, size: int = 16, into: str = "batch_id") -> DataFrame:

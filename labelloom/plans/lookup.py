@@ -6,13 +6,14 @@ from collections.abc import Sequence
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 # Together they bound what may reach the driver and every executor: 20,000 rows x 2 KB = 40 MB.
 MAX_ROWS = 20_000
 MAX_ROW_BYTES = 2_048
 SALTS = 64
+FETCH_KEYS = 1_000
 
 
 def pull_small(df: DataFrame, max_rows: int | None = None) -> pa.Table | None:
@@ -72,6 +73,31 @@ def lookup_join(big: DataFrame, small: DataFrame, on: str, how: str = "inner") -
     return salted_join(big, small, on, how)
 
 
+def fetch_by_key(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows with the given unique keys.
+
+    Up to FETCH_KEYS keys become a filter, which a columnar source uses to skip what
+    it need not read; more are joined.
+    """
+    table = pull_small(keys.select(key), FETCH_KEYS)
+    if table is None:
+        return lookup_join(df, keys.select(key), key)
+    return df.filter(F.col(key).isin(table.column(key).to_pylist()))
+
+
+def first_rows(df: DataFrame, key: str, n: int, *order: Column) -> DataFrame:
+    """The first n rows by `order` and key.
+
+    Only the ordering columns go through the top-n, so the many per-task candidates
+    stay narrow; the rows themselves are fetched for the n keys that remain.
+    """
+    ranked = [*order, F.col(key)]
+    if n > FETCH_KEYS:
+        return df.orderBy(*ranked).limit(n)
+    top = df.orderBy(*ranked).limit(n).select(key)
+    return fetch_by_key(df, top, key).orderBy(*ranked).limit(n)
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     """Union by column name."""
     return reduce(lambda a, b: a.unionByName(b), frames)
