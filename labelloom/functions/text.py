@@ -17,6 +17,8 @@ WHITESPACE = (
 WORD_PATTERN = r"[\p{L}\p{N}_]+"
 LONG_WORD_PATTERN = r"[\p{L}\p{N}_]{2,}"
 
+LONGEST_KEY = 128
+
 # Default stop words; every operator that uses them takes another list as a parameter.
 STOP_WORDS = (
     "a about above after again against all also am an and any are as at be because been "
@@ -47,6 +49,14 @@ def content_words(text: Column, stop_words: Sequence[str] = STOP_WORDS) -> Colum
     return F.filter(tokens, lambda token: ~token.isin(*stop_words))
 
 
+def word_key(word: Column) -> Column:
+    """The word itself, or a digest of fixed length that stands for a very long one.
+
+    No word starts with the sign of a digest, so different words keep different keys.
+    """
+    return F.when(F.length(word) > LONGEST_KEY, F.concat(F.lit("#"), F.md5(word))).otherwise(word)
+
+
 def preview(text: Column, width: int = 100) -> Column:
     """First `width` characters followed by an ellipsis."""
     return F.concat(F.substring(text, 1, width), F.lit("..."))

@@ -11,7 +11,7 @@ from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normali
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, functions as F
 
-from labelloom.functions.text import STOP_WORDS, content_words
+from labelloom.functions.text import STOP_WORDS, content_words, word_key
 from labelloom.operators.clean import label_decode, label_encode, label_index
 from labelloom.operators.features import term_statistics
 from labelloom.plans.lookup import literal_table, pull_small, settle
@@ -28,8 +28,13 @@ class TextClassifier:
     stop_words: Sequence[str]
 
     def features(self, df: DataFrame, text: str) -> DataFrame:
-        tokens = content_words(F.col(text), self.stop_words)
-        return self.vectors.transform(df.withColumn("__tokens", tokens))
+        return self.vectors.transform(with_tokens(df, text, self.stop_words))
+
+
+def with_tokens(df: DataFrame, text: str, stop_words: Sequence[str]) -> DataFrame:
+    """Attach the content words, very long ones as digests."""
+    tokens = F.transform(content_words(F.col(text), stop_words), word_key)
+    return df.withColumn("__tokens", tokens)
 
 
 def tfidf_vectors(terms: list[str], idf: list[float]) -> PipelineModel:
@@ -54,15 +59,15 @@ def fit_classifier(
     tol: float = 1e-6,
 ) -> TextClassifier:
     """Fit with an L2 penalty of strength 1/c on the summed loss, intercepts free."""
-    spark = train.sparkSession
+    statistics = term_statistics(train, text, max_features, stop_words)
+    # A model's terms and weights live on the driver: `max_features` short keys.
     terms = pull_small(
-        term_statistics(train, text, max_features, stop_words).select("term", "term_index", "idf"),
-        max_features,
+        statistics.select(word_key(F.col("term")).alias("term"), "term_index", "idf"), max_features
     ).sort_by("term_index")
     vectors = tfidf_vectors(terms.column("term").to_pylist(), terms.column("idf").to_pylist())
     labels = settle(label_index(train, label))
-    tokens = train.withColumn("__tokens", content_words(F.col(text), stop_words))
-    coded = label_encode(vectors.transform(tokens), label, labels, "__code")
+    vectorised = vectors.transform(with_tokens(train, text, stop_words))
+    coded = label_encode(vectorised, label, labels, "__code")
     columns = [F.col("__code").cast("double").alias("__code"), "features"]
     if weight is not None:
         columns.append(F.col(weight).cast("double").alias("__weight"))

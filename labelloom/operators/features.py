@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from labelloom.functions.text import STOP_WORDS, content_words
+from labelloom.plans.lookup import lookup_join
 
 
 def tokenize_words(
@@ -54,13 +55,14 @@ def tfidf(
     """L2-normalised tf x idf weights over the given terms.
 
     Rows are spread by document before they are taken apart; counting, weighting and
-    normalising then stay within that one partitioning. `terms` is bounded by the
-    `max_features` it was built with.
+    normalising then stay within that one partitioning.
     """
     by_document = df.select(key, text).repartition(key)
+    tokens = by_document.select(
+        key, F.explode(content_words(F.col(text), stop_words)).alias("term")
+    )
     counts = (
-        by_document.select(key, F.explode(content_words(F.col(text), stop_words)).alias("term"))
-        .join(F.broadcast(terms.select("term", "idf")), "term")
+        lookup_join(tokens, terms.select("term", "idf"), "term")
         .groupBy(key, "term", "idf")
         .agg(F.count("*").alias("tf"))
     )

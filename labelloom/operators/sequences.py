@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from labelloom.functions.prompts import render_prompt
 from labelloom.functions.sequences import EOS_ID, FIRST_FREE_ID, PAD_ID, UNK_ID, pad, truncate
-from labelloom.functions.text import words
-from labelloom.plans.lookup import pull_small, settle
+from labelloom.functions.text import word_key, words
+from labelloom.plans.lookup import pull_small, salted_join, settle
 
 DICTIONARY_SLOTS = 4096
+DICTIONARY_WORDS = 100_000
 
 
 def training_pairs(
@@ -39,33 +40,67 @@ def vocabulary(df: DataFrame, text: str, size: int = 8_000) -> DataFrame:
     return top.select("token", "n", (rank + (FIRST_FREE_ID - 1)).alias("id"))
 
 
-def _slot(token: Column) -> Column:
-    return F.pmod(F.xxhash64(token), F.lit(DICTIONARY_SLOTS)).cast("int")
+def _slot(word: Column) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(DICTIONARY_SLOTS)).cast("int")
 
 
-def token_ids(tokens: Column, vocab: DataFrame, size_limit: int = 100_000) -> Column:
-    """Ids of a token array, looked up in a dictionary constant inside the expression.
+def dictionary(vocab: DataFrame) -> Column | None:
+    """The vocabulary as a constant, or None where it has more than DICTIONARY_WORDS words.
 
-    The dictionary is an array of small maps addressed by token hash, so a lookup
-    takes constant time and encoding a table needs neither a join nor a shuffle.
+    The constant is an array of small maps addressed by word hash, so a lookup takes
+    constant time.
     """
-    table = pull_small(vocab.select("token", "id", _slot(F.col("token")).alias("slot")), size_limit)
+    key = word_key(F.col("token"))
+    table = pull_small(
+        vocab.select(key.alias("word"), "id", _slot(key).alias("slot")), DICTIONARY_WORDS
+    )
     if table is None:
-        raise ValueError(f"the vocabulary has more than {size_limit} tokens; build a smaller one")
+        return None
     slots: list[dict[str, int]] = [{} for _ in range(DICTIONARY_SLOTS)]
     for row in table.to_pylist():
-        slots[row["slot"]][row["token"]] = row["id"]
-    dictionary = F.from_json(F.lit(json.dumps(slots)), "array<map<string,int>>")
-    return F.transform(
-        tokens,
-        lambda t: F.coalesce(F.try_element_at(F.get(dictionary, _slot(t)), t), F.lit(UNK_ID)),
-    )
+        slots[row["slot"]][row["word"]] = row["id"]
+    return F.from_json(F.lit(json.dumps(slots)), "array<map<string,int>>")
+
+
+def look_up(tokens: Column, constant: Column) -> Column:
+    """Ids of a token array from a `dictionary`; the unknown id for other words."""
+
+    def one(token: Column) -> Column:
+        word = word_key(token)
+        return F.coalesce(
+            F.try_element_at(F.get(constant, _slot(word)), word), F.lit(UNK_ID)
+        )
 
+    return F.transform(tokens, one)
 
-def encode_ids(text: Column, vocab: DataFrame, max_length: int) -> Column:
-    """Token ids with the end id, at most `max_length` in all."""
-    kept = truncate(words(text), max_length - 1)
-    return F.concat(token_ids(kept, vocab), F.array(F.lit(EOS_ID)))
+
+def with_ids(
+    df: DataFrame, vocab: DataFrame, key: str, text: str, max_length: int, into: str
+) -> DataFrame:
+    """Attach the token ids with the end id, at most `max_length` in all.
+
+    Within the dictionary limit this is map-only. A larger vocabulary is joined: a row
+    yields at most `max_length` tokens, and hot tokens are salted.
+    """
+    kept = truncate(words(F.col(text)), max_length - 1)
+    constant = dictionary(vocab)
+    end = F.array(F.lit(EOS_ID))
+    if constant is not None:
+        return df.withColumn(into, F.concat(look_up(kept, constant), end))
+    tokens = df.select(key, F.posexplode(kept).alias("__place", "token"))
+    known = F.coalesce("id", F.lit(UNK_ID)).alias("id")
+    ids = (
+        salted_join(tokens, vocab.select("token", "id"), "token", "left")
+        .groupBy(key)
+        .agg(F.collect_list(F.struct("__place", known)).alias("__ids"))
+    )
+    ordered = F.transform(F.array_sort("__ids"), lambda pair: pair.getField("id"))
+    nothing = F.array().cast("array<int>")
+    return (
+        df.join(ids, key, "left")
+        .withColumn(into, F.concat(F.coalesce(ordered, nothing), end))
+        .drop("__ids")
+    )
 
 
 def encode_sequence(
@@ -79,13 +114,13 @@ def encode_sequence(
 ) -> DataFrame:
     """Text and target as id arrays of fixed length: cut, closed by the end id, padded."""
     vocab = settle(vocab)
-    both = [("input_ids", text, max_length), ("labels", target, max_target_length)]
-    return df.select(
+    rows = df.select(key, text, target)
+    rows = with_ids(rows, vocab, key, text, max_length, "input_ids")
+    rows = with_ids(rows, vocab, key, target, max_target_length, "labels")
+    return rows.select(
         key,
-        *[
-            pad(encode_ids(F.col(column), vocab, length), F.lit(length)).alias(name)
-            for name, column, length in both
-        ],
+        pad(F.col("input_ids"), F.lit(max_length)).alias("input_ids"),
+        pad(F.col("labels"), F.lit(max_target_length)).alias("labels"),
     )
 
 
@@ -93,7 +128,8 @@ def truncate_sequence(
     df: DataFrame, vocab: DataFrame, key: str, text: str, max_length: int = 512
 ) -> DataFrame:
     """Text as an id array of at most `max_length`, without padding."""
-    return df.select(key, encode_ids(F.col(text), vocab, max_length).alias("input_ids"))
+    rows = with_ids(df.select(key, text), vocab, key, text, max_length, "input_ids")
+    return rows.select(key, "input_ids")
 
 
 def batch_pad(df: DataFrame, ids: str, batch: str = "batch_id") -> DataFrame:
@@ -104,17 +140,27 @@ def batch_pad(df: DataFrame, ids: str, batch: str = "batch_id") -> DataFrame:
     ).drop("__length")
 
 
-def decode_sequence(
-    df: DataFrame, vocab: DataFrame, key: str, ids: str, size_limit: int = 100_000
-) -> DataFrame:
-    """Ids back to text: reserved ids left out, tokens joined by a blank."""
-    table = pull_small(vocab.select("token", "id"), size_limit)
-    if table is None:
-        raise ValueError(f"the vocabulary has more than {size_limit} tokens; build a smaller one")
-    by_id = {row["id"]: row["token"] for row in table.to_pylist()}
-    tokens = [by_id.get(i) for i in range(max(by_id, default=UNK_ID) + 1)]
-    lookup = F.from_json(F.lit(json.dumps(tokens)), "array<string>")
+def decode_sequence(df: DataFrame, vocab: DataFrame, key: str, ids: str) -> DataFrame:
+    """Ids back to text: reserved ids left out, tokens joined by a blank.
+
+    Map-only within the dictionary limit, a salted join beyond it.
+    """
     free = F.filter(F.col(ids), lambda i: ~i.isin(PAD_ID, EOS_ID, UNK_ID))
-    return df.select(
-        key, F.array_join(F.transform(free, lambda i: F.get(lookup, i)), " ").alias("text")
+    table = pull_small(vocab.select("token", "id"), DICTIONARY_WORDS)
+    if table is not None:
+        by_id = {row["id"]: row["token"] for row in table.to_pylist()}
+        tokens = [by_id.get(i) for i in range(max(by_id, default=UNK_ID) + 1)]
+        lookup = F.from_json(F.lit(json.dumps(tokens)), "array<string>")
+        return df.select(
+            key, F.array_join(F.transform(free, lambda i: F.get(lookup, i)), " ").alias("text")
+        )
+    places = df.select(key, F.posexplode(free).alias("__place", "id"))
+    found = (
+        salted_join(places, vocab.select("token", "id"), "id")
+        .groupBy(key)
+        .agg(F.array_sort(F.collect_list(F.struct("__place", "token"))).alias("__words"))
+    )
+    text = F.array_join(F.transform("__words", lambda pair: pair.getField("token")), " ")
+    return df.select(key).join(found, key, "left").select(
+        key, F.coalesce(text, F.lit("")).alias("text")
     )

@@ -71,7 +71,10 @@ def test_classifier_is_at_the_optimum(texts):
     assert classifier.coefficients(fitted, texts.sparkSession).count() == 3 * (len(fitted.terms) + 1)
 
 
-def test_encode_and_decode(texts):
+@pytest.mark.parametrize("words", [100, 2])
+def test_encode_and_decode(monkeypatch, texts, words):
+    """The same with the vocabulary as a constant and, beyond the limit, as a join."""
+    monkeypatch.setattr(sequences, "DICTIONARY_WORDS", words)
     vocab = sequences.vocabulary(texts, "text", 6)
     ids = {r.token: r.id for r in vocab.collect()}
     assert sorted(ids.values()) == [3, 4, 5, 6, 7, 8]
@@ -85,6 +88,31 @@ def test_encode_and_decode(texts):
         assert row.text == " ".join(t for t in re.findall(r"\w+", text.lower())[:4] if t in ids)
 
 
+def test_very_long_words(spark):
+    long_words = ["x" * 3000, "x" * 3000 + "y"]
+    rows = spark.createDataFrame(
+        [(0, f"{long_words[0]} ab", "a"), (1, f"{long_words[1]} cd", "b"), (2, "", "a")],
+        "key long, text string, label string",
+    )
+    vocab = sequences.vocabulary(rows, "text", 10)
+    ids = {r.token: r.id for r in vocab.collect()}
+    assert len(set(ids.values())) == 4
+    encoded = sequences.truncate_sequence(rows, vocab, "key", "text", 10)
+    got = {r.key: r.input_ids for r in encoded.collect()}
+    assert got == {0: [ids[long_words[0]], ids["ab"], 1], 1: [ids[long_words[1]], ids["cd"], 1], 2: [1]}
+    decoded = sequences.decode_sequence(encoded, vocab, "key", "input_ids")
+    assert {r.key: r.text for r in decoded.collect()} == {r.key: r.text for r in rows.collect()}
+    terms = features.term_statistics(rows, "text", 10, ())
+    weights = features.tfidf(rows, terms, "key", "text", ()).collect()
+    assert {(r.key, r.term) for r in weights} == {
+        (0, long_words[0]), (0, "ab"), (1, long_words[1]), (1, "cd"),
+    }
+    fitted = classifier.fit_classifier(rows, "text", "label", None, 10, ())
+    assert max(map(len, fitted.terms)) <= 128
+    got = classifier.predict_classifier(fitted, rows, "text").filter("key < 2")
+    assert got.filter("label <> label_pred").isEmpty()
+
+
 def fragile():
     """A model that fails on any batch with the word `bad`."""
 
