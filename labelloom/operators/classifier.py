@@ -5,15 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel, Transformer
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
-from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, functions as F
 
-from labelloom.functions.text import STOP_WORDS, content_words, word_key
+from labelloom.functions.text import STOP_WORDS, word_key
 from labelloom.operators.clean import label_decode, label_encode, label_index
-from labelloom.operators.features import term_statistics
+from labelloom.operators.features import term_statistics, tfidf_vectors, with_tokens
 from labelloom.plans.lookup import literal_table, pull_small, settle
 
 
@@ -31,22 +29,6 @@ class TextClassifier:
         return self.vectors.transform(with_tokens(df, text, self.stop_words))
 
 
-def with_tokens(df: DataFrame, text: str, stop_words: Sequence[str]) -> DataFrame:
-    """Attach the content words, very long ones as digests."""
-    tokens = F.transform(content_words(F.col(text), stop_words), word_key)
-    return df.withColumn("__tokens", tokens)
-
-
-def tfidf_vectors(terms: list[str], idf: list[float]) -> PipelineModel:
-    """Tokens to L2-normalised tf x idf vectors over fixed terms."""
-    stages: list[Transformer] = [
-        CountVectorizerModel.from_vocabulary(terms, inputCol="__tokens", outputCol="__tf"),
-        ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="__tf", outputCol="__tfidf"),
-        Normalizer(p=2.0, inputCol="__tfidf", outputCol="features"),
-    ]
-    return PipelineModel(stages)
-
-
 def fit_classifier(
     train: DataFrame,
     text: str,

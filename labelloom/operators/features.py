@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
+from pyspark.ml import PipelineModel, Transformer
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, Window, functions as F
 
-from labelloom.functions.text import STOP_WORDS, content_words
-from labelloom.plans.lookup import lookup_join
+from labelloom.functions.text import STOP_WORDS, content_words, word_key
+from labelloom.plans.lookup import lookup_join, pull_small, settle
+
+# Terms up to which a document's weights are computed as one dense array.
+VECTOR_TERMS = 20_000
 
 
 def tokenize_words(
@@ -45,6 +53,22 @@ def term_statistics(
     return top.select("term", index.alias("term_index"), "n", "df", idf.alias("idf"))
 
 
+def with_tokens(df: DataFrame, text: str, stop_words: Sequence[str]) -> DataFrame:
+    """Attach the content words, very long ones as digests."""
+    tokens = F.transform(content_words(F.col(text), stop_words), word_key)
+    return df.withColumn("__tokens", tokens)
+
+
+def tfidf_vectors(terms: Sequence[str], idf: Sequence[float]) -> PipelineModel:
+    """Tokens to count vectors and L2-normalised tf x idf vectors over fixed terms."""
+    stages: list[Transformer] = [
+        CountVectorizerModel.from_vocabulary(list(terms), inputCol="__tokens", outputCol="__tf"),
+        ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="__tf", outputCol="__tfidf"),
+        Normalizer(p=2.0, inputCol="__tfidf", outputCol="features"),
+    ]
+    return PipelineModel(stages)
+
+
 def tfidf(
     df: DataFrame,
     terms: DataFrame,
@@ -54,12 +78,44 @@ def tfidf(
 ) -> DataFrame:
     """L2-normalised tf x idf weights over the given terms.
 
-    Rows are spread by document before they are taken apart; counting, weighting and
-    normalising then stay within that one partitioning.
+    Up to VECTOR_TERMS terms this is map-only: each row is counted, weighted and
+    normalised as a vector, which is then listed by term. With more terms the
+    documents are spread by key and counted by an aggregate.
     """
-    by_document = df.select(key, text).repartition(key)
-    tokens = by_document.select(
-        key, F.explode(content_words(F.col(text), stop_words)).alias("term")
+    terms = settle(terms)
+    table = pull_small(
+        terms.select("term_index", "term", "idf", word_key(F.col("term")).alias("word")),
+        VECTOR_TERMS,
+    )
+    if table is None:
+        return _tfidf_by_document(df, terms, key, text, stop_words)
+    table = table.sort_by("term_index")
+    vectors = tfidf_vectors(table.column("word").to_pylist(), table.column("idf").to_pylist())
+    names = F.from_json(F.lit(json.dumps(table.column("term").to_pylist())), "array<string>")
+    cells = F.arrays_zip(
+        vector_to_array("__tf").alias("tf"), vector_to_array("features").alias("weight")
+    )
+    return (
+        vectors.transform(with_tokens(df.select(key, text), text, stop_words))
+        .select(key, F.posexplode(cells).alias("__place", "__cell"))
+        .filter(F.col("__cell.tf") > 0)
+        .select(
+            key,
+            F.get(names, F.col("__place")).alias("term"),
+            F.col("__cell.tf").cast("long").alias("tf"),
+            F.col("__cell.weight").alias("weight"),
+        )
+    )
+
+
+def _tfidf_by_document(
+    df: DataFrame, terms: DataFrame, key: str, text: str, stop_words: Sequence[str]
+) -> DataFrame:
+    """Counting, weighting and normalising within one partitioning by document."""
+    tokens = (
+        df.select(key, text)
+        .repartition(key)
+        .select(key, F.explode(content_words(F.col(text), stop_words)).alias("term"))
     )
     counts = (
         lookup_join(tokens, terms.select("term", "idf"), "term")

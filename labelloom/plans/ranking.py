@@ -11,6 +11,7 @@ from labelloom.functions.order import seeded_hash
 from labelloom.plans.lookup import lookup_join, settle
 
 HASH_DIGITS = 3
+SAMPLED_PER_PART = 100
 
 
 def mark_first(
@@ -62,18 +63,28 @@ def mark_first(
     return lookup_join(df, cuts, group, "left").select(*columns, chosen.alias(into))
 
 
+def range_points(df: DataFrame, key: str, parts: int) -> list[float]:
+    """Keys that cut the table into about even ranges.
+
+    They are the quantiles of a hash sample of the keys; they only balance the work,
+    whatever they are, every row falls into one range.
+    """
+    step = max(df.count() // (SAMPLED_PER_PART * parts), 1)
+    sampled = df.filter(F.pmod(F.xxhash64(key), F.lit(step)) == 0)
+    shares = [i / parts for i in range(1, parts)]
+    value = F.col(key).cast("double")
+    return sampled.agg(F.percentile_approx(value, shares, 20 * parts)).first()[0] or [0.0]
+
+
 def number_rows(df: DataFrame, key: str, into: str = "row_no") -> DataFrame:
     """Attach 1, 2, 3, ... in the order of a unique numeric key.
 
-    Quantiles of the key cut the table into even ranges, each ranked in its own
-    task and shifted by the number of rows in the ranges before it.
+    The key range is cut into even ranges, each ranked in its own task and shifted by
+    the number of rows in the ranges before it.
     """
     parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
-    shares = [i / parts for i in range(1, parts)]
-    points = df.select(
-        F.percentile_approx(F.col(key).cast("double"), shares, 20 * parts).alias("p")
-    ).first()["p"]
-    splits = [float("-inf"), *sorted(set(points or [0.0])), float("inf")]
+    points = range_points(df.select(key), key, parts)
+    splits = [float("-inf"), *sorted(set(points)), float("inf")]
     ranged = (
         Bucketizer(splits=splits, inputCol="__key", outputCol="__part")
         .transform(df.withColumn("__key", F.col(key).cast("double")))

@@ -41,7 +41,10 @@ def dense(terms):
     return np.array(rows)
 
 
-def test_tfidf(texts):
+@pytest.mark.parametrize("limit", [100, 1])
+def test_tfidf(monkeypatch, texts, limit):
+    """The same as vectors and, beyond the limit, by document."""
+    monkeypatch.setattr(features, "VECTOR_TERMS", limit)
     terms = features.term_statistics(texts, "text", 100, STOP)
     order = [r.term for r in terms.orderBy("term_index").collect()]
     counts = Counter(t for _, text, _ in TEXTS for t in tokens(text))

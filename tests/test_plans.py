@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from labelloom.operators import resample, split
-from labelloom.plans import lookup
+from labelloom.plans import lookup, ranking
 from labelloom.plans.ranking import mark_first, number_rows
 
 
@@ -62,7 +62,8 @@ def test_sample_paths_agree(monkeypatch, skewed):
 
 
 @pytest.mark.parametrize("keys", ["even", "clustered"])
-def test_number_rows(spark, keys):
+def test_number_rows(monkeypatch, spark, keys):
+    monkeypatch.setattr(ranking, "SAMPLED_PER_PART", 10)
     rng = random.Random(3)
     values = list(range(997))
     if keys == "clustered":
