@@ -233,9 +233,9 @@ UNION ALL SELECT 4, unnest([0, 1]), unnest(['', 'Per-class F1 Scores:'])
 UNION ALL SELECT 5, list_position({list(STANCES)}, label),
   '  ' || label || ': ' || printf('%.4f', round(value, 4)) FROM bundle WHERE metric = 'f1'
 UNION ALL SELECT 6, unnest([0, 1, 2, 3]), unnest(['', 'Detailed Classification Report:',
-  repeat(' ', 18) || ' precision    recall  f1-score   support', ''])
+  repeat(' ', 19) || ' precision    recall  f1-score   support', ''])
 UNION ALL SELECT CASE WHEN block = 0 THEN 7 ELSE 9 END, row_number() OVER (ORDER BY block, label),
-  lpad(label, 18, ' ') || lpad(coalesce(printf('%.2f', round(precision, 2)), ''), 10, ' ')
+  lpad(label, 18, ' ') || ' ' || lpad(coalesce(printf('%.2f', round(precision, 2)), ''), 10, ' ')
   || lpad(coalesce(printf('%.2f', round(recall, 2)), ''), 10, ' ')
   || lpad(printf('%.2f', round(f1, 2)), 10, ' ') || lpad(support::VARCHAR, 10, ' ') FROM report
 UNION ALL SELECT 8, 0, '')

@@ -45,7 +45,7 @@ def label_lenient(
 ) -> Column:
     """First listed label inside the answer, else the first word piece, else the default."""
     rules = [(label.lower(), label) for label in labels] + list(partial)
-    return first_match(strip_unicode(F.lower(answer)), rules, default)
+    return first_match(F.lower(answer), rules, default)
 
 
 def label_substring(
@@ -76,7 +76,8 @@ def keyword_label(
     favor_label, against_label = labels[0], labels[1]
     gated = contains_any(low, gate)
     return (
-        F.when(gated & contains_any(low, against), F.lit(against_label))
-        .when(gated & contains_any(low, favor), F.lit(favor_label))
+        F.when(~gated, F.lit(default))
+        .when(contains_any(low, against), F.lit(against_label))
+        .when(contains_any(low, favor), F.lit(favor_label))
         .otherwise(F.lit(default))
     )

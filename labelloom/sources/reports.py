@@ -54,7 +54,7 @@ def evaluation_report(
         for c in ("precision", "recall", "f1")
     ]
     row = F.concat(
-        F.lpad("label", width, " "), *scores, F.lpad(F.col("support").cast("string"), 10, " ")
+        F.lpad("label", width, " "), F.lit(" "), *scores, F.lpad(F.col("support").cast("string"), 10, " ")
     )
     heads = "".join(name.rjust(10) for name in ("precision", "recall", "f1-score", "support"))
     order = F.row_number().over(Window.orderBy("block", "label"))
@@ -66,7 +66,7 @@ def evaluation_report(
         placed(named, 3, metric_place, line),
         fixed(["", "Per-class F1 Scores:"], 4),
         placed(bundle.filter(F.col("metric") == "f1"), 5, class_place, per_class),
-        fixed(["", "Detailed Classification Report:", " " * width + heads, ""], 6),
+        fixed(["", "Detailed Classification Report:", " " * (width + 1) + heads, ""], 6),
         placed(report.filter(F.col("block") == 0), 7, order, row),
         fixed([""], 8),
         placed(report.filter(F.col("block") > 0), 9, order, row),
