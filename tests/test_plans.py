@@ -1,6 +1,7 @@
 """Distribution strategies against brute force, on skewed rows."""
 
 import hashlib
+import math
 import random
 
 import pytest
@@ -106,3 +107,21 @@ def test_undersample_and_oversample(monkeypatch, skewed):
     for r in skewed.collect():
         assert copies[r.key] == top // sizes[r.label] + (r.key in more)
     assert over.groupBy("key", "copy_no").count().filter("count > 1").isEmpty()
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_quotas(spark, seed):
+    """Largest remainder by hand, also for row counts whose product exceeds 64 bits."""
+    rng = random.Random(seed)
+    scale = 10**11 if seed % 2 else 1
+    sizes = {f"c{i}": rng.randrange(1, 500) * scale for i in range(7)}
+    share = rng.choice([0.1, 0.125, 0.2, 0.3])
+    total = sum(sizes.values())
+    held = math.ceil(total * share)
+    base = {c: n * held // total for c, n in sizes.items()}
+    spare = held - sum(base.values())
+    for c in sorted(sizes, key=lambda c: (-(sizes[c] * held % total), c))[:spare]:
+        base[c] += 1
+    table = spark.createDataFrame(list(sizes.items()), "label string, n long")
+    got = split.split_quotas(table, "label", share)
+    assert {r.label: r.quota for r in got.collect()} == base
