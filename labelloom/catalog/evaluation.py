@@ -7,10 +7,15 @@ from pyspark.sql import functions as F
 from labelloom.catalog import inputs as i
 from labelloom.catalog.preparation import rounded
 from labelloom.catalog.registry import query
+from labelloom.catalog.texts import (
+    AGAINST, FAVOR, GATE, any_sql, load_keyword_model, prompt_sql,
+)
 from labelloom.functions.labels import STANCES, label_lenient
 from labelloom.operators import checks, clean, metrics
+from labelloom.operators.evaluation import score_labeller
 from labelloom.plans.lookup import settle
 from labelloom.plans.scratch import scratch_path
+from labelloom.plans.spread import spread
 from labelloom.sources import reports
 
 SCORES = ("precision", "recall", "f1")
@@ -172,6 +177,24 @@ def training_metrics(spark, sf_dir):
     return rounded(metrics.training_metrics(_judged_counts(spark, sf_dir)), "value")
 
 
+PROMPT = prompt_sql("zero_shot")
+ANSWER = f"""CASE WHEN {any_sql(GATE, PROMPT)} AND {any_sql(AGAINST, PROMPT)} THEN 'against'
+            WHEN {any_sql(GATE, PROMPT)} AND {any_sql(FAVOR, PROMPT)} THEN 'in-favor'
+            ELSE 'neutral-or-unclear' END"""
+
+
+@query(
+    f"""WITH {i.STANCE}, answered AS (SELECT "true", {ANSWER} AS pred FROM judged),
+{prf_sql("answered", "prf")}
+SELECT metric, label, round(value, 6) AS value FROM ({bundle_sql("answered", STANCES, False)})"""
+)
+def evaluate_labeller(spark, sf_dir):
+    rows = spread(i.stance_documents(spark, sf_dir).drop("raw_response"), "doc_id")
+    scored = score_labeller(rows, load_keyword_model, "doc_id", "text", "true")
+    counts = metrics.confusion_counts(scored, "true", "label_pred")
+    return rounded(metrics.metrics_bundle(counts), "value")
+
+
 @query(
     """SELECT round(avg(value), 6) AS avg_processing_time,
   round(sum(value), 6) AS total_processing_time FROM events"""

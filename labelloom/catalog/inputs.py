@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from labelloom.functions.choose import choose
 from labelloom.operators.clean import prepare
 from labelloom.plans.spread import spread
 
@@ -143,10 +144,10 @@ EVENT_LABELS = ("signup", "error", "click", "view", "purchase", "refund")
 
 def stance_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with a stance by language and an answer by key, right for most."""
-    stance = F
-    for lang, label in LANG_TO_STANCE.items():
-        stance = stance.when(F.col("lang") == lang, label)
-    stance = stance.otherwise("neutral-or-unclear")
+    stance = choose(
+        [(F.col("lang") == lang, label) for lang, label in LANG_TO_STANCE.items()],
+        "neutral-or-unclear",
+    )
     raw = F.when(F.col("doc_id") % 4 == 1, by_key("doc_id", ANSWERS)).otherwise(
         F.concat(F.lit("Answer: "), F.upper(stance))
     )

@@ -31,6 +31,20 @@ def stratified_split_70_30(spark, sf_dir):
     return split.stratified_split(i.orders(spark, sf_dir), KEY, LABEL, 0.3, 123)
 
 
+TURNS = "turns AS (SELECT conv_id || ':' || turn AS key, role FROM conversations)"
+
+
+@query(
+    f"WITH {TURNS}, {i.split_sql('turns', 'key', 'role', 0.1, '42', 'parted', ('train', 'val'))}"
+    " SELECT key, role, split FROM parted"
+)
+def stratified_split_90_10(spark, sf_dir):
+    """Rows with a composite key."""
+    key = F.concat_ws(":", "conv_id", "turn")
+    turns = i.table(spark, sf_dir, "conversations").select(key.alias("key"), "role")
+    return split.stratified_split(turns, "key", "role", 0.1, 42, names=("train", "val"))
+
+
 @query(
     f"""WITH sized AS (
   SELECT {KEY}, {LABEL}, row_number() OVER (PARTITION BY {LABEL} ORDER BY md5('42:' || {KEY}), {KEY}) AS r,

@@ -102,6 +102,21 @@ def encode_sequence(spark, sf_dir):
     return _encoded(spark, sf_dir).select("doc_id", *spaced("input_ids", "labels"))
 
 
+@query(
+    f"""WITH {VOCABULARY}, {encoded_sql("x", prompt_sql("assistant"), 512)}, {encoded_sql("y", "lang", 10)}
+SELECT x.doc_id, array_to_string({padded_sql("x.ids", "512")}, ' ') AS input_ids,
+       array_to_string({padded_sql("y.ids", "10")}, ' ') AS labels
+FROM x JOIN y ON x.doc_id = y.doc_id"""
+)
+def encode_sequence_512(spark, sf_dir):
+    vocab = settle(_vocabulary(spark, sf_dir))
+    pairs = sequences.training_pairs(
+        i.spread_documents(spark, sf_dir), "doc_id", "text", "lang", "assistant"
+    )
+    encoded = sequences.encode_sequence(pairs, vocab, "doc_id", "text", "label_text", 512, 10)
+    return encoded.select("doc_id", *spaced("input_ids", "labels"))
+
+
 @query(
     f"""WITH {VOCABULARY}, {encoded_sql("x", "text", 512)}
 SELECT doc_id, array_to_string(ids, ' ') AS input_ids FROM x"""
@@ -191,8 +206,8 @@ FAVOR = ("get", "der", "des")
 WORD_LISTS = {"gate": GATE, "against": AGAINST, "favor": FAVOR}
 
 
-def any_sql(words: tuple[str, ...]) -> str:
-    return "(" + " OR ".join(f"contains(lower(text), '{w}')" for w in words) + ")"
+def any_sql(words: tuple[str, ...], text: str = "text") -> str:
+    return "(" + " OR ".join(f"contains(lower({text}), '{w}')" for w in words) + ")"
 
 
 KEYWORD = f"""CASE WHEN {any_sql(GATE)} AND {any_sql(AGAINST)} THEN 'against'

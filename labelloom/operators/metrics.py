@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from labelloom.functions.choose import choose
 from labelloom.functions.labels import STANCES
 from labelloom.functions.text import preview
 from labelloom.operators.clean import label_decode
@@ -196,9 +197,7 @@ def training_metrics(counts: DataFrame) -> DataFrame:
     """The trio reported while training."""
     counts = settle(counts)
     found = {"accuracy": "eval_accuracy", "f1_macro": "eval_macro_f1", "f1_weighted": "eval_weighted_f1"}
-    name = F
-    for metric, alias in found.items():
-        name = name.when(F.col("metric") == metric, alias)
+    name = choose([(F.col("metric") == metric, alias) for metric, alias in found.items()])
     return (
         metrics_bundle(counts, ())
         .filter(F.col("metric").isin(*found))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from labelloom.functions.choose import choose
 from labelloom.functions.text import preview
 from labelloom.plans.lookup import fetch_by_key
 
@@ -125,10 +126,8 @@ def _extremes(df: DataFrame, label: str) -> DataFrame:
 
 def imbalance_ratio(df: DataFrame, label: str) -> DataFrame:
     """Largest over smallest class and its level."""
-    level = F
-    for limit, name in RATIO_LEVELS:
-        level = level.when(F.col("ratio") > limit, name)
-    return _extremes(df, label).select("ratio", level.otherwise("balanced").alias("level"))
+    level = choose([(F.col("ratio") > limit, name) for limit, name in RATIO_LEVELS], "balanced")
+    return _extremes(df, label).select("ratio", level.alias("level"))
 
 
 def imbalance_metrics(df: DataFrame, label: str) -> DataFrame:
@@ -146,11 +145,9 @@ def imbalance_metrics(df: DataFrame, label: str) -> DataFrame:
 
 def severity(ratio_column: Column) -> tuple[Column, Column]:
     """Severity name and advice for an imbalance ratio."""
-    name = advice = F
-    for limit, level, text in SEVERITY_LEVELS:
-        name = name.when(ratio_column > limit, level)
-        advice = advice.when(ratio_column > limit, text)
-    return name.otherwise(SEVERITY_ELSE[0]), advice.otherwise(SEVERITY_ELSE[1])
+    name = choose([(ratio_column > x, level) for x, level, _ in SEVERITY_LEVELS], SEVERITY_ELSE[0])
+    advice = choose([(ratio_column > x, text) for x, _, text in SEVERITY_LEVELS], SEVERITY_ELSE[1])
+    return name, advice
 
 
 def imbalance_severity(df: DataFrame, label: str) -> DataFrame:

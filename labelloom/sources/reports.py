@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from labelloom.functions.choose import choose
 from labelloom.functions.text import fixed_point
 from labelloom.operators.metrics import classification_report, metrics_bundle
 from labelloom.plans.lookup import literal_table, settle, union_all
@@ -40,11 +41,12 @@ def evaluation_report(
         )
 
     total = counts.agg(F.sum("n").alias("n"))
-    metric_place = line = F
+    places, shown = [], []
     for i, (metric, text, digits, unit) in enumerate(METRIC_LINES):
         is_metric = F.col("metric") == metric
-        shown = F.concat(F.lit(text), fixed_point(F.col("value"), digits), F.lit(unit))
-        metric_place, line = metric_place.when(is_metric, i), line.when(is_metric, shown)
+        value = fixed_point(F.col("value"), digits)
+        places.append((is_metric, i))
+        shown.append((is_metric, F.concat(F.lit(text), value, F.lit(unit))))
     class_place = F.array_position(F.array(*[F.lit(label) for label in labels]), F.col("label"))
     per_class = F.concat(F.lit("  "), "label", F.lit(": "), fixed_point(F.col("value"), 4))
 
@@ -63,7 +65,7 @@ def evaluation_report(
         fixed([title, "=" * 50, "", f"Model: {model}", f"Device: {device}"], 0),
         placed(total, 1, F.lit(0), F.concat(F.lit("Total samples: "), F.col("n").cast("string"))),
         fixed([""], 2),
-        placed(named, 3, metric_place, line),
+        placed(named, 3, choose(places), choose(shown)),
         fixed(["", "Per-class F1 Scores:"], 4),
         placed(bundle.filter(F.col("metric") == "f1"), 5, class_place, per_class),
         fixed(["", "Detailed Classification Report:", " " * (width + 1) + heads, ""], 6),
@@ -151,9 +153,7 @@ def report_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def report_parse(lines: DataFrame, by: str = "file") -> DataFrame:
     """Accuracy and macro F1 per report; where a metric occurs twice, the last line counts."""
-    metric = F
-    for name, mark in READ_BACK:
-        metric = metric.when(F.col("line").contains(mark), name)
+    metric = choose([(F.col("line").contains(mark), name) for name, mark in READ_BACK])
     value = F.expr("try_cast(trim(split_part(line, ':', 2)) AS double)")
     return (
         lines.select(by, "line_no", metric.alias("metric"), value.alias("value"))

@@ -149,3 +149,12 @@ def test_keyword_model_equals_the_expression(spark):
     by_model = labelling.batch_label(rows, labelling.KeywordModel, "key", "text")
     by_rule = rows.select("key", keyword_label(F.col("text")).alias("label_pred"))
     assert by_model.select("key", "label_pred").exceptAll(by_rule).isEmpty()
+
+
+def test_sampled_scores_keep_their_text(texts):
+    from labelloom.operators.evaluation import score_labeller
+
+    scored = score_labeller(texts, labelling.KeywordModel, "key", "text", "label", sample_size=3)
+    rows = scored.collect()
+    known = {key: (text, label) for key, text, label in TEXTS}
+    assert len(rows) == 3 and all(known[r.key] == (r.text, r.label) for r in rows)
