@@ -1,0 +1,24 @@
+"""The queries of this subpackage, each with its SQL where SQL can express it."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Register a function under its name, with the SQL that must give the same rows."""
+
+    def register(fn: Query) -> Query:
+        QUERIES[fn.__name__] = fn
+        if sql is not None:
+            ORACLES[fn.__name__] = sql
+        return fn
+
+    return register
