@@ -5,7 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,9 +16,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from labelloom.llm.common import slices, table, whole
 from labelloom.llm.registry import query
 
-# Pre-tokens a worker remembers before it starts anew; it bounds memory, not results.
-REMEMBERED = 300_000
+# Parts a worker remembers before it starts anew; it bounds memory, not results.
+REMEMBERED = 400_000
+LONG = 64  # longer parts hardly return
 KEYS_PER_BUCKET = 2  # leaves many buckets of one key, which fit anywhere, for the last slots
+# Fixed value: the pattern before a space that always ends a pre-token; others are never cut.
+GPT_PATTERN = (
+    r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+)
 MASK = (1 << 64) - 1
 
 
@@ -96,66 +101,97 @@ class PerfectHash:
         return self.values[slot] if self.keys[slot] == key else None
 
 
-def merge_bytes(piece: bytes, rank: Callable[[bytes], int | None]) -> list[int]:
+def merge_bytes(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of a piece: the pair of lowest rank, leftmost first, is merged until none has a rank.
 
     The parts are a linked list over byte positions; the heap holds candidate pairs, and
     one that no longer stands (a part of it was merged) is skipped when it comes up.
     """
-    n = len(piece)
-    after = list(range(1, n + 1))
-    before = list(range(-1, n - 1))
-    alive = [True] * n
-    heap: list[tuple[int, int, int]] = []
-
-    def offer(left: int) -> None:
-        right = after[left]
-        if right < n:
-            end = after[right]
-            found = rank(piece[left:end])
-            if found is not None:
-                heapq.heappush(heap, (found, left, end))
-
-    for i in range(n - 1):
-        offer(i)
+    n, rank = len(piece), ranks.get
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = []
+    for left in range(n - 1):
+        found = rank(piece[left : left + 2])
+        if found is not None:
+            heap.append((found, left, left + 2))
+    heapq.heapify(heap)
     while heap:
         _, left, end = heapq.heappop(heap)
         right = after[left]
-        if not alive[left] or right >= n or after[right] != end:
+        # A part merged into another has no successor; a part that grew ends elsewhere.
+        if right < 0 or right >= n or after[right] != end:
             continue
-        alive[right] = False
-        after[left] = end
+        after[left], after[right] = end, -1
         if end < n:
             before[end] = left
-        offer(left)
-        if before[left] >= 0:
-            offer(before[left])
+            found = rank(piece[left : after[end]])
+            if found is not None:
+                heapq.heappush(heap, (found, left, after[end]))
+        ahead = before[left]
+        if ahead >= 0:
+            found = rank(piece[ahead:end])
+            if found is not None:
+                heapq.heappush(heap, (found, ahead, end))
     ids, at = [], 0
     while at < n:
-        ids.append(rank(piece[at : after[at]]))
+        ids.append(ranks[piece[at : after[at]]])
         at = after[at]
     return ids
 
 
-class Encoder(dict):
+class Tokens(dict):
     """Pre-token to its ids as little-endian unsigned 32-bit integers, resolved on demand."""
 
-    def __init__(self, ranks: PerfectHash) -> None:
+    def __init__(self, hashed: PerfectHash) -> None:
         super().__init__()
-        self.rank = ranks.get
+        self.whole = hashed.get
+        self.ranks = dict(zip(hashed.keys, hashed.values))
 
     def __missing__(self, token: str) -> bytes:
         piece = token.encode()
-        whole_id = self.rank(piece)
-        ids = [whole_id] if whole_id is not None else merge_bytes(piece, self.rank)
+        found = self.whole(piece)
+        ids = [found] if found is not None else merge_bytes(piece, self.ranks)
         packed = np.array(ids, dtype="<u4").tobytes()
-        if len(token) < 64:  # long ones hardly return
+        if len(token) < LONG:
             if len(self) >= REMEMBERED:
                 self.clear()
             self[token] = packed
         return packed
 
 
+class Encoder(dict):
+    """Text between two spaces to the ids of a space and that text.
+
+    Before a space that a non-space follows, the pattern always ends a pre-token, so a text
+    may be cut there and each part split and encoded by itself, and remembered.
+    """
+
+    def __init__(self, hashed: PerfectHash, pattern: str) -> None:
+        super().__init__()
+        self.tokens = Tokens(hashed).__getitem__
+        self.find = regex.compile(pattern).findall
+        # Two spaces in a row, or other white space after a space, need the pattern as a whole.
+        self.plain = regex.compile(r" (?:\s|$)").search
+
+    def split(self, text: str) -> bytes:
+        return b"".join(map(self.tokens, self.find(text)))
+
+    def __missing__(self, part: str) -> bytes:
+        packed = self.split(" " + part)
+        if len(part) < LONG:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[part] = packed
+        return packed
+
+    def encode(self, text: str, cut: bool = True) -> bytes:
+        """The ids of a text; `cut` says that the pattern allows cutting before spaces."""
+        if not cut or self.plain(text):
+            return self.split(text)
+        first, *rest = text.split(" ")
+        return self.split(first) + b"".join(map(self.__getitem__, rest))
+
+
 def encode_documents(
     docs: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -173,17 +209,18 @@ def run_encoder(
     docs: DataFrame, ranks: dict[bytes, int], pattern: str, key: str, text: str, digests: bool
 ) -> DataFrame:
     names = list(ranks)
+    cut = pattern == GPT_PATTERN
     shared = docs.sparkSession.sparkContext.broadcast(
         (PerfectHash(names, [ranks[k] for k in names]), {v: k for k, v in ranks.items()})
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed, bytes_of = shared.value
-        encoder, find = Encoder(hashed), regex.compile(pattern).findall
+        encoder = Encoder(hashed, pattern)
         for batch in slices(batches, 256):
             ids_out, decoded_out = [], []
             for value in batch.column("text"):
-                packed = b"".join(map(encoder.__getitem__, find(value.as_py())))
+                packed = encoder.encode(value.as_py(), cut)
                 ids = np.frombuffer(packed, dtype="<u4")
                 decoded = b"".join(map(bytes_of.__getitem__, ids.tolist()))
                 if digests:
