@@ -1,4 +1,4 @@
 """Imports every query module of this subpackage, so that its registry is full."""
 
-from labelloom.llm import ann, bpe, exact_dedup, jaccard, packing, quality, substring_dedup, url_filter, warc  # noqa: F401
+from labelloom.llm import ann, bpe, exact_dedup, jaccard, packing, pii, quality, substring_dedup, url_filter, warc  # noqa: F401
 from labelloom.llm.registry import ORACLES, QUERIES  # noqa: F401
