@@ -85,6 +85,43 @@ def confusion_grid(spark, sf_dir):
     return metrics.confusion_grid(_counts(spark, sf_dir))
 
 
+@query(
+    f"""WITH {i.SCORED_EVENTS}, l AS (SELECT unnest({list(i.EVENT_LABELS)}) AS label)
+SELECT label AS "true", """
+    + ", ".join(
+        f"count(*) FILTER (pred = '{label}' AND \"true\" IS NOT NULL) AS {label}"
+        for label in sorted(i.EVENT_LABELS)
+    )
+    + """ FROM l LEFT JOIN scored ON "true" = label GROUP BY label"""
+)
+def observed_matrix(spark, sf_dir):
+    """The square matrix over the labels that occur, whatever they are."""
+    return metrics.observed_matrix(_counts(spark, sf_dir))
+
+
+TIMED = """timed AS (SELECT CASE WHEN event_id % 3 = 0 THEN NULL ELSE value END AS seconds FROM events)"""
+
+
+@query(
+    f"""WITH {TIMED} SELECT round(avg(seconds), 6) AS mean_of_bundle, round(avg(seconds), 6) AS mean_of_summary,
+  round(sum(seconds), 6) AS total FROM timed"""
+)
+def latency_with_nulls(spark, sf_dir):
+    """Rows without seconds count in neither mean."""
+    seconds = F.when(F.col("event_id") % 3 != 0, F.col("value"))
+    label = F.col("event_type")
+    rows = i.table(spark, sf_dir, "events").select(
+        label.alias("true"), label.alias("pred"), seconds.alias("seconds")
+    )
+    bundle = metrics.metrics_bundle(metrics.confusion_counts(rows, "true", "pred", "seconds"), ())
+    mean = bundle.filter("metric = 'avg_processing_time'").agg(F.max("value")).scalar()
+    summary = metrics.latency_summary(rows, "seconds").select(
+        mean.alias("mean_of_bundle"), F.col("avg_processing_time").alias("mean_of_summary"),
+        F.col("total_processing_time").alias("total"),
+    )
+    return rounded(summary, "mean_of_bundle", "mean_of_summary", "total")
+
+
 @query(
     f"""WITH {i.SCORED_EVENTS}
 SELECT round(avg(("true" = pred)::INTEGER), 6) AS accuracy FROM scored"""
@@ -177,14 +214,42 @@ def training_metrics(spark, sf_dir):
     return rounded(metrics.training_metrics(_judged_counts(spark, sf_dir)), "value")
 
 
-PROMPT = prompt_sql("zero_shot")
-ANSWER = f"""CASE WHEN {any_sql(GATE, PROMPT)} AND {any_sql(AGAINST, PROMPT)} THEN 'against'
-            WHEN {any_sql(GATE, PROMPT)} AND {any_sql(FAVOR, PROMPT)} THEN 'in-favor'
+def answer_sql(text: str) -> str:
+    return f"""CASE WHEN {any_sql(GATE, text)} AND {any_sql(AGAINST, text)} THEN 'against'
+            WHEN {any_sql(GATE, text)} AND {any_sql(FAVOR, text)} THEN 'in-favor'
             ELSE 'neutral-or-unclear' END"""
 
 
 @query(
-    f"""WITH {i.STANCE}, answered AS (SELECT "true", {ANSWER} AS pred FROM judged),
+    f"""WITH {i.STANCE}, answered AS (
+  SELECT "true", {answer_sql(prompt_sql("zero_shot"))} AS pred FROM judged),
+{prf_sql("answered", "prf")}
+SELECT metric, label, round(value, 6) AS value FROM ({bundle_sql("answered", STANCES, False)})"""
+)
+def evaluate_labeller_prompted(spark, sf_dir):
+    """The same labeller on the rendered prompt, whose words it takes for the text's."""
+    rows = spread(i.stance_documents(spark, sf_dir).drop("raw_response"), "doc_id")
+    scored = score_labeller(rows, load_keyword_model, "doc_id", "text", "true", "zero_shot")
+    counts = metrics.confusion_counts(scored, "true", "label_pred")
+    return rounded(metrics.metrics_bundle(counts), "value")
+
+
+@query(
+    f"""WITH {i.STANCE}, answered AS (
+  SELECT doc_id, "true", {answer_sql("text")} AS label_pred FROM judged
+  ORDER BY md5('42:' || doc_id), doc_id LIMIT 50)
+SELECT doc_id, "true", label_pred, label_pred AS raw_response FROM answered"""
+)
+def score_labeller_sample(spark, sf_dir):
+    """Fifty sampled rows, end to end."""
+    rows = i.stance_documents(spark, sf_dir).drop("raw_response")
+    return score_labeller(
+        rows, load_keyword_model, "doc_id", "text", "true", sample_size=50
+    ).drop("text")
+
+
+@query(
+    f"""WITH {i.STANCE}, answered AS (SELECT "true", {answer_sql("text")} AS pred FROM judged),
 {prf_sql("answered", "prf")}
 SELECT metric, label, round(value, 6) AS value FROM ({bundle_sql("answered", STANCES, False)})"""
 )
@@ -275,6 +340,9 @@ def report_sink(spark, sf_dir):
     return reports.report_lines(spark, path).select("line_no", "line")
 
 
+REST_LINES = ("- Split ratio: 80% train / 20% test", *reports.PREPARATION_REST)
+
+
 @query(
     f"""WITH {i.SPLIT_PREPARED}, c AS (
   SELECT lang, count(*) AS n, count(*) * 100.0::DOUBLE / sum(count(*)) OVER () AS pct
@@ -293,7 +361,8 @@ UNION ALL SELECT 3, row_number() OVER (ORDER BY n DESC, lang),
 UNION ALL SELECT 4, unnest([0, 1]), unnest(['', 'Train/Test Split:'])
 UNION ALL SELECT 5, CASE split WHEN 'train' THEN 0 ELSE 1 END,
   '- ' || CASE split WHEN 'train' THEN 'Train' ELSE 'Test' END || ' samples: ' || n || ' ('
-  || printf('%.1f', round(pct, 1)) || '%)' FROM s)
+  || printf('%.1f', round(pct, 1)) || '%)' FROM s
+UNION ALL SELECT 6, unnest(range({len(REST_LINES)})), unnest({list(REST_LINES)}))
 SELECT row_number() OVER (ORDER BY b, p)::INTEGER AS line_no, line FROM lines"""
 )
 def preparation_report(spark, sf_dir):

@@ -39,6 +39,15 @@ def csv_scan(spark, sf_dir):
     return _nulls_shown(tables.csv_scan(spark, path, RAW_SCHEMA))
 
 
+@query(CSV_ORACLE)
+def csv_scan_reordered(spark, sf_dir):
+    """Columns written in another order, with one more, are found by name."""
+    path = scratch_path(spark, "csv_scan_reordered")
+    rows = i.raw_documents(spark, sf_dir)
+    tables.csv_sink(rows.select(F.lit("x").alias("more"), *reversed(rows.columns)), path)
+    return _nulls_shown(tables.csv_scan(spark, path, RAW_SCHEMA))
+
+
 @query(
     f"""WITH {i.SPLIT_ORDERS}
 SELECT o_orderkey, o_orderpriority, split FROM parted"""

@@ -174,6 +174,21 @@ def head_n(spark, sf_dir):
     return split.head_n(i.documents(spark, sf_dir).select("doc_id", "text", "lang"), "doc_id", 10)
 
 
+@query("SELECT o_orderkey, o_orderpriority FROM orders ORDER BY o_orderkey LIMIT 5000")
+def head_n_5000(spark, sf_dir):
+    """Only keys go through the top-n; the rows are fetched by them."""
+    return split.head_n(i.orders(spark, sf_dir), "o_orderkey", 5000)
+
+
+@query(
+    """SELECT conv_id, turn, role, (row_number() OVER (ORDER BY conv_id, turn) - 1) // 16 AS batch_id
+FROM conversations"""
+)
+def batch_ids_composite(spark, sf_dir):
+    rows = i.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
+    return split.batch_ids(rows, ["conv_id", "turn"], 16)
+
+
 @query(
     f"""SELECT {KEY}, {LABEL}, (row_number() OVER (ORDER BY {KEY}) - 1) // 16 AS batch_id
 FROM orders"""

@@ -48,11 +48,11 @@ WORDS = r"regexp_extract_all(lower({0}), '[\p{{L}}\p{{N}}_]+')"
 VOCABULARY = f"""tokens AS (SELECT unnest({WORDS.format("text")}) AS token FROM documents),
 vocabulary AS (
   SELECT token, count(*) AS n, (row_number() OVER (ORDER BY count(*) DESC, token) + 2)::INTEGER AS id
-  FROM tokens GROUP BY token ORDER BY n DESC, token LIMIT 2000)"""
+  FROM tokens GROUP BY token ORDER BY n DESC, token LIMIT 8000)"""
 
 
 def _vocabulary(spark, sf_dir):
-    return sequences.vocabulary(i.spread_documents(spark, sf_dir), "text", 2000)
+    return sequences.vocabulary(i.spread_documents(spark, sf_dir), "text")
 
 
 @query(f"WITH {VOCABULARY} SELECT token, n, id FROM vocabulary")
@@ -83,7 +83,7 @@ TARGET_IDS = encoded_sql("y", "lang", 16)
 
 
 def _encoded(spark, sf_dir, vocab=None):
-    vocab = settle(_vocabulary(spark, sf_dir)) if vocab is None else vocab
+    vocab = _vocabulary(spark, sf_dir) if vocab is None else vocab
     pairs = sequences.training_pairs(i.spread_documents(spark, sf_dir), "doc_id", "text", "lang")
     return sequences.encode_sequence(pairs, vocab, "doc_id", "text", "label_text")
 
@@ -199,6 +199,21 @@ def label_strict(spark, sf_dir):
     return i.answers(spark, sf_dir).withColumn("label", rules.label_strict(F.col("answer")))
 
 
+@query(
+    f"""SELECT conv_id, turn, role, {i.LENIENT.format("text")} AS lenient,
+       {i.SUBSTRING.format("text")} AS substring,
+       CASE WHEN trim(text) IN ('in-favor', 'against', 'neutral-or-unclear') THEN trim(text)
+            ELSE 'neutral-or-unclear' END AS strict FROM conversations"""
+)
+def label_rules_conversations(spark, sf_dir):
+    """The three answer rules over given texts."""
+    text = F.col("text")
+    return i.table(spark, sf_dir, "conversations").select(
+        "conv_id", "turn", "role", rules.label_lenient(text).alias("lenient"),
+        rules.label_substring(text).alias("substring"), rules.label_strict(text).alias("strict"),
+    )
+
+
 # Word lists that occur in the driver texts.
 GATE = ("the ", "und", "que")
 AGAINST = ("con ", "mit ", "that")
@@ -292,29 +307,33 @@ def tfidf(spark, sf_dir):
     return rounded(features.tfidf(parted, terms, "doc_id", "text"), "weight")
 
 
-QUERY_ITERATIONS = 20
-
-
 def _fitted(spark, sf_dir):
     parted = _parted(spark, sf_dir)
     train = parted.filter("split = 'train'")
     weights = resample.class_weights(train, "lang", ("en", "fr", "de", "es"))
-    model = classifier.fit_classifier(
-        resample.weighted_rows(train, "lang", weights), "text", "lang", "weight",
-        max_iter=QUERY_ITERATIONS,
-    )
-    return parted, model
+    weighted = resample.weighted_rows(train, "lang", weights)
+    model = classifier.fit_classifier(weighted, "text", "lang", "weight")
+    return parted, weighted, model
 
 
 @query()
 def fit_classifier(spark, sf_dir):
-    _, fitted = _fitted(spark, sf_dir)
+    _, _, fitted = _fitted(spark, sf_dir)
     return rounded(classifier.coefficients(fitted, spark), "coefficient")
 
 
+@query("SELECT DISTINCT lang AS label, true AS gradient_ok FROM documents")
+def classifier_optimum(spark, sf_dir):
+    """At the optimum of the penalised loss, the gradient vanishes for every label."""
+    _, weighted, fitted = _fitted(spark, sf_dir)
+    slack = 0.01  # of sums over all rows
+    found = classifier.gradients(fitted, weighted, "text", "lang", "weight", tolerance=slack)
+    return found.select("label", "gradient_ok")
+
+
 @query()
 def predict_classifier(spark, sf_dir):
-    parted, fitted = _fitted(spark, sf_dir)
+    parted, _, fitted = _fitted(spark, sf_dir)
     test = parted.filter("split = 'test'")
     return classifier.predict_classifier(fitted, test, "text").select(
         "doc_id", "lang", "label_pred"

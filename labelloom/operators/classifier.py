@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from labelloom.functions.text import STOP_WORDS, word_key
@@ -15,11 +17,15 @@ from labelloom.operators.features import term_statistics, tfidf_vectors, with_to
 from labelloom.plans.lookup import literal_table, pull_small, settle
 
 
+DIGEST_LENGTH = 33
+
+
 @dataclass
 class TextClassifier:
     """A fitted model with the terms and labels it was fitted on."""
 
-    terms: list[str]
+    terms: list[str]  # very long ones as digests
+    words: DataFrame  # the word of each term
     labels: DataFrame
     vectors: PipelineModel
     model: LogisticRegressionModel
@@ -53,26 +59,67 @@ def fit_classifier(
     columns = [F.col("__code").cast("double").alias("__code"), "features"]
     if weight is not None:
         columns.append(F.col(weight).cast("double").alias("__weight"))
-    points = coded.select(*columns).persist()
-    try:
-        # The summed loss weighs every row by its weight, as the penalty has to.
-        total = points.agg(F.sum(F.lit(1.0) if weight is None else "__weight")).first()[0]
-        learner = LogisticRegression(
-            family="multinomial",
-            labelCol="__code",
-            featuresCol="features",
-            maxIter=max_iter,
-            regParam=1.0 / (c * total),
-            elasticNetParam=0.0,
-            standardization=False,
-            tol=tol,
-        )
-        if weight is not None:
-            learner = learner.setWeightCol("__weight")
-        model = learner.fit(points)
-    finally:
-        points.unpersist()
-    return TextClassifier(terms.column("term").to_pylist(), labels, vectors, model, stop_words)
+    # The summed loss weighs every row by its weight, as the penalty has to. Unlabelled rows
+    # have no code and take no part.
+    weighed = F.lit(1.0) if weight is None else F.col(weight).cast("double")
+    total = train.filter(F.col(label).isNotNull()).agg(F.sum(weighed)).first()[0]
+    learner = LogisticRegression(
+        family="multinomial",
+        labelCol="__code",
+        featuresCol="features",
+        maxIter=max_iter,
+        regParam=1.0 / (c * total),
+        elasticNetParam=0.0,
+        standardization=False,
+        tol=tol,
+    )
+    if weight is not None:
+        learner = learner.setWeightCol("__weight")
+    # The trainer keeps the points itself, in blocks.
+    model = learner.fit(coded.select(*columns).filter("__code IS NOT NULL"))
+    names = terms.column("term").to_pylist()
+    words = statistics.select(word_key(F.col("term")).alias("term"), F.col("term").alias("word"))
+    return TextClassifier(names, words, labels, vectors, model, stop_words)
+
+
+def gradients(
+    fitted: TextClassifier, df: DataFrame, text: str, label: str, weight: str | None = None,
+    c: float = 1.0, tolerance: float = 1e-3,
+) -> DataFrame:
+    """Per label, the largest partial derivative of the objective at the fitted weights.
+
+    The objective is strictly convex but for the intercepts, so the fit is the optimum where all
+    vanish: `label, largest, gradient_ok`. It is computed from the data alone, as sums over rows.
+    """
+    beta = fitted.model.coefficientMatrix.toArray()
+    rows = fitted.features(df, text)
+    coded = label_encode(rows, label, fitted.labels, "__code").filter("__code IS NOT NULL")
+    scored = fitted.model.transform(coded)
+    weighed = F.lit(1.0) if weight is None else F.col(weight).cast("double")
+    parts = F.unwrap_udt("features")
+    miss = F.get(vector_to_array("probability"), F.col("k")) - (F.col("__code") == F.col("k")).cast("int")
+    per_label = scored.select(
+        weighed.alias("w"), "probability", "__code", parts.alias("x"),
+        F.explode(F.sequence(F.lit(0), F.lit(len(beta) - 1))).alias("k"),
+    ).select("k", (miss * F.col("w")).alias("miss"), "x")
+    # An intercept is a weight of a feature that is always one, without a penalty.
+    cells = F.concat(
+        F.transform(
+            F.arrays_zip("x.indices", "x.values"),
+            lambda cell: F.struct(cell["indices"].alias("i"), cell["values"].alias("v")),
+        ),
+        F.array(F.struct(F.lit(-1).alias("i"), F.lit(1.0).alias("v"))),
+    )
+    sums = (
+        per_label.select("k", "miss", F.inline(cells))
+        .groupBy("k", "i")
+        .agg(F.sum(F.col("miss") * F.col("v")).alias("loss"))
+    )
+    weights = F.from_json(F.lit(json.dumps(beta.tolist())), "array<array<double>>")
+    penalty = F.when(F.col("i") >= 0, F.get(F.get(weights, F.col("k")), F.col("i")) / c).otherwise(0.0)
+    largest = sums.groupBy("k").agg(F.max(F.abs(F.col("loss") + penalty)).alias("largest"))
+    named = label_decode(largest, "k", fitted.labels)
+    return named.select("label", "largest", (F.col("largest") < tolerance).alias("gradient_ok"))
 
 
 def coefficients(fitted: TextClassifier, spark) -> DataFrame:
@@ -85,6 +132,10 @@ def coefficients(fitted: TextClassifier, spark) -> DataFrame:
         for term, value in zip(["", *fitted.terms], [intercepts[code], *matrix[code]])
     ]
     table = literal_table(spark, rows, "encoded_value int, term string, coefficient double")
+    if any(len(term) == DIGEST_LENGTH and term.startswith("#") for term in fitted.terms):
+        table = table.join(fitted.words, "term", "left").select(
+            "encoded_value", F.coalesce("word", "term").alias("term"), "coefficient"
+        )
     return label_decode(table, "encoded_value", fitted.labels).select(
         "label", "term", "coefficient"
     )

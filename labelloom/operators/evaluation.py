@@ -18,7 +18,7 @@ def score_labeller(
     key: str,
     text: str,
     true: str,
-    template: str = "zero_shot",
+    template: str | None = None,
     normalise: Callable[[Column], Column] = label_lenient,
     sample_size: int | None = None,
     seed: int | str = 42,
@@ -26,13 +26,17 @@ def score_labeller(
 ) -> DataFrame:
     """Key, text, true label, predicted label and raw response of every (sampled) row.
 
-    The text stays with its row, so examples drawn from a sample show the right text.
+    The model gets the text, or the prompt of a `template`; a keyword rule would find its
+    words in the prompt. The text stays with its row, so examples drawn from a sample show the right text.
     """
     rows = df.select(key, text, true)
     if sample_size is not None:
         rows = sample_n(rows, key, sample_size, seed)
-    prompted = rows.withColumn("__prompt", render_prompt(F.col(text), template))
-    answered = raw_responses(prompted, load_model, "__prompt", **options)
+    asked = text
+    if template is not None:
+        asked = "__prompt"
+        rows = rows.withColumn(asked, render_prompt(F.col(text), template))
+    answered = raw_responses(rows, load_model, asked, **options)
     return answered.select(
         key, text, true, normalise(F.col("raw_response")).alias("label_pred"), "raw_response"
     )

@@ -7,14 +7,13 @@ from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, Window, functions as F
 
 from labelloom.functions.text import STOP_WORDS, content_words, word_key
 from labelloom.plans.lookup import lookup_join, pull_small, settle
 
-# Terms up to which a document's weights are computed as one dense array.
+# Terms up to which they are a constant of the plan; more are joined, with the same result.
 VECTOR_TERMS = 20_000
 
 
@@ -54,9 +53,9 @@ def term_statistics(
 
 
 def with_tokens(df: DataFrame, text: str, stop_words: Sequence[str]) -> DataFrame:
-    """Attach the content words, very long ones as digests."""
+    """Attach the content words, very long ones as digests; a null text has none."""
     tokens = F.transform(content_words(F.col(text), stop_words), word_key)
-    return df.withColumn("__tokens", tokens)
+    return df.withColumn("__tokens", F.coalesce(tokens, F.array().cast("array<string>")))
 
 
 def tfidf_vectors(terms: Sequence[str], idf: Sequence[float]) -> PipelineModel:
@@ -78,9 +77,9 @@ def tfidf(
 ) -> DataFrame:
     """L2-normalised tf x idf weights over the given terms.
 
-    Up to VECTOR_TERMS terms this is map-only: each row is counted, weighted and
-    normalised as a vector, which is then listed by term. With more terms the
-    documents are spread by key and counted by an aggregate.
+    A null text has no terms. Up to VECTOR_TERMS terms this is map-only: each row is
+    counted, weighted and normalised as a sparse vector, whose non-zero parts are listed. With more
+    terms the tokens are counted by an aggregate.
     """
     terms = settle(terms)
     table = pull_small(
@@ -92,16 +91,17 @@ def tfidf(
     table = table.sort_by("term_index")
     vectors = tfidf_vectors(table.column("word").to_pylist(), table.column("idf").to_pylist())
     names = F.from_json(F.lit(json.dumps(table.column("term").to_pylist())), "array<string>")
+    # Both vectors are sparse over the same terms; an idf is never zero.
+    counts, weights = F.unwrap_udt("__tf"), F.unwrap_udt("features")
     cells = F.arrays_zip(
-        vector_to_array("__tf").alias("tf"), vector_to_array("features").alias("weight")
+        counts["indices"].alias("place"), counts["values"].alias("tf"), weights["values"].alias("weight")
     )
     return (
         vectors.transform(with_tokens(df.select(key, text), text, stop_words))
-        .select(key, F.posexplode(cells).alias("__place", "__cell"))
-        .filter(F.col("__cell.tf") > 0)
+        .select(key, F.explode(cells).alias("__cell"))
         .select(
             key,
-            F.get(names, F.col("__place")).alias("term"),
+            F.get(names, F.col("__cell.place")).alias("term"),
             F.col("__cell.tf").cast("long").alias("tf"),
             F.col("__cell.weight").alias("weight"),
         )
@@ -111,12 +111,8 @@ def tfidf(
 def _tfidf_by_document(
     df: DataFrame, terms: DataFrame, key: str, text: str, stop_words: Sequence[str]
 ) -> DataFrame:
-    """Counting, weighting and normalising within one partitioning by document."""
-    tokens = (
-        df.select(key, text)
-        .repartition(key)
-        .select(key, F.explode(content_words(F.col(text), stop_words)).alias("term"))
-    )
+    """Counting by document and term, combined before the shuffle."""
+    tokens = df.select(key, F.explode(content_words(F.col(text), stop_words)).alias("term"))
     counts = (
         lookup_join(tokens, terms.select("term", "idf"), "term")
         .groupBy(key, "term", "idf")

@@ -58,20 +58,33 @@ class KeywordModel:
         return [self.answer(text) for text in texts]
 
 
+def _ask(model: Model, batch: list[str]) -> list[str | None]:
+    """The model's answers to a batch, one for each text."""
+    answers = list(model.predict(batch))
+    if len(answers) != len(batch):
+        raise ValueError(f"the model gave {len(answers)} answers to {len(batch)} texts")
+    return answers
+
+
 def _answers(model: Model, texts: list[str | None], size: int, on_error: str) -> Iterable[str | None]:
-    """Raw responses batch by batch; with on_error='null' a failing row answers null."""
+    """Raw responses batch by batch; with on_error='null' a failing row answers null.
+
+    A batch with too few or too many answers fails as a whole, so none moves to another row.
+    """
     for start in range(0, len(texts), size):
         batch = [text or "" for text in texts[start : start + size]]
         try:
-            yield from model.predict(batch)
+            answers = _ask(model, batch)
         except Exception:
             if on_error == "raise":
                 raise
+            answers = []
             for text in batch:
                 try:
-                    yield model.predict([text])[0]
+                    answers += _ask(model, [text])
                 except Exception:
-                    yield None
+                    answers.append(None)
+        yield from answers
 
 
 def raw_responses(

@@ -22,10 +22,13 @@ def is_correct(true: str, pred: str) -> Column:
 def confusion_counts(
     df: DataFrame, true: str, pred: str, seconds: str | None = None, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Rows (and seconds) per pair of true and predicted label, and per run with `by`."""
+    """Rows per pair of true and predicted label, and per run with `by`.
+
+    With `seconds` also their sum and the number of rows that have them.
+    """
     sums = [F.count("*").alias("n")]
     if seconds is not None:
-        sums.append(F.sum(seconds).alias("seconds"))
+        sums += [F.sum(seconds).alias("seconds"), F.count(seconds).alias("timed")]
     pair = (F.col(true).alias("true"), F.col(pred).alias("pred"))
     return df.groupBy(*by, *pair).agg(*sums)
 
@@ -48,11 +51,23 @@ def confusion_matrix(counts: DataFrame, labels: Sequence[str] = STANCES) -> Data
 
 
 def confusion_grid(counts: DataFrame) -> DataFrame:
-    """The matrix over all observed labels in long form; pairs that never occur are left out."""
+    """The observed pairs in long form; pairs that never occur are left out."""
     known = F.col("true").isNotNull() & F.col("pred").isNotNull()
     return counts.filter(known).select("true", "pred", "n").orderBy("true", "pred")
 
 
+def observed_labels(counts: DataFrame) -> list[str]:
+    """All labels seen as true or predicted, in order; as many as the table has classes."""
+    both = counts.select(F.explode(F.array("true", "pred")).alias("label")).distinct()
+    return sorted(r["label"] for r in both.filter("label IS NOT NULL").collect())
+
+
+def observed_matrix(counts: DataFrame) -> DataFrame:
+    """The square matrix over all observed labels, zeros included."""
+    counts = settle(counts)
+    return confusion_matrix(counts, observed_labels(counts))
+
+
 def _correct() -> Column:
     return F.sum(F.when(is_correct("true", "pred"), F.col("n")).otherwise(0))
 
@@ -167,7 +182,7 @@ def metrics_bundle(counts: DataFrame, labels: Sequence[str] = STANCES) -> DataFr
     names = ["accuracy"]
     if "seconds" in counts.columns:
         totals += [
-            ratio(F.sum("seconds"), F.sum("n")).alias("avg_processing_time"),
+            ratio(F.sum("seconds"), F.sum("timed")).alias("avg_processing_time"),
             F.sum("seconds").alias("total_processing_time"),
         ]
         names += ["avg_processing_time", "total_processing_time"]

@@ -84,11 +84,16 @@ def oversample(
         "__copies", F.col("__copies") + F.col("__more").cast("long")
     )
     # Numbers 1..copies in blocks, so that one row of a tiny class is not copied by one task.
-    last_block = F.floor((F.col("__copies") - 1) / COPIES_PER_TASK)
-    blocks = counted.withColumn("__block", F.explode(F.sequence(F.lit(0).cast("long"), last_block)))
+    # Only the rows of such classes move.
+    blocks = counted.withColumn("__block", F.lit(0).cast("long"))
     most = plan.agg(F.max("__copies")).first()[0]
-    if most is not None and most > COPIES_PER_TASK:
-        blocks = blocks.repartition(key, "__block")
+    if most is not None and most >= COPIES_PER_TASK:
+        last_block = F.floor((F.col("__copies") - 1) / COPIES_PER_TASK)
+        many = counted.filter(F.col("__copies") > COPIES_PER_TASK).withColumn(
+            "__block", F.explode(F.sequence(F.lit(0).cast("long"), last_block))
+        )
+        few = blocks.filter(F.col("__copies") <= COPIES_PER_TASK)
+        blocks = few.unionByName(many.repartition(key, "__block"))
     first = F.col("__block") * COPIES_PER_TASK + 1
     last = F.least(first + (COPIES_PER_TASK - 1), F.col("__copies"))
     return blocks.select(*df.columns, F.explode(F.sequence(first, last)).alias(into))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from labelloom.functions.prompts import render_prompt
 from labelloom.functions.sequences import EOS_ID, FIRST_FREE_ID, PAD_ID, UNK_ID, pad, truncate
 from labelloom.functions.text import word_key, words
-from labelloom.plans.lookup import pull_small, salted_join, settle
+from labelloom.plans.lookup import pull_small, salted_join
 
 DICTIONARY_SLOTS = 4096
 DICTIONARY_WORDS = 100_000
@@ -75,15 +75,16 @@ def look_up(tokens: Column, constant: Column) -> Column:
 
 
 def with_ids(
-    df: DataFrame, vocab: DataFrame, key: str, text: str, max_length: int, into: str
+    df: DataFrame, vocab: DataFrame, key: str, text: str, max_length: int, into: str,
+    constant: Column | None = None,
 ) -> DataFrame:
-    """Attach the token ids with the end id, at most `max_length` in all.
+    """Attach the token ids with the end id, at most `max_length` in all; null for a null text.
 
     Within the dictionary limit this is map-only. A larger vocabulary is joined: a row
     yields at most `max_length` tokens, and hot tokens are salted.
     """
     kept = truncate(words(F.col(text)), max_length - 1)
-    constant = dictionary(vocab)
+    constant = dictionary(vocab) if constant is None else constant
     end = F.array(F.lit(EOS_ID))
     if constant is not None:
         return df.withColumn(into, F.concat(look_up(kept, constant), end))
@@ -98,7 +99,7 @@ def with_ids(
     nothing = F.array().cast("array<int>")
     return (
         df.join(ids, key, "left")
-        .withColumn(into, F.concat(F.coalesce(ordered, nothing), end))
+        .withColumn(into, F.when(F.col(text).isNotNull(), F.concat(F.coalesce(ordered, nothing), end)))
         .drop("__ids")
     )
 
@@ -113,10 +114,10 @@ def encode_sequence(
     max_target_length: int = 16,
 ) -> DataFrame:
     """Text and target as id arrays of fixed length: cut, closed by the end id, padded."""
-    vocab = settle(vocab)
+    constant = dictionary(vocab)  # one pass over the corpus for both columns
     rows = df.select(key, text, target)
-    rows = with_ids(rows, vocab, key, text, max_length, "input_ids")
-    rows = with_ids(rows, vocab, key, target, max_target_length, "labels")
+    rows = with_ids(rows, vocab, key, text, max_length, "input_ids", constant)
+    rows = with_ids(rows, vocab, key, target, max_target_length, "labels", constant)
     return rows.select(
         key,
         pad(F.col("input_ids"), F.lit(max_length)).alias("input_ids"),
@@ -141,7 +142,7 @@ def batch_pad(df: DataFrame, ids: str, batch: str = "batch_id") -> DataFrame:
 
 
 def decode_sequence(df: DataFrame, vocab: DataFrame, key: str, ids: str) -> DataFrame:
-    """Ids back to text: reserved ids left out, tokens joined by a blank.
+    """Ids back to text: reserved ids left out, tokens joined by a blank; null for null ids.
 
     Map-only within the dictionary limit, a salted join beyond it.
     """
@@ -161,6 +162,6 @@ def decode_sequence(df: DataFrame, vocab: DataFrame, key: str, ids: str) -> Data
         .agg(F.array_sort(F.collect_list(F.struct("__place", "token"))).alias("__words"))
     )
     text = F.array_join(F.transform("__words", lambda pair: pair.getField("token")), " ")
-    return df.select(key).join(found, key, "left").select(
-        key, F.coalesce(text, F.lit("")).alias("text")
+    return df.select(key, ids).join(found, key, "left").select(
+        key, F.when(F.col(ids).isNotNull(), F.coalesce(text, F.lit(""))).alias("text")
     )

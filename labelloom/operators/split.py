@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from labelloom.functions.order import seeded_hash
@@ -155,8 +157,13 @@ def head_n(df: DataFrame, key: str, n: int) -> DataFrame:
     return first_rows(df, key, n)
 
 
-def batch_ids(df: DataFrame, key: str, size: int = 16, into: str = "batch_id") -> DataFrame:
-    """Cut the table, in key order, into batches of `size` rows; the last one may be shorter."""
+def batch_ids(
+    df: DataFrame, key: str | Sequence[str], size: int = 16, into: str = "batch_id"
+) -> DataFrame:
+    """Cut the table, in key order, into batches of `size` rows; the last one may be shorter.
+
+    The key is one or more columns of any orderable type.
+    """
     numbered = number_rows(df, key, "__row")
     batch = F.floor((F.col("__row") - 1) / size).cast("long")
     return numbered.withColumn(into, batch).drop("__row")

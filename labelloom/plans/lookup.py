@@ -92,10 +92,10 @@ def first_rows(df: DataFrame, key: str, n: int, *order: Column) -> DataFrame:
     stay narrow; the rows themselves are fetched for the n keys that remain.
     """
     ranked = [*order, F.col(key)]
-    if n > FETCH_KEYS:
-        return df.orderBy(*ranked).limit(n)
-    top = df.orderBy(*ranked).limit(n).select(key)
-    return fetch_by_key(df, top, key).orderBy(*ranked).limit(n)
+    top = df.select(*[c.alias(f"__{i}") for i, c in enumerate(order)], key)
+    top = top.orderBy(*[f"__{i}" for i in range(len(order))], key).limit(n).select(key)
+    found = fetch_by_key(df, top, key).orderBy(*ranked)
+    return found if n > FETCH_KEYS else found.limit(n)
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import math
+from collections.abc import Callable, Sequence
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Row, Window, functions as F
 
 from labelloom.functions.order import seeded_hash
-from labelloom.plans.lookup import lookup_join, settle
+from labelloom.plans.lookup import lookup_join, pin_small, settle
 
 HASH_DIGITS = 3
+PREFIXES = 65_536  # counts per group and prefix that are kept from the one pass over the rows
+SORTED_ROWS = 1_000_000  # of one group that may meet in one sort
 SAMPLED_PER_PART = 100
 
 
@@ -29,12 +31,23 @@ def mark_first(
     `quotas` maps the group sizes `(group, n)` to `(group, quota)`. The rows are
     counted per group and hash prefix; the prefix that holds the last wanted row
     follows from a running sum over those counts, and only the rows under that one
-    prefix (1 in 16**digits of the group) are sorted. What comes back to the rows
+    prefix are sorted: 1 in 16**digits of the group, and where that is more than SORTED_ROWS, the
+    prefix grows until it is not. What comes back to the rows
     is one cut-off value per group, so flagging them needs no shuffle.
     """
     slim = df.select(group, key, seeded_hash(key, seed).alias("__hash"))
-    slim = slim.withColumn("__prefix", F.substring("__hash", 1, digits))
-    per_prefix = slim.groupBy(group, "__prefix").agg(F.count("*").alias("__n"))
+
+    def counted(digits: int) -> tuple[DataFrame, DataFrame]:
+        rows = slim.withColumn("__prefix", F.substring("__hash", 1, digits))
+        counts = rows.groupBy(group, "__prefix").agg(F.count("*").alias("__n"))
+        return rows, pin_small(counts, PREFIXES) or counts
+
+    # The counts of one pass serve for sizes and edges; they also tell how large a sort would be.
+    prefixed, per_prefix = counted(digits)
+    largest = per_prefix.agg(F.max("__n")).first()[0] or 0
+    if largest > SORTED_ROWS:
+        prefixed, per_prefix = counted(digits + math.ceil(math.log(largest / SORTED_ROWS, 16)))
+    slim = prefixed
     sizes = per_prefix.groupBy(group).agg(F.sum("__n").alias("n"))
 
     running = (
@@ -63,41 +76,39 @@ def mark_first(
     return lookup_join(df, cuts, group, "left").select(*columns, chosen.alias(into))
 
 
-def range_points(df: DataFrame, key: str, parts: int) -> list[float]:
+def range_points(df: DataFrame, keys: Sequence[str], parts: int) -> list[Row]:
     """Keys that cut the table into about even ranges.
 
-    They are the quantiles of a hash sample of the keys; they only balance the work,
-    whatever they are, every row falls into one range.
+    They come from a hash sample of the keys, some SAMPLED_PER_PART per range; they only
+    balance the work, whatever they are, every row falls into one range.
     """
     step = max(df.count() // (SAMPLED_PER_PART * parts), 1)
-    sampled = df.filter(F.pmod(F.xxhash64(key), F.lit(step)) == 0)
-    shares = [i / parts for i in range(1, parts)]
-    value = F.col(key).cast("double")
-    return sampled.agg(F.percentile_approx(value, shares, 20 * parts)).first()[0] or [0.0]
+    sampled = df.select(*keys).filter(F.pmod(F.xxhash64(*keys), F.lit(step)) == 0)
+    rows = sampled.orderBy(*keys).collect()
+    return [rows[len(rows) * i // parts] for i in range(1, parts)] if rows else []
 
 
-def number_rows(df: DataFrame, key: str, into: str = "row_no") -> DataFrame:
-    """Attach 1, 2, 3, ... in the order of a unique numeric key.
+def number_rows(df: DataFrame, key: str | Sequence[str], into: str = "row_no") -> DataFrame:
+    """Attach 1, 2, 3, ... in the order of a unique key of one or more orderable columns.
 
     The key range is cut into even ranges, each ranked in its own task and shifted by
-    the number of rows in the ranges before it.
+    the number of rows in the ranges before it. Nulls come first.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
-    points = range_points(df.select(key), key, parts)
-    splits = [float("-inf"), *sorted(set(points)), float("inf")]
-    ranged = (
-        Bucketizer(splits=splits, inputCol="__key", outputCol="__part")
-        .transform(df.withColumn("__key", F.col(key).cast("double")))
-        .withColumn("__part", F.col("__part").cast("int"))
-        .drop("__key")
-    )
+    points = range_points(df, keys, parts)
+    types = [df.schema[k].dataType for k in keys]
+    cuts = [F.struct(*[F.lit(v).cast(t).alias(k) for k, v, t in zip(keys, row, types)]) for row in points]
+    own = F.struct(*[F.col(k) for k in keys])
+    part = F.size(F.filter(F.array(*cuts), lambda cut: cut < own)) if cuts else F.lit(0)
+    ranged = df.withColumn("__part", part)
     # At most `parts` rows: the window over them is bounded by the setting, not by the data.
     sizes = ranged.groupBy("__part").agg(F.count("*").alias("__n"))
     ahead = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     shifts = settle(
         sizes.select("__part", F.coalesce(F.sum("__n").over(ahead), F.lit(0)).alias("__shift"))
     )
-    within = F.row_number().over(Window.partitionBy("__part").orderBy(key))
+    within = F.row_number().over(Window.partitionBy("__part").orderBy(*keys))
     return (
         lookup_join(ranged, shifts, "__part")
         .withColumn(into, F.col("__shift") + within)

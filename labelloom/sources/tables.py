@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 RAW_SCHEMA = (
     "tweet_id long, created_at timestamp, tweet string, label_true string, "
@@ -26,16 +28,46 @@ CSV_OPTIONS = {
 
 
 def csv_scan(
-    spark: SparkSession, path: str, schema: str | StructType, split: str | None = None
+    spark: SparkSession,
+    path: str,
+    schema: str | StructType,
+    split: str | None = None,
+    malformed: str | None = None,
 ) -> DataFrame:
-    """Read a header CSV with a declared schema, as a named split if a name is given.
+    """Read a header CSV with declared column types, as a named split if a name is given.
+
+    Columns are found by their header name, in any order; others are left out, and a
+    missing one is an error, as is a file whose header differs from the first one's. A
+    row with too few or too many fields, or with a value that is not of its column's type,
+    ends the read, unless `malformed` names a column: it then holds the raw row, null for a good one.
 
     Quoted line breaks keep a file from being split, so large tables are written as
     many files, or kept as Parquet between steps.
     """
-    table = (
-        spark.read.schema(schema).options(**CSV_OPTIONS).option("multiLine", True).csv(path)
-    )
+    fields = (StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    reader = spark.read.options(**CSV_OPTIONS).option("multiLine", True).option("enforceSchema", False)
+    names = reader.csv(path).columns
+    missing = [f.name for f in fields if f.name not in names]
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)} in the header of {path}: {names}")
+    texts = StructType([StructField(name, StringType()) for name in names])
+    if malformed is None:
+        rows = reader.schema(texts).option("mode", "FAILFAST").csv(path)
+        table = rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in fields])
+    else:
+        raw = "__raw"
+        reader = reader.option("columnNameOfCorruptRecord", raw)
+        rows = reader.schema(StructType([*texts, StructField(raw, StringType())])).csv(path)
+        values = {f.name: F.col(f"`{f.name}`").try_cast(f.dataType) for f in fields}
+        wrong = reduce(
+            lambda a, b: a | b,
+            [F.col(f"`{name}`").isNotNull() & value.isNull() for name, value in values.items()],
+        )
+        record = F.to_csv(F.struct(*[F.col(f"`{n}`") for n in names]))
+        table = rows.select(
+            *[value.alias(name) for name, value in values.items()],
+            F.coalesce(raw, F.when(wrong, record)).alias(malformed),
+        )
     return table if split is None else table.withColumn("split", F.lit(split))
 
 

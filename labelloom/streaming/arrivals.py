@@ -25,11 +25,11 @@ def label_arrivals(
 ) -> StreamingQuery:
     """Start a run over the files that arrived since the last one; it ends when they are done.
 
-    Labelling keeps no state between rows, so the stream is map-only.
+    Labelling keeps no state between rows, so the stream is map-only. A file whose header
+    is not the schema's columns in their order, or a malformed row, ends the run.
     """
-    rows = (
-        spark.readStream.schema(schema).options(**CSV_OPTIONS).option("multiLine", True).csv(source)
-    )
+    reader = spark.readStream.schema(schema).options(**CSV_OPTIONS).option("multiLine", True)
+    rows = reader.option("enforceSchema", False).option("mode", "FAILFAST").csv(source)
     labelled = append_predictions(rows, load_model, text, normalise)
     return (
         labelled.writeStream.format("parquet")

@@ -18,6 +18,7 @@ TEXTS = [
     (5, "cloudy sky tonight", "c"),
     (6, "sky and cloudy weather", "c"),
 ]
+NULLS = [(7, None, "a"), (8, "", "b")]
 STOP = ("and", "is")
 
 
@@ -111,11 +112,49 @@ def test_very_long_words(spark):
         (0, long_words[0]), (0, "ab"), (1, long_words[1]), (1, "cd"),
     }
     fitted = classifier.fit_classifier(rows, "text", "label", None, 10, ())
-    assert max(map(len, fitted.terms)) <= 128
+    listed = classifier.coefficients(fitted, spark).select("term").distinct().collect()
+    assert {r.term for r in listed} == {"", *long_words, "ab", "cd"}
     got = classifier.predict_classifier(fitted, rows, "text").filter("key < 2")
     assert got.filter("label <> label_pred").isEmpty()
 
 
+@pytest.mark.parametrize("limit", [100, 1])
+def test_null_texts(spark, monkeypatch, limit):
+    """One result on both paths: no terms, null ids, null text."""
+    monkeypatch.setattr(features, "VECTOR_TERMS", limit)
+    monkeypatch.setattr(sequences, "DICTIONARY_WORDS", limit)
+    rows = spark.createDataFrame(TEXTS + NULLS, "key long, text string, label string")
+    terms = features.term_statistics(rows, "text", 50, STOP)
+    weights = features.tfidf(rows, terms, "key", "text", STOP)
+    assert {r.key for r in weights.collect()} == set(range(1, 7))
+    vocab = sequences.vocabulary(rows, "text", 50)
+    cut = sequences.truncate_sequence(rows, vocab, "key", "text", 6)
+    ids = {r.key: r.input_ids for r in cut.collect()}
+    assert ids[7] is None and ids[8] == [1] and ids[5][-1] == 1
+    encoded = sequences.encode_sequence(rows, vocab, "key", "text", "label", 6, 3)
+    assert {r.key: r.input_ids for r in encoded.collect()}[7] is None
+    decoded = {r.key: r.text for r in sequences.decode_sequence(cut, vocab, "key", "input_ids").collect()}
+    assert decoded[7] is None and decoded[8] == "" and decoded[5] == "cloudy sky tonight"
+
+
+def test_classifier_takes_null_texts_and_labels(spark):
+    rows = spark.createDataFrame([*TEXTS, *NULLS, (9, "sky", None)], "key long, text string, label string")
+    fitted = classifier.fit_classifier(rows, "text", "label", None, 100, STOP)
+    assert classifier.predict_classifier(fitted, rows, "text").count() == 9
+    found = classifier.gradients(fitted, rows, "text", "label")
+    assert {r.label: r.gradient_ok for r in found.collect()} == {"a": True, "b": True, "c": True}
+    cut = classifier.fit_classifier(rows, "text", "label", None, 100, STOP, max_iter=1)
+    assert not classifier.gradients(cut, rows, "text", "label").filter("gradient_ok").count() == 3
+
+
+def test_tfidf_lists_only_terms_that_occur(texts):
+    """The rows after the explode are the non-zero terms, not documents times vocabulary."""
+    terms = features.term_statistics(texts, "text", 100, STOP)
+    listed = features.tfidf(texts, terms, "key", "text", STOP)
+    assert "Filter (__cell" not in listed._jdf.queryExecution().executedPlan().toString()
+    assert listed.count() == sum(len(set(tokens(t))) for _, t, _ in TEXTS)
+
+
 def fragile():
     """A model that fails on any batch with the word `bad`."""
 
@@ -151,6 +190,58 @@ def test_keyword_model_equals_the_expression(spark):
     assert by_model.select("key", "label_pred").exceptAll(by_rule).isEmpty()
 
 
+def miscounting():
+    """A model with one answer too few for two texts and one too many for one."""
+
+    class Miscounts:
+        def predict(self, texts):
+            return ["a"] if len(texts) == 2 else ["b", "c"]
+
+    return Miscounts
+
+
+def midway():
+    """A model that fails in the middle of a batch, after the first answer."""
+
+    class Midway:
+        def predict(self, texts):
+            for text in texts:
+                if "bad" in text:
+                    raise RuntimeError("bad text")
+                yield text
+
+    return Midway
+
+
+@pytest.mark.parametrize("size", [1, 2])
+def test_miscounted_answers_never_move(texts, size):
+    rows = texts.coalesce(1)
+    with pytest.raises(Exception, match="answers to"):
+        labelling.batch_label(rows, miscounting(), "key", "text", batch_size=size).collect()
+    got = labelling.batch_label(rows, miscounting(), "key", "text", batch_size=size, on_error="null")
+    assert {r.raw_response for r in got.collect()} == {None}
+
+
+def test_failure_midway_keeps_answers_in_place(texts):
+    got = labelling.batch_label(
+        texts.coalesce(1), midway(), "key", "text", batch_size=3, on_error="null"
+    ).collect()
+    known = {key: text for key, text, _ in TEXTS}
+    assert {r.key: r.raw_response for r in got} == {
+        key: None if "bad" in text else text for key, text in known.items()
+    }
+
+
+def test_prompt_words_cannot_decide_a_label(spark):
+    from labelloom.operators.evaluation import score_labeller
+
+    texts = {1: "vaccine is safe", 2: "the weather today", 3: "get vaccinated, it is important"}
+    rows = spark.createDataFrame([(k, t, "x") for k, t in texts.items()], "key long, text string, label string")
+    scored = score_labeller(rows, labelling.KeywordModel, "key", "text", "label")
+    model = labelling.KeywordModel()
+    assert {r.key: r.raw_response for r in scored.collect()} == {k: model.answer(t) for k, t in texts.items()}
+
+
 def test_sampled_scores_keep_their_text(texts):
     from labelloom.operators.evaluation import score_labeller
 

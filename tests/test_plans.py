@@ -54,6 +54,31 @@ def test_split_does_not_depend_on_partitions(skewed):
     assert one.exceptAll(many).isEmpty() and many.exceptAll(one).isEmpty()
 
 
+@pytest.mark.parametrize("rows", [3, 50])
+def test_prefix_grows_until_a_sort_is_small(monkeypatch, skewed, rows):
+    monkeypatch.setattr(ranking, "SORTED_ROWS", rows)
+    got = split.stratified_split(skewed, "key", "label", 0.25, 1)
+    monkeypatch.undo()
+    assert got.exceptAll(split.stratified_split(skewed, "key", "label", 0.25, 1)).isEmpty()
+
+
+def test_numbers_follow_any_orderable_key(spark):
+    rows = [(f"k{i % 7}", None if i % 11 == 0 else i) for i in range(300)]
+    df = spark.createDataFrame(rows, "a string, b long").distinct().repartition(5)
+    got = [(r.a, r.b) for r in number_rows(df, ["a", "b"]).orderBy("row_no").collect()]
+    assert got == sorted(set(rows), key=lambda r: (r[0], r[1] is not None, r[1] or 0))
+    assert number_rows(df.limit(0), ["a", "b"]).count() == 0
+
+
+def test_large_head_fetches_rows_by_key(monkeypatch, skewed):
+    monkeypatch.setattr(lookup, "FETCH_KEYS", 10)
+    df = skewed.withColumn("wide", F.repeat(F.lit("x"), 50))
+    head = split.head_n(df, "key", 400)
+    text = head._jdf.queryExecution().executedPlan().toString()
+    assert not any("TakeOrdered" in line and "wide" in line for line in text.splitlines())
+    assert sorted(r.key for r in head.collect()) == sorted(r.key for r in skewed.collect())[:400]
+
+
 def test_sample_paths_agree(monkeypatch, skewed):
     top = {r.key for r in split.sample_n(skewed, "key", 333, 9).collect()}
     monkeypatch.setattr(split, "TOP_N_LIMIT", 10)

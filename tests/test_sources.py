@@ -1,5 +1,7 @@
 """Files: what is written comes back."""
 
+import pytest
+
 from labelloom.operators.labelling import KeywordModel
 from labelloom.sources import reports, tables
 from labelloom.streaming.arrivals import label_arrivals
@@ -20,6 +22,27 @@ def test_csv_round_trip(spark, tmp_path):
     assert {r.split for r in back.collect()} == {"test"}
 
 
+def test_columns_are_found_by_name(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("a", 1, "x"), ("b", 2, "y")], "label string, id long, more string").coalesce(
+        1
+    ).write.options(**tables.CSV_OPTIONS).csv(path)
+    got = tables.csv_scan(spark, path, "id long, label string")
+    assert sorted(map(tuple, got.collect())) == [(1, "a"), (2, "b")]
+    with pytest.raises(ValueError, match="no column absent"):
+        tables.csv_scan(spark, path, "id long, absent string")
+
+
+@pytest.mark.parametrize("row", ["zz,b", "3,c,extra", "4"])
+def test_malformed_rows_are_refused_or_reported(spark, tmp_path, row):
+    (tmp_path / "t.csv").write_text(f"id,label\n1,a\n{row}\n")
+    with pytest.raises(Exception, match="(?i)malformed|cast"):
+        tables.csv_scan(spark, str(tmp_path), "id long, label string").collect()
+    got = tables.csv_scan(spark, str(tmp_path), "id long, label string", malformed="raw").collect()
+    assert [(r.id, r.label) for r in got if r.raw is None] == [(1, "a")]
+    assert [r.raw for r in got if r.raw is not None] == [row]
+
+
 def test_last_metric_line_counts(spark, tmp_path):
     for run, score in (("a", "0.5000"), ("b", "0.7500")):
         (tmp_path / run).mkdir()
