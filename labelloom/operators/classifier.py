@@ -86,7 +86,7 @@ def gradients(
     fitted: TextClassifier, df: DataFrame, text: str, label: str, weight: str | None = None,
     c: float = 1.0, tolerance: float = 1e-3,
 ) -> DataFrame:
-    """Per label, the largest partial derivative of the objective at the fitted weights.
+    """Per label, the largest partial derivative of the mean objective at the fitted weights.
 
     The objective is strictly convex but for the intercepts, so the fit is the optimum where all
     vanish: `label, largest, gradient_ok`. It is computed from the data alone, as sums over rows.
@@ -117,7 +117,9 @@ def gradients(
     )
     weights = F.from_json(F.lit(json.dumps(beta.tolist())), "array<array<double>>")
     penalty = F.when(F.col("i") >= 0, F.get(F.get(weights, F.col("k")), F.col("i")) / c).otherwise(0.0)
-    largest = sums.groupBy("k").agg(F.max(F.abs(F.col("loss") + penalty)).alias("largest"))
+    total = coded.agg(F.sum(weighed)).scalar()
+    largest = sums.groupBy("k").agg(F.max(F.abs(F.col("loss") + penalty)).alias("sum"))
+    largest = largest.select("k", (F.col("sum") / total).alias("largest"))
     named = label_decode(largest, "k", fitted.labels)
     return named.select("label", "largest", (F.col("largest") < tolerance).alias("gradient_ok"))
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from labelloom.functions.prompts import render_prompt
 from labelloom.operators import clean, features, labelling, metrics, resample, sequences, split
+from labelloom.plans import scratch
 from labelloom.plans.scratch import scratch_path
 
 DOCUMENTS = "/root/testdata/sf0.001/documents.parquet"
@@ -59,5 +60,13 @@ def test_no_cross_joins(spark):
         assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
+def test_scratch_is_cleared(spark):
+    path = scratch_path(spark, "cleared")
+    spark.range(3).write.parquet(path)
+    scratch.clear(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
 def test_scratch_follows_the_session(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
