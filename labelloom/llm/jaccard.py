@@ -403,7 +403,28 @@ def drop_near(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     return left.groupBy(F.col(key).alias("__key"), "__node").agg(row).select("row.*")
 
 
-@query()
+@query(
+    sql=r"""
+    WITH RECURSIVE t AS (
+        SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws
+        FROM documents
+    ), s AS (
+        SELECT DISTINCT doc_id, array_to_string(list_slice(ws, i, i + 4), ' ') AS shingle
+        FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM t WHERE len(ws) > 0)
+    ), size AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    pairs AS (
+        SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k
+        FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2
+    ), link AS (
+        SELECT x, y FROM pairs JOIN size a ON a.doc_id = x JOIN size b ON b.doc_id = y
+        WHERE k >= 0.8 * (a.n + b.n - k) - 1e-9
+    ), reach(x, y) AS (
+        SELECT doc_id, doc_id FROM documents UNION SELECT reach.x, link.y FROM reach JOIN link ON reach.y = link.x
+    ), class AS (SELECT x AS doc_id, min(y) AS class_id FROM reach GROUP BY x)
+    SELECT doc_id, class_id, (SELECT count(*) FROM link WHERE x = doc_id) AS n_links, doc_id = class_id AS kept
+    FROM class
+    """
+)
 def op3_bayesian_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's group and number of links."""
     return jaccard_classes(table(spark, sf_dir, "documents"))
