@@ -245,7 +245,60 @@ def captures(pages: DataFrame) -> DataFrame:
     return rows.select(record_text(fields, block).alias("record"))
 
 
-@query()
+CANONICAL_SQL = r"""
+    SELECT page_id, coalesce(html, '') AS html, CASE WHEN contains(bare, '://') THEN
+        regexp_replace(regexp_replace(lower(regexp_extract(rest, '^([^/?]*)', 1)), '^www\d*\.', ''), ':(80|443)$', '')
+        || regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '')
+        || CASE WHEN len(given) > 0 THEN '?' || array_to_string(given, '&') ELSE '' END
+        ELSE bare END AS canonical
+    FROM (SELECT *, list_sort(list_filter(string_split(regexp_extract(rest, '\?(.*)$', 1), '&'),
+              lambda p: p <> '' AND NOT regexp_matches(lower(p),
+                  '^(utm_[a-z]+|ref|sessionid|sid|phpsessid|fbclid|gclid)='))) AS given
+          FROM (SELECT *, regexp_replace(bare, '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS rest
+                FROM (SELECT *, split_part(trim(url), '#', 1) AS bare FROM pages)))
+"""
+SHOWN_DATE = "strftime({0}, '%a, %d %b %Y %H:%M:%S GMT')"
+REVISITS_SQL = f"""
+WITH c AS ({CANONICAL_SQL}), visit AS (
+    SELECT *, make_timestamp((1700000000 + page_id * 7) * 1000000) AS base,
+           page_id % 10 AS rest, unnest([0, 1, 2]) AS step FROM c
+), v AS (
+    SELECT *, base + to_days((step * 2)::INTEGER) + to_hours(page_id % 5) AS captured,
+           CASE WHEN rest < 8 THEN CASE WHEN rest = 5 THEN 'W/' ELSE '' END || '"' || left(md5(html), 16)
+                || CASE WHEN rest = 3 AND step = 2 THEN '-2' ELSE '' END || '"' END AS tag,
+           CASE WHEN rest <> 9 THEN {SHOWN_DATE.format("base - to_days(3)")} END AS modified
+    FROM visit WHERE step > 0 OR page_id % 17 <> 0
+), h AS (
+    SELECT *, {SHOWN_DATE.format("captured")} AS date FROM v
+), pair AS (
+    SELECT r.*, s.page_id AS response_page_id, s.tag AS s_tag, s.modified AS s_modified, s.html AS s_html,
+           row_number() OVER (PARTITION BY r.page_id, r.step
+                              ORDER BY s.captured DESC NULLS LAST, '<urn:page:' || s.page_id || ':0>' DESC) AS nth
+    FROM (SELECT * FROM h WHERE step > 0) r
+    LEFT JOIN (SELECT * FROM h WHERE step = 0) s ON r.canonical = s.canonical AND s.captured < r.captured
+), judged AS (
+    SELECT *, coalesce(replace(tag, 'W/', '') = replace(s_tag, 'W/', ''), modified = s_modified) AS agree
+    FROM pair WHERE nth = 1
+), named AS (
+    SELECT *, CASE WHEN response_page_id IS NULL THEN 'missing' WHEN agree IS NULL THEN 'unverified'
+                   WHEN agree THEN 'resolved' ELSE 'mismatch' END AS resolution FROM judged
+)
+SELECT page_id, step::BIGINT AS visit, canonical, captured, response_page_id, resolution,
+       array_to_string(list_filter(list_concat(
+           CASE WHEN resolution = 'resolved' THEN [
+               CASE WHEN tag IS NULL THEN 'etag: ' || s_tag END,
+               CASE WHEN modified IS NULL THEN 'last-modified: ' || s_modified END,
+               'server: s0', 'content-type: text/html; charset=utf-8',
+               'content-length: ' || strlen(s_html)] ELSE []::VARCHAR[] END,
+           ['date: ' || date, 'etag: ' || tag, 'last-modified: ' || modified, 'cache-control: max-age=' || step * 60],
+           CASE WHEN resolution = 'resolved' THEN []::VARCHAR[] ELSE ['server: s' || step] END
+       ), lambda x: x IS NOT NULL), chr(10)) AS headers,
+       CASE WHEN resolution = 'resolved' THEN sha256(s_html) END AS body_sha256
+FROM named
+"""
+
+
+@query(sql=REVISITS_SQL)
 def op10_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages' crawl, written as WARC files and read back: every revisit and what it stands for."""
     path = scratch_path(spark, "warc")
