@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import heapq
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +23,8 @@ WINDOW = 2048
 PIECE = 512
 # Pieces of one differencing problem: bounds a task's memory, at any number of documents.
 SHARD = 2048
-REMEMBERED = 400_000
-LONG = 64
+REMEMBERED = 700_000  # words a worker remembers; bounds memory, not results
+LONG = 64  # longer words hardly return
 
 Piece = tuple[int, int, int]  # size, and two numbers that name it
 
@@ -76,6 +78,23 @@ def windows(pieces: list[Piece], window: int) -> list[list[Piece]]:
         ways += max(ways * (worst - window) // (2 * window), 1)
 
 
+class Parts(dict):
+    """A word's lower-case part to its ids, by the tokenizer's own model."""
+
+    def __init__(self, model) -> None:
+        super().__init__()
+        self.model, self.visible = model, byte_alphabet()
+
+    def __missing__(self, part: str) -> bytes:
+        shown = part if part.isascii() else "".join(map(self.visible.__getitem__, part.encode()))
+        packed = array("I", [token.id for token in self.model.tokenize(shown)]).tobytes()
+        if len(part) < LONG:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[part] = packed
+        return packed
+
+
 class Words(dict):
     """Text without white space to its ids, as little-endian unsigned 32-bit integers.
 
@@ -96,27 +115,13 @@ class Words(dict):
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
-        self.model = self.tokenizer.model
-        self.parts: dict[str, list[int]] = {}
-        self.visible = byte_alphabet()
-
-    def part(self, part: str) -> list[int]:
-        ids = self.parts.get(part)
-        if ids is None:
-            shown = "".join(map(self.visible.__getitem__, part.encode()))
-            ids = [token.id for token in self.model.tokenize(shown)]
-            if len(part) < LONG:
-                if len(self.parts) >= REMEMBERED:
-                    self.parts.clear()
-                self.parts[part] = ids
-        return ids
+        self.part = Parts(self.tokenizer.model).__getitem__
 
     def __missing__(self, word: str) -> bytes:
         if self.SIMPLE.fullmatch(word):
-            ids = [i for part in self.SPLIT.findall(word.lower()) for i in self.part(part)]
+            packed = b"".join(map(self.part, self.SPLIT.findall(word.lower())))
         else:
-            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        packed = np.array(ids, dtype="<u4").tobytes()
+            packed = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
         if len(word) < LONG:
             if len(self) >= REMEMBERED:
                 self.clear()
@@ -125,8 +130,7 @@ class Words(dict):
 
     def encode(self, text: str) -> bytes:
         if self.SEPARATORS.search(text):
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            return np.array(ids, dtype="<u4").tobytes()
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         return b"".join(map(self.__getitem__, text.split()))
 
 
@@ -225,7 +229,13 @@ def word_bpe(spark: SparkSession, path: str) -> Encode:
     """An encoder of the tokenizer at `path`, sent to each executor once (some MB)."""
     with open(path, encoding="utf-8") as definition:
         shared = spark.sparkContext.broadcast(definition.read())
-    return lambda: Words(shared.value).encode
+    return lambda: known_words(shared.value).encode
+
+
+@lru_cache(maxsize=1)
+def known_words(definition: str) -> Words:
+    """One table of words per worker process, for all its tasks."""
+    return Words(definition)
 
 
 @query()
