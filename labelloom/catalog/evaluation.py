@@ -85,12 +85,15 @@ def confusion_grid(spark, sf_dir):
     return metrics.confusion_grid(_counts(spark, sf_dir))
 
 
+# The event types, and the label that only predictions have.
+OBSERVED = ("click", "error", "other", "purchase", "signup", "view")
+
+
 @query(
-    f"""WITH {i.SCORED_EVENTS}, l AS (SELECT unnest({list(i.EVENT_LABELS)}) AS label)
+    f"""WITH {i.SCORED_EVENTS}, l AS (SELECT unnest({list(OBSERVED)}) AS label)
 SELECT label AS "true", """
     + ", ".join(
-        f"count(*) FILTER (pred = '{label}' AND \"true\" IS NOT NULL) AS {label}"
-        for label in sorted(i.EVENT_LABELS)
+        f"count(*) FILTER (pred = '{label}' AND \"true\" IS NOT NULL) AS {label}" for label in OBSERVED
     )
     + """ FROM l LEFT JOIN scored ON "true" = label GROUP BY label"""
 )
