@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import json
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from labelloom.llm.common import SPACE, stored, table, whole
+from labelloom.llm.common import stored, table, whole
 from labelloom.llm.registry import query
 
-BINS = 16  # values of a measure, cut at quantiles over all documents
+BINS = 16  # values of a measure: zero, and ranges cut at quantiles over all documents
 SOURCES = 256  # hash buckets of the source
 ROUNDS = 3
 CONFIDENT = 0.95  # a view labels what it is this sure of, for the other view
@@ -21,39 +24,49 @@ SMOOTHING = 1.0
 STEPS_PER_LOGIT, LOGIT_LIMIT = 10, 40.0
 
 MEASURES = (
-    "symbols bars shouts capitals digits marks spaces lines word_length distinct_words "
+    "symbols bars shouts capital_words line_ends word_length distinct_words distinct_phrases "
     "distinct_lines"
 ).split()
 
 
-def share(text: Column, characters: str) -> Column:
-    """Share of the text's characters that are among `characters`."""
-    n = F.length(text)
-    return (n - F.length(F.translate(text, characters, ""))) / F.greatest(n, F.lit(1))
+# Characters of the first shares, in the order of MEASURES.
+SHARES = (
+    b"*#$%&@^~_=+<>\\/{}[]",
+    b"|",
+    b"!",
+)
 
 
-def measures(text: str) -> list[Column]:
+def measured(text: str) -> list[float]:
     """What the text view sees: the numbers named in MEASURES, over the whole text."""
-    body = whole(text)
-    n = F.greatest(F.length(body), F.lit(1))
-    words = F.filter(F.split(body, SPACE), lambda w: w != "")
-    count = F.greatest(F.size(words), F.lit(1))
-    lines = F.split(body, "\n")
+    raw = text.encode()
+    size = max(len(text), 1)
+    shares = [(len(raw) - len(raw.translate(None, chars))) / size for chars in SHARES]
+    words, lines = raw.split(), raw.split(b"\n")
+    count = max(len(words), 1)
+    phrases = list(zip(words, words[1:], words[2:]))
     return [
-        share(body, "*#$%&@^~_=+<>\\/{}[]"),
-        share(body, "|"),
-        share(body, "!"),
-        1 - F.length(F.regexp_replace(body, r"\p{Lu}+", "")) / n,
-        share(body, "0123456789"),
-        share(body, ".,;:?"),
-        share(body, " \t"),
-        F.size(lines) / n,
-        n / count,
-        F.size(F.array_distinct(words)) / count,
-        F.size(F.array_distinct(lines)) / F.size(lines),
+        *shares,
+        sum(w.isupper() and len(w) > 1 for w in words) / count,
+        (len(lines) - 1) / count,
+        size / count,
+        len(set(words)) / count,
+        len(set(phrases)) / max(len(phrases), 1) if phrases else 1.0,
+        len(set(lines)) / len(lines),
     ]
 
 
+def measures(text: str) -> Column:
+    """`measured` by Arrow batches; a null text counts as empty."""
+
+    @F.pandas_udf("array<double>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([measured(value) for value in batch], dtype=object)
+
+    return run(whole(text))
+
+
 def metadata(docs: DataFrame, source: str, lang: str, size: str) -> Column:
     """What the metadata view sees, as numbers of categories: source, language, size class.
 
@@ -86,7 +99,7 @@ def featured(
     """The rows with `__measures` and `__meta`."""
     return docs.withColumns(
         {
-            "__measures": F.array(*[m.cast("double") for m in measures(text)]),
+            "__measures": measures(text),
             "__meta": metadata(docs, source, lang, size),
         }
     )
@@ -140,13 +153,18 @@ class CoTrained:
 
 
 def binned(edges: list[list[float]]) -> Column:
-    """The measures as numbers of values: measure times BINS plus the edges below it."""
-    parts = []
-    for i, cuts in enumerate(edges):
-        value = F.get(F.col("__measures"), F.lit(i))
-        above = [F.when(value > cut, 1).otherwise(0) for cut in cuts]
-        parts.append(sum(above, F.lit(i * BINS)))
-    return F.array(*parts)
+    """The measures as numbers of values: measure times BINS plus the edges below it.
+
+    The column of measures is named once, so an optimiser that puts the measures themselves
+    in its place computes them once.
+    """
+    table = F.from_json(F.lit(json.dumps(edges)), "array<array<double>>")
+
+    def value(measure: Column, i: Column) -> Column:
+        below = F.filter(F.get(table, i), lambda cut: cut < measure)
+        return i * BINS + F.size(below)
+
+    return F.transform("__measures", value)
 
 
 def log_odds(counts: dict[int, tuple[float, float]], size: int, good: float, bad: float) -> View:
@@ -190,6 +208,19 @@ def calibrated(view: View, scores: np.ndarray, good: np.ndarray, bad: np.ndarray
     return View(view.weights, view.prior, float(slope), float(offset))
 
 
+def measure_edges(features: DataFrame) -> list[list[float]]:
+    """At most BINS - 1 edges per measure: zero, and quantiles of what is above it."""
+    shares = [b / (BINS - 1) for b in range(1, BINS - 1)]
+    above = [F.get("__measures", F.lit(i)) for i in range(len(MEASURES))]
+    cuts = features.agg(
+        *[
+            F.percentile_approx(F.when(value > 0, value), shares, 1000).alias(str(i))
+            for i, value in enumerate(above)
+        ]
+    ).first()
+    return [sorted({0.0, *(c or [])}) for c in cuts]
+
+
 def fit(
     features: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality",
     rounds: int = ROUNDS,
@@ -202,17 +233,7 @@ def fit(
     is good when above zero; a document with several labels has the smallest; null labels
     and keys count as unlabelled. Without labels of both classes all documents score alike.
     """
-    edges = [
-        sorted(set(cuts or []))
-        for cuts in features.agg(
-            *[
-                F.percentile_approx(
-                    F.get("__measures", F.lit(i)), [b / BINS for b in range(1, BINS)], 1000
-                ).alias(str(i))
-                for i in range(len(MEASURES))
-            ]
-        ).first()
-    ]
+    edges = measure_edges(features)
     known = labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull())
     known = known.groupBy(key).agg((F.min(label) > 0).cast("int").alias("__y"))
     fold = F.pmod(F.xxhash64(F.col(key)), F.lit(FOLDS)) == 0
