@@ -12,6 +12,8 @@ from labelloom.plans.scratch import scratch_path
 # Fixed value: what separates words, in every operator that counts words.
 SPACE = r"[\x20\x09-\x0D]+"
 
+ROW_GROUP_BYTES = 16 << 20
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the data folder; only Spark opens the path."""
@@ -26,10 +28,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    # Small row groups: a task that also feeds Python has little room for buffers.
+    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bound_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let no more rows than this reach Python at once, in this session.
+
+    Documents are large; Spark's default of 10,000 rows would be some hundred MB a batch.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
 

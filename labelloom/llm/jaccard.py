@@ -24,7 +24,7 @@ STEP = 16  # MinHash values between two looks at the posterior
 BLOCK_DOCS, BLOCK_WORDS = 2048, 500_000  # of a bucket that are compared at once
 SALTS = 16
 SEED = 11
-REMEMBERED = 500_000
+REMEMBERED = 250_000  # words a worker remembers; bounds memory, not results
 
 
 def body_of(text: str | Column) -> Column:

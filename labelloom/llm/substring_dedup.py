@@ -8,16 +8,17 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from labelloom.llm.common import shuffle_parts, slices, stored, table
+from labelloom.llm.common import bound_batches, shuffle_parts, slices, stored, table
 from labelloom.llm.jaccard import WordHash, body_of
 from labelloom.llm.registry import query
 
 WINDOW = 35  # words of a passage
 ANCHOR = 6  # words of an anchor; every window holds WINDOW - ANCHOR + 1 of them
 SHARD_CHARS = 2_000_000  # of text per shard of passages, and per part of a large shard
-CHUNK_WORDS = 100_000  # for which one automaton is compiled
+CHUNK_WORDS = 40_000  # for which one automaton is compiled
 SALTS = 16
 SEED = 5
 
@@ -81,8 +82,10 @@ def located(
             continue
         hashes = windows.mixed(windows.hashes(words), windows.window)
         at = np.minimum(np.searchsorted(recurring, hashes), max(len(recurring) - 1, 0))
-        for i in np.flatnonzero(recurring[at] == hashes) if len(recurring) else ():
-            phrases.setdefault(int(hashes[i]), ids[i : i + windows.window])
+        same = np.flatnonzero(recurring[at] == hashes) if len(recurring) else at[:0]
+        for i, value in zip(same.tolist(), hashes[same].tolist()):
+            if value not in phrases:
+                phrases[value] = ids[i : i + windows.window]
     if not phrases:
         return []
     automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
@@ -91,10 +94,12 @@ def located(
     automaton.make_automaton()
     found = []
     for (addr, start, words), ids in zip(segments, coded):
-        flags = np.zeros(len(words), dtype=bool)
-        for end, length in automaton.iter(ids):
-            flags[end - length + 1 : end + 1] = True
-        found += [(addr, start + a, start + b) for a, b in runs(flags)]
+        ends = np.array([end for end, _ in automaton.iter(ids)], dtype=np.int64) + 1
+        if len(ends):
+            depth = np.zeros(len(words) + 1, dtype=np.int64)
+            depth[ends - windows.window] += 1  # no two phrases end at one place
+            depth[ends] -= 1
+            found += [(addr, start + a, start + b) for a, b in runs(depth.cumsum()[:-1] > 0)]
     return found
 
 
@@ -124,8 +129,9 @@ def recurring_texts(docs: DataFrame, text: str, window: int) -> DataFrame:
                     [pa.array(np.concatenate(values)), pa.array(owners, pa.binary())], ["anchor", "addr"]
                 )
 
-    # A text with copies counts its anchors more often, which only adds candidates.
-    spots = rows.mapInArrow(anchors, "anchor long, addr binary").repartition("anchor")
+    # A text with copies counts its anchors more often, which only adds candidates. The
+    # anchors are read twice; kept on disk, they are found once, and again only where one is lost.
+    spots = rows.mapInArrow(anchors, "anchor long, addr binary").persist(StorageLevel.DISK_ONLY)
     counted = spots.groupBy("anchor").agg(F.count("*").alias("n"), F.min("addr").alias("owner"))
     total = docs.agg(F.sum(F.length(text))).first()[0] or 0
     shards = max(-(-total // SHARD_CHARS), 1)
@@ -137,12 +143,16 @@ def recurring_texts(docs: DataFrame, text: str, window: int) -> DataFrame:
         F.collect_set(F.struct("anchor", "shard")).alias("anchors")
     )
     texts = rows.groupBy("addr").agg(F.first("body").alias("body"))
-    return stored(texts.join(lists, "addr"), "recurring")
+    try:
+        return stored(texts.join(lists, "addr"), "recurring")
+    finally:
+        spots.unpersist()
 
 
 def changed_texts(docs: DataFrame, text: str, window: int) -> DataFrame:
     """`addr, n_removed, kept` of every distinct text that loses words."""
     spark = docs.sparkSession
+    bound_batches(spark)
     texts = recurring_texts(docs, text, window)
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,7 +308,30 @@ def remove_repeats(
     )
 
 
-@query()
+@query(
+    sql=r"""
+    WITH t AS (
+        SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws
+        FROM documents
+    ), win AS (
+        SELECT doc_id, i, array_to_string(list_slice(ws, i, i + 34), ' ') AS s
+        FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS i FROM t WHERE len(ws) >= 35)
+    ), rec AS (SELECT s FROM win GROUP BY s HAVING count(*) > 1),
+    hit AS (SELECT doc_id, i FROM win WHERE s IN (SELECT s FROM rec)),
+    word AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS p FROM t),
+    marked AS (
+        SELECT word.doc_id, w, p, max(hit.i) OVER (
+            PARTITION BY word.doc_id ORDER BY p ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) IS NOT NULL AS gone
+        FROM word LEFT JOIN hit ON word.doc_id = hit.doc_id AND p = i
+    ), done AS (
+        SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed,
+               coalesce(string_agg(w, ' ' ORDER BY p) FILTER (NOT gone), '') AS kept
+        FROM marked GROUP BY doc_id
+    )
+    SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+    FROM t LEFT JOIN done USING (doc_id)
+    """
+)
 def op8_passage_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's words, how many recurring passages took, and a digest of the rest."""
     return remove_repeats(table(spark, sf_dir, "documents"), digests=True)
