@@ -20,14 +20,20 @@ CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 # Words with a digit or an at sign: what could be an identifier of another form.
 MENTION = r"(?<![^\x20\x09-\x0D])(?=[^\x20\x09-\x0D]*[0-9@])[^\x20\x09-\x0D]++"
+# How such words stand together as one identifier: what is between them, how the one before
+# ends and the next begins. A comma or the end of a sentence parts them.
+BETWEEN = r"^\x20(?:[-.()\[\]]\x20)?$"
+ENDS, BEGINS = r"[\p{L}\p{N})\]-]$", r"^[\p{L}\p{N}+@(.\[-]"
 
 CONTEXT = 64  # characters before an identifier that are searched for the words before it
 MIN_SEEDS = 3  # different known identifiers that a pattern must have introduced
 CONFIDENCE = 0.7
 DOUBT = 1.0  # added to a pattern's instances, so that few of them prove little
 ROUNDS = 2
+SHORTEST = 4  # characters of an identifier, over all its words
 
 SPANS = "array<struct<start:int,end:int,text:string,left:string>>"
+CANDIDATES = "array<struct<start:int,end:int,text:string,left:string,word:boolean,run:boolean>>"
 
 
 def luhn(digits: Column) -> Column:
@@ -61,35 +67,43 @@ class Kind(NamedTuple):
     pattern: str
     needs: str  # a pattern without which there is no match, and that is quick to look for
     good: object
+    spaced: bool  # identifiers may be written in groups, as several words
 
 
 KINDS = (
-    Kind("email", EMAIL, "@", lambda m: F.lit(True)),
-    Kind("ip", IP, "[0-9][.][0-9]", good_ip),
-    Kind("card", CARD, "[0-9]", good_card),
-    Kind("phone", PHONE, r"\+[0-9]", lambda m: F.length(digits_of(m)).between(9, 15)),
+    Kind("email", EMAIL, "@", lambda m: F.lit(True), False),
+    Kind("ip", IP, "[0-9][.][0-9]", good_ip, False),
+    Kind("card", CARD, "[0-9]", good_card, True),
+    Kind("phone", PHONE, r"\+[0-9]", lambda m: F.length(digits_of(m)).between(9, 15), True),
 )
 
 
 def matches(text: Column, pattern: str, needs: str) -> Column:
-    """All matches as `start, end, text, left`, in code points; `left` is what stands before.
+    """All matches as `start, end, text, left`, in code points; `left` is the text before the start.
 
-    Spark gives the matches, and the pieces between them; their lengths add up to offsets.
+    Spark gives the matches, and the pieces between them; their lengths add up to offsets, and
+    their ends to the CONTEXT characters before a match, whatever other matches these hold.
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pieces = F.transform(
         F.split(text, pattern, -1),
         lambda p: F.struct(F.length(p).alias("n"), F.right(p, F.lit(CONTEXT)).alias("left")),
     )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("spans"))
+    start = F.struct(
+        F.lit(0).alias("at"), F.lit("").alias("tail"), F.array().cast(SPANS).alias("spans")
+    )
 
     def step(state: Column, pair: Column) -> Column:
         first = state["at"] + pair["1"]["n"]
         end = first + F.length(pair["0"])
+        left = F.right(F.concat(state["tail"], pair["1"]["left"]), F.lit(CONTEXT))
         span = F.struct(
-            first.alias("start"), end.alias("end"), pair["0"].alias("text"), pair["1"]["left"].alias("left")
+            first.alias("start"), end.alias("end"), pair["0"].alias("text"), left.alias("left")
+        )
+        more = F.struct(
+            end.alias("at"), F.right(F.concat(left, pair["0"]), F.lit(CONTEXT)).alias("tail"),
+            F.concat(state["spans"], F.array(span)).alias("spans"),
         )
-        more = F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
         return F.when(pair["0"].isNull(), state).otherwise(more)  # the piece after the last match
 
     spans = F.aggregate(F.arrays_zip(found, pieces), start, step, lambda s: s["spans"])
@@ -107,6 +121,53 @@ def before(left: Column, count: int) -> Column:
     return F.when(F.size(words) >= count, F.array_join(F.slice(words, -count, count), " "))
 
 
+def candidates(free: Column) -> Column:
+    """Mentions, and the runs of mentions that stand together, with the forms they count as.
+
+    `word` marks single words, `run` what may have several: runs of two or more, and words that
+    begin none.
+    """
+    none = F.array().cast(CANDIDATES)
+
+    def one(span: Column, word: bool, run: bool) -> Column:
+        fields = [span[name].alias(name) for name in ("start", "end", "text", "left")]
+        return F.array(F.struct(*fields, F.lit(word).alias("word"), F.lit(run).alias("run")))
+
+    def opened(start: Column, end: Column, text: Column, left: Column, words: Column) -> Column:
+        return F.struct(
+            start.alias("start"), end.alias("end"), text.alias("text"), left.alias("left"),
+            words.alias("words"),
+        )
+
+    def closed(state: Column) -> Column:
+        run = state["open"]
+        last = F.when(run["words"] == 0, none).when(run["words"] == 1, one(run, True, True))
+        return F.concat(state["done"], last.otherwise(one(run, False, True)))
+
+    def step(state: Column, m: Column) -> Column:
+        run = state["open"]
+        gap = m["start"] - run["end"]
+        between = F.right(m["left"], gap)
+        linked = (
+            (run["words"] > 0) & (gap <= 3) & between.rlike(BETWEEN)
+            & run["text"].rlike(ENDS) & m["text"].rlike(BEGINS)
+        )
+        first = F.when(run["words"] == 1, one(run, True, False)).otherwise(none)
+        longer = F.struct(
+            F.concat(state["done"], first, one(m, True, True)).alias("done"),
+            opened(
+                run["start"], m["end"], F.concat(run["text"], between, m["text"]), run["left"], run["words"] + 1
+            ).alias("open"),
+        )
+        fresh = opened(m["start"], m["end"], m["text"], m["left"], F.lit(1))
+        return F.when(linked, longer).otherwise(
+            F.struct(closed(state).alias("done"), fresh.alias("open"))
+        )
+
+    nothing = opened(F.lit(0), F.lit(0), F.lit(""), F.lit(""), F.lit(0))
+    return F.aggregate(free, F.struct(none.alias("done"), nothing.alias("open")), step, closed)
+
+
 def scanned(docs: DataFrame, key: str, text: str) -> DataFrame:
     """One row per row: `key, digest`, an array of base spans per kind, and the other mentions."""
     body = F.col("body")
@@ -128,7 +189,8 @@ def discovered(rows: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     they introduce are their instances. Patterns and instances are scored in turns: a pattern, per
     kind, by the share of that kind in its different instances, an instance by its best
     pattern. Patterns need MIN_SEEDS different seeds and CONFIDENCE; what such a pattern
-    introduces is an identifier of its kind. Each turn is two aggregates and two joins on
+    introduces is an identifier of its kind: a run of mentions for kinds that are written in
+    groups, a word for others. Each turn is two aggregates and two joins on
     pattern or instance, over one row per pattern and instance, however often they occur.
     """
     base = reduce(
@@ -144,16 +206,20 @@ def discovered(rows: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         "mention",
         lambda m: ~F.exists(covered, lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])),
     )
-    # The punctuation around a word is not part of the identifier.
-    lead = F.length(F.regexp_extract("s.text", r"^[^\p{L}\p{N}+@]*", 0))
-    core = F.regexp_replace("s.text", r"^[^\p{L}\p{N}+@]+|[^\p{L}\p{N}]+$", "")
-    mentions = rows.select("digest", F.explode(free).alias("s")).select(
-        "digest", (F.col("s.start") + lead).alias("start"), core.alias("instance"), "s.left"
+    # The punctuation around an identifier is not part of it, but for a bracket that closes within.
+    lead = r"^(?:(?!\([^(]*\)[^)]*[\p{L}\p{N}])[^\p{L}\p{N}+@])*+"
+    core = F.regexp_replace("s.text", lead + r"|[^\p{L}\p{N}]+$", "")
+    shift = F.length(F.regexp_extract("s.text", lead, 0))
+    mentions = rows.select("digest", F.explode(candidates(free)).alias("s")).select(
+        "digest", (F.col("s.start") + shift).alias("start"), core.alias("instance"), "s.left",
+        "s.word", "s.run",
     )
-    mentions = mentions.filter(F.length("instance") >= 4).select(
+    mentions = mentions.filter(F.length("instance") >= SHORTEST).select(
         "digest", "start", (F.col("start") + F.length("instance")).alias("end"),
-        F.lower("instance").alias("instance"), "left",
+        F.lower("instance").alias("instance"), "left", "word", "run",
     )
+    spaced = F.col("kind").isin([i for i, k in enumerate(KINDS) if k.spaced])
+    fits = F.when(spaced, F.col("run")).otherwise(F.col("word"))
 
     def patterns(frame: DataFrame, *columns: str) -> DataFrame:
         both = F.array(
@@ -168,30 +234,34 @@ def discovered(rows: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     promising = seen.groupBy("pattern", "kind").agg(F.count("*").alias("seeds"))
     promising = promising.filter(F.col("seeds") >= MIN_SEEDS)
     occurrences = stored(
-        patterns(mentions, "digest", "start", "end", "instance").join(
+        patterns(mentions, "digest", "start", "end", "instance", "word", "run").join(
             promising.select("pattern").distinct(), "pattern", "left_semi"
         ),
         "mentions",
     )
     known = stored(seen.join(promising.select("pattern", "kind"), ["pattern", "kind"]), "seeds")
-    edges = occurrences.select("pattern", "instance").distinct()
-    sizes = known.select("pattern", "instance").unionByName(edges).distinct().groupBy("pattern").agg(
-        F.count("*").alias("instances")
+    forms = [F.max(form).alias(form) for form in ("word", "run")]
+    edges = occurrences.groupBy("pattern", "instance").agg(*forms)
+    both = known.select("pattern", "instance", F.lit(True).alias("word"), F.lit(True).alias("run"))
+    sizes = both.unionByName(edges).groupBy("pattern", "instance").agg(*forms)
+    sizes = sizes.groupBy("pattern").agg(
+        F.count_if("word").alias("words"), F.count_if("run").alias("runs")
     )
+    instances = F.when(spaced, F.first("runs")).otherwise(F.first("words"))
     scores = known
     chosen = None
     for _ in range(rounds):
-        share = F.sum("score") / (F.first("instances") + DOUBT)
+        share = F.sum("score") / (instances + DOUBT)
         scored = scores.join(sizes, "pattern").groupBy("pattern", "kind").agg(share.alias("confidence"))
         chosen = stored(scored.filter(F.col("confidence") >= CONFIDENCE), "patterns")
-        believed = edges.join(chosen, "pattern").groupBy("instance", "kind").agg(
+        believed = edges.join(chosen, "pattern").filter(fits).groupBy("instance", "kind").agg(
             F.max("confidence").alias("score")
         )
-        new = edges.join(believed, "instance").select("pattern", "kind", "instance", "score")
+        new = edges.join(believed, "instance").filter(fits).select("pattern", "kind", "instance", "score")
         new = new.join(promising.select("pattern", "kind"), ["pattern", "kind"])
         scores = known.unionByName(new.join(known, ["pattern", "kind", "instance"], "left_anti"))
     best = F.max(F.struct("confidence", (-F.col("kind")).alias("kind")))
-    spans = occurrences.join(chosen, "pattern").groupBy("digest", "start", "end").agg(best.alias("best"))
+    spans = occurrences.join(chosen, "pattern").filter(fits).groupBy("digest", "start", "end").agg(best.alias("best"))
     span = F.struct("start", (-F.col("best.kind")).alias("kind"), "end")
     return stored(spans.groupBy("digest").agg(F.collect_list(span).alias("found")), "found")
 

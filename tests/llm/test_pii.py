@@ -81,6 +81,54 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert not any(more.values())
 
 
+def found(spark, rows):
+    """Texts of the discovered spans by document, without spans within others."""
+    got = pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    text = dict(rows)
+    return {r["doc_id"]: {
+        (k, text[r["doc_id"]][a:b]) for a, k, b in set(spans(r["spans"])) - set(spans(r["base"]))
+    } for r in got}
+
+
+def test_identifiers_written_in_groups(spark):
+    rows = [(i, f"please call me +1 499 555 65{i:02} today") for i in range(19)]
+    plain = [f"4{'0' * 9}{i:05}" for i in range(9)]
+    cards = [next(p + str(d) for d in range(10) if luhn(p + str(d))) for p in plain]
+    rows += [(20 + i, f"with my card {c} today") for i, c in enumerate(cards)]
+    rows += [
+        (50, "so call me (212) 555-0147 now"), (51, "so call me 212 555 0147, 3 times"),
+        (52, "so call me 212 - 555 - 0147. 5 of us"), (53, "so call me 212.555.0147"),
+        (54, "then call me 212 555 0147 a@b.org"),  # a run ends at a base span
+        (55, "see a@b.org or call me 212 555 0147 and call me 646 555 0147"),
+        (60, "on my card 4111 1111 1111 1112 now"), (61, "chapter 4111 1111 1111 1112 now"),
+        (62, "so call me 12 of"),  # too short
+    ]
+    got = {k: v for k, v in found(spark, rows).items() if v}
+    assert got == {
+        50: {(3, "(212) 555-0147")}, 51: {(3, "212 555 0147")}, 52: {(3, "212 - 555 - 0147")},
+        53: {(3, "212.555.0147")}, 54: {(3, "212 555 0147")},
+        55: {(3, "212 555 0147"), (3, "646 555 0147")}, 60: {(2, "4111 1111 1111 1112")},
+    }
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    clean = {r["doc_id"]: r["text"] for r in pii.redact(df).collect()}
+    assert clean[50] == "so call me [PHONE] now" and clean[60] == "on my card [CARD] now"
+
+
+def test_address_ends_at_its_word(spark):
+    rows = [(i, f"please reach me user{i}@mail.example.org today") for i in range(9)]
+    rows += [(20, "please reach me user20@mailhost 12 times")]
+    assert found(spark, rows)[20] == {(0, "user20@mailhost")}
+
+
+def test_context_is_the_text_before(spark):
+    """Also where other matches stand in it, and in code points."""
+    text = "é🙂 x@y.z p@q.r then " + "w" * 70 + " 12 34 a1"
+    df = spark.createDataFrame([(text,)], "t string")
+    for pattern, needs in ((pii.EMAIL, "@"), (pii.MENTION, "[0-9@]")):
+        got = df.select(pii.matches(df.t, pattern, needs)).first()[0]
+        assert got and all(m["left"] == text[max(m["start"] - pii.CONTEXT, 0) : m["start"]] for m in got)
+
+
 @pytest.mark.parametrize(
     "text, want",
     [
