@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from itertools import accumulate
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from labelloom.llm.common import table, whole
+from labelloom.llm.common import stored, table, whole
 from labelloom.llm.registry import query
 from labelloom.plans.scratch import scratch_path
 
 # Fixed values of the formats.
 VERSION = "WARC/1.1\r\n"
+MARK = "WARC/1."  # what the versions that are read begin with
 CRLF = "\r\n"
+VERSIONS = ("0" + CRLF, "1" + CRLF)  # what follows the mark where a record begins
 NOT_MODIFIED = "http://netpreserve.org/warc/1.1/revisit/server-not-modified"
 # Header fields that a 304 answer may bring up to date; all others stay as stored.
 PERMITTED = "cache-control content-location date etag expires last-modified vary".split()
@@ -75,18 +81,102 @@ def field(fields: str | Column, name: str) -> Column:
     return F.get(F.filter(fields, lambda f: f["name"] == name), F.lit(0))["value"]
 
 
+def declared(piece: Column) -> Column:
+    """Bytes of the record that begins with this piece, by its Content-Length; null where none does."""
+    head = F.substring_index(piece, CRLF * 2, 1)
+    begins = F.substr(piece, F.lit(1), F.lit(3)).isin(*VERSIONS) & (F.instr(piece, CRLF * 2) > 0)
+    length = field(fields_of(head), "content-length").try_cast("int")
+    return F.when(begins & (length >= 0), F.octet_length(head) + 4 + length).cast("long")
+
+
+def numbered(pieces: pd.DataFrame) -> pd.DataFrame:
+    """The pieces of one file with the number of the record each belongs to.
+
+    `size` is a piece's length, `need` what `declared` says. A record takes the pieces after it
+    up to its length if it then ends where a piece does. Else it was cut off: it stays alone, and
+    the next piece may begin a record. A piece that begins none has `stray`.
+    """
+    pieces = pieces.sort_values(["block", "id"], ignore_index=True)
+    ends = list(accumulate(int(n) + len(MARK) for n in pieces["size"]))  # each with a mark before it
+    need = [None if pd.isna(n) else int(n) for n in pieces["need"]]
+    records, i = [], 0
+    while i < len(ends):
+        last = i
+        if need[i] is not None:
+            end = (ends[i - 1] if i else 0) + len(MARK) + need[i]
+            j = bisect_left(ends, end, lo=i)
+            # Behind a record are two line ends; the last one of a file may lack them.
+            if j < len(ends) and (ends[j] - end == 4 or j == len(ends) - 1 and ends[j] - end < 4):
+                last = j
+        records += [i] * (last + 1 - i)
+        i = last + 1
+    pieces["record"] = records
+    pieces["stray"] = [need[r] is None for r in records]
+    return pieces[["file", "block", "id", "record", "stray"]]
+
+
+def joined(pieces: DataFrame) -> DataFrame:
+    """`value, stray`: the records of files in which some are not one piece each."""
+    slim = pieces.select(
+        "file", "block", "id", F.octet_length("value").cast("long").alias("size"),
+        declared(F.col("value")).alias("need"),
+    )
+    # What one task holds of a file are two numbers a piece, no text.
+    numbers = slim.groupBy("file").applyInPandas(
+        numbered, "file string, block long, id long, record long, stray boolean"
+    )
+    parts = F.array_sort(F.collect_list(F.struct("block", "id", "value")))
+    records = pieces.join(numbers, ["file", "block", "id"]).groupBy("file", "record").agg(
+        F.array_join(F.transform(parts, lambda p: p["value"]), MARK).alias("value"),
+        F.first("stray").alias("stray"),
+    )
+    return records.filter("value <> ''").select("value", "stray")
+
+
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """Records of WARC files: `record_id, kind, url, captured, profile, status, headers, body`.
 
-    Plain files are split and compressed ones streamed record by record, so a file's
-    size doesn't matter. The body is binary, cut by Content-Length. A record that is shorter than it
-    says (cut off, or with a line `WARC/1.1` in its body) has kind `malformed`, with
-    whatever fields could be read.
+    Files of version 1.0 and 1.1 are split at the versions' common mark; plain ones are split and
+    compressed ones streamed piece by piece, so a file's size doesn't matter. The body is binary, cut
+    by Content-Length. A first pass looks for files in which a piece is not just one record; in
+    these, pieces are put together by Content-Length, so a body may hold the mark. A record that is
+    shorter than it says has kind `malformed`, with whatever fields could be read. So have
+    bytes that belong to no record; those behind a record are the `body` of a row of their own.
     """
-    raw = spark.read.option("lineSep", VERSION).text(path).filter("value <> ''")
+    raw = spark.read.option("lineSep", MARK).text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id"),  # in order within a block
+    )
+    one = (F.octet_length("value") == declared(F.col("value")) + 4) & F.endswith(
+        F.col("value"), F.lit(CRLF * 2)
+    )
+    odd = raw.filter((F.col("value") != "") & ~F.coalesce(one, F.lit(False)))
+    files = [r["file"] for r in odd.select("file").distinct().collect()]
+    plain = raw.filter("value <> ''")
+    if not files:
+        return parsed(plain.select("value", F.lit(False).alias("stray"))).drop("unread")
+    plain = plain.filter(~F.col("file").isin(files)).select("value", F.lit(False).alias("stray"))
+    # Written once, so that a piece has the same number wherever it is used.
+    pieces = stored(raw.filter(F.col("file").isin(files)), "warc-pieces")
+    records = parsed(plain.unionByName(joined(pieces)))
+    unread = records.filter(~F.col("unread").isin(b"", b"\r\n", b"\r\n\r\n")).select(
+        *[
+            F.lit("malformed").alias(name) if name == "kind"
+            else F.array().cast(kind).alias(name) if name == "headers"
+            else F.col("unread").alias(name) if name == "body"
+            else F.lit(None).cast(kind).alias(name)
+            for name, kind in records.drop("unread").dtypes
+        ]
+    )
+    return records.drop("unread").unionByName(unread)
+
+
+def parsed(records: DataFrame) -> DataFrame:
+    """The columns of `read_warc` from `value, stray`, and the bytes behind the block, `unread`."""
     end = F.instr("value", CRLF * 2)
-    parts = raw.select(
-        fields_of(F.substring_index("value", CRLF * 2, 1)).alias("fields"),
+    parts = records.select(
+        "stray", fields_of(F.substring_index("value", CRLF * 2, 1)).alias("fields"),
         F.when(end > 0, F.substr("value", end + 4)).cast("binary").alias("rest"),
     )
     length = field("fields", "content-length").try_cast("int")
@@ -96,7 +186,9 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     text = F.decode("block", "ISO-8859-1")  # one character per byte: offsets stay true
     http_end = F.instr(text, CRLF * 2)
     head = F.when(http_end > 0, F.substr(text, F.lit(1), http_end - 1)).otherwise(text)
-    whole_record = F.col("length").isNotNull() & (F.octet_length("block") == F.col("length"))
+    whole_record = (
+        ~F.col("stray") & F.col("length").isNotNull() & (F.octet_length("block") == F.col("length"))
+    )
     return cut.select(
         field("fields", "warc-record-id").alias("record_id"),
         F.when(whole_record, field("fields", "warc-type")).otherwise("malformed").alias("kind"),
@@ -108,6 +200,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         F.when(http_end > 0, F.substr("block", http_end + 4, F.lit(2**31 - 1)))
         .otherwise(F.lit(b""))
         .alias("body"),
+        F.when(whole_record, F.substr("rest", F.col("length") + 1, F.lit(2**31 - 1))).alias("unread"),
     )
 
 

@@ -53,6 +53,45 @@ def test_cut_off_record_is_malformed(spark):
     assert [r["kind"] for r in warc.read_warc(spark, path).collect()] == ["malformed"]
 
 
+def warc_text(number, body, version="1.1", tail="\r\n\r\n", more=0):
+    block = f"HTTP/1.1 200 OK\r\nServer: s\r\n\r\n{body}"
+    return (
+        f"WARC/{version}\r\nWARC-Type: response\r\nWARC-Record-ID: {number}\r\n"
+        f"Content-Length: {len(block.encode()) + more}\r\n\r\n{block}{tail}"
+    )
+
+
+def read_back(spark, *texts):
+    path = scratch_path(spark, "warc-read")
+    frame = spark.createDataFrame([(t,) for t in texts], "value string").repartition(len(texts))
+    frame.write.option("lineSep", "\n").text(path)
+    rows = warc.read_warc(spark, path).collect()
+    sound = {r["record_id"]: bytes(r["body"]).decode() for r in rows if r["kind"] == "response"}
+    return sound, [(r["record_id"], bytes(r["body"]).decode()) for r in rows if r["kind"] == "malformed"]
+
+
+def test_versions_and_marks_in_bodies(spark):
+    inner = warc_text(99, "inside", "1.0")
+    bodies = {
+        "1": "é", "2": "a WARC/1.1\r\nline", "3": f"x{inner}{inner}y", "4": "WARC/1.WARC/1.0\r\n", "5": "",
+        "6": inner,
+    }
+    for version in ("1.0", "1.1"):
+        text = "".join(warc_text(n, b, version) for n, b in bodies.items())
+        sound, malformed = read_back(spark, text[:-1])
+        assert sound == bodies and malformed == []
+
+
+def test_unread_bytes_and_cut_records(spark):
+    text = (
+        warc_text(1, "a") + warc_text(2, "cut", more=50) + warc_text(3, "c")
+        + warc_text(4, "d", tail="junk\r\n\r\n") + warc_text(5, "e")
+    )
+    sound, malformed = read_back(spark, text[:-1])
+    assert sound == {"1": "a", "3": "c", "4": "d", "5": "e"}
+    assert sorted(malformed, key=str) == [("2", "cut\r\n\r\n"), (None, "junk\r\n\r\n")]
+
+
 def record(n, kind, url, minute, etag=None, modified=None, extra=()):
     fields = [("etag", etag), ("last-modified", modified), *extra]
     headers = [(k, v) for k, v in fields if v is not None]
