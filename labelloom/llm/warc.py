@@ -289,15 +289,15 @@ def captures(pages: DataFrame) -> DataFrame:
 
     Every seventeenth page lost its response, every tenth changed between the visits, every
     tenth sends no entity tag, every tenth sends no validator. Pages whose urls differ only in
-    spelling share one history.
+    spelling share one history. A page without id has two revisits without time or validators.
     """
     http_date = "EEE, dd MMM yyyy HH:mm:ss 'GMT'"
     html = whole("html")
     at = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("page_id") * 7)
-    steps = F.when(F.col("page_id") % 17 == 0, F.array(F.lit(1), F.lit(2))).otherwise(
-        F.array(F.lit(0), F.lit(1), F.lit(2))
+    steps = F.when(F.col("page_id") % 17 != 0, F.array(F.lit(0), F.lit(1), F.lit(2))).otherwise(
+        F.array(F.lit(1), F.lit(2))
     )
-    rows = pages.filter("page_id IS NOT NULL").select(
+    rows = pages.select(
         "page_id", "url", html.alias("html"), F.md5(html).alias("md5"), at.alias("base"),
         F.explode(steps).alias("step"),
     )
@@ -391,18 +391,22 @@ FROM named
 """
 
 
+def shown(resolved: DataFrame) -> DataFrame:
+    """The columns of REVISITS_SQL from resolved revisits of `captures`."""
+    number = F.regexp_extract("record_id", r":(\d+):(\d+)>", 1).try_cast("long")
+    target = F.regexp_extract("refers_to", r":(\d+):(\d+)>", 1).try_cast("long")
+    lines = F.transform("headers", lambda f: F.concat_ws(": ", f["name"], f["value"]))
+    return resolved.select(
+        number.alias("page_id"),
+        F.regexp_extract("record_id", r":(\d+)>$", 1).cast("long").alias("visit"),
+        "canonical", "captured", target.alias("response_page_id"), "resolution",
+        F.array_join(lines, "\n").alias("headers"), F.col("digest").alias("body_sha256"),
+    )
+
+
 @query(sql=REVISITS_SQL)
 def op10_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages' crawl, written as WARC files and read back: every revisit and what it stands for."""
     path = scratch_path(spark, "warc")
     write_warc(captures(table(spark, sf_dir, "pages")), path)
-    resolved = resolve_revisits(read_warc(spark, path))
-    number = F.regexp_extract("record_id", r":(\d+):(\d+)>", 1).cast("long")
-    target = F.regexp_extract("refers_to", r":(\d+):(\d+)>", 1).cast("long")
-    shown = F.transform("headers", lambda f: F.concat_ws(": ", f["name"], f["value"]))
-    return resolved.select(
-        number.alias("page_id"),
-        F.regexp_extract("record_id", r":(\d+):(\d+)>", 2).cast("long").alias("visit"),
-        "canonical", "captured", target.alias("response_page_id"), "resolution",
-        F.array_join(shown, "\n").alias("headers"), F.col("digest").alias("body_sha256"),
-    )
+    return shown(resolve_revisits(read_warc(spark, path)))

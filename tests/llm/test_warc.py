@@ -151,3 +151,18 @@ def test_one_url_with_most_records(spark):
         assert sorted(
             ((r["record_id"], r["captured"], r["refers_to"]) for r in got.collect()), key=str
         ) == sorted(want, key=str)
+
+
+def test_page_without_id(spark):
+    """As in REVISITS_SQL: two revisits, without time or response."""
+    pages = spark.createDataFrame(
+        [(None, "http://h.org/a", "x"), (1, "http://h.org/a", "x")], "page_id long, url string, html string"
+    )
+    path = scratch_path(spark, "warc-null")
+    warc.write_warc(warc.captures(pages), path)
+    got = warc.shown(warc.resolve_revisits(warc.read_warc(spark, path))).collect()
+    assert sorted(tuple(r) for r in got if r["page_id"] is None) == [
+        (None, n, "h.org/a", None, None, "missing", f"cache-control: max-age={n * 60}\nserver: s{n}", None)
+        for n in (1, 2)
+    ]
+    assert [r["resolution"] for r in got if r["page_id"] == 1] == ["resolved", "resolved"]
