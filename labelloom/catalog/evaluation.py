@@ -59,7 +59,8 @@ JUDGED_PRF = f"{i.STANCE}, {prf_sql('judged', 'prf')}"
 
 @query(
     f"""WITH {i.SCORED_EVENTS}
-SELECT "true", pred, count(*) AS n, round(sum(seconds), 6) AS seconds FROM scored GROUP BY 1, 2"""
+SELECT "true", pred, count(*) AS n, round(sum(seconds), 6) AS seconds, count(seconds) AS timed
+FROM scored GROUP BY 1, 2"""
 )
 def confusion_counts(spark, sf_dir):
     return rounded(_counts(spark, sf_dir), "seconds")
