@@ -5,15 +5,16 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Row, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from labelloom.functions.order import seeded_hash
 from labelloom.plans.lookup import lookup_join, pin_small, settle
+from labelloom.plans.scratch import written
 
 HASH_DIGITS = 3
 PREFIXES = 65_536  # counts per group and prefix that are kept from the one pass over the rows
 SORTED_ROWS = 1_000_000  # of one group that may meet in one sort
-SAMPLED_PER_PART = 100
+PLACE_BITS = 33  # of monotonically_increasing_id: the place within a task
 
 
 def mark_first(
@@ -76,41 +77,29 @@ def mark_first(
     return lookup_join(df, cuts, group, "left").select(*columns, chosen.alias(into))
 
 
-def range_points(df: DataFrame, keys: Sequence[str], parts: int) -> list[Row]:
-    """Keys that cut the table into about even ranges.
-
-    They come from a hash sample of the keys, some SAMPLED_PER_PART per range; they only
-    balance the work, whatever they are, every row falls into one range.
-    """
-    step = max(df.count() // (SAMPLED_PER_PART * parts), 1)
-    sampled = df.select(*keys).filter(F.pmod(F.xxhash64(*keys), F.lit(step)) == 0)
-    rows = sampled.orderBy(*keys).collect()
-    return [rows[len(rows) * i // parts] for i in range(1, parts)] if rows else []
-
-
 def number_rows(df: DataFrame, key: str | Sequence[str], into: str = "row_no") -> DataFrame:
     """Attach 1, 2, 3, ... in the order of a unique key of one or more orderable columns.
 
-    The key range is cut into even ranges, each ranked in its own task and shifted by
-    the number of rows in the ranges before it. Nulls come first.
+    Spark cuts the table into key ranges, one per shuffle partition, and sorts each in its own
+    task; a row's place is its place in that task plus the sizes of the ranges before it. The
+    sorted rows are written once, since a range's bounds are sampled anew each time it is
+    computed: sizes and places must come from the same cut. Nulls come first.
     """
     keys = [key] if isinstance(key, str) else list(key)
     parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
-    points = range_points(df, keys, parts)
-    types = [df.schema[k].dataType for k in keys]
-    cuts = [F.struct(*[F.lit(v).cast(t).alias(k) for k, v, t in zip(keys, row, types)]) for row in points]
-    own = F.struct(*[F.col(k) for k in keys])
-    part = F.size(F.filter(F.array(*cuts), lambda cut: cut < own)) if cuts else F.lit(0)
-    ranged = df.withColumn("__part", part)
-    # At most `parts` rows: the window over them is bounded by the setting, not by the data.
-    sizes = ranged.groupBy("__part").agg(F.count("*").alias("__n"))
+    ranged = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+    # This id holds the task's number above the row's place in the task.
+    placed = written(ranged.withColumn("__at", F.monotonically_increasing_id()), "row-places")
+    placed = placed.withColumn("__part", F.shiftright("__at", PLACE_BITS))
+    # One row per range: the window over them is bounded by the setting, not by the data.
+    sizes = placed.groupBy("__part").agg(F.count("*").alias("__n"))
     ahead = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     shifts = settle(
         sizes.select("__part", F.coalesce(F.sum("__n").over(ahead), F.lit(0)).alias("__shift"))
     )
-    within = F.row_number().over(Window.partitionBy("__part").orderBy(*keys))
+    place = F.col("__at").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
     return (
-        lookup_join(ranged, shifts, "__part")
-        .withColumn(into, F.col("__shift") + within)
-        .drop("__part", "__shift")
+        lookup_join(placed, shifts, "__part")
+        .withColumn(into, F.col("__shift") + place + 1)
+        .drop("__part", "__shift", "__at")
     )

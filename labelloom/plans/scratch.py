@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from functools import lru_cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 @lru_cache(maxsize=None)
@@ -35,6 +35,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{session_path(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The frame, written to the session's folder and read back.
+
+    The rows are then what they were at the time of writing, whatever is read of them
+    later and however often; what is lost with an executor is read again.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def clear(spark: SparkSession) -> None:
     """Remove the session's intermediate files; frames that read them can't be used afterwards."""
     path = spark._jvm.org.apache.hadoop.fs.Path(session_path(spark))

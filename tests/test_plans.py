@@ -88,8 +88,7 @@ def test_sample_paths_agree(monkeypatch, skewed):
 
 
 @pytest.mark.parametrize("keys", ["even", "clustered"])
-def test_number_rows(monkeypatch, spark, keys):
-    monkeypatch.setattr(ranking, "SAMPLED_PER_PART", 10)
+def test_number_rows(spark, keys):
     rng = random.Random(3)
     values = list(range(997))
     if keys == "clustered":
@@ -100,6 +99,17 @@ def test_number_rows(monkeypatch, spark, keys):
     assert got == {v: i for i, v in enumerate(sorted(set(values)), 1)}
 
 
+def test_row_numbers_come_from_ranges(spark, skewed):
+    """No row is compared with every cut; the numbers stay when the plan runs again."""
+    numbered = number_rows(skewed, ["label", "key"])
+    text = numbered._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in text and "filter(" not in text
+    first = {(r.label, r.key): r.row_no for r in numbered.collect()}
+    again = {(r.label, r.key): r.row_no for r in numbered.repartition(3).collect()}
+    ordered = sorted(first)
+    assert first == again == {k: i for i, k in enumerate(ordered, 1)}
+
+
 def test_batches_are_full_but_the_last(skewed):
     sizes = split.batch_ids(skewed, "key", 16).groupBy("batch_id").count().orderBy("batch_id")
     counts = [r["count"] for r in sizes.collect()]
