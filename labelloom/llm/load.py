@@ -1,6 +1,7 @@
 """Imports every query module of this subpackage, so that its registry is full."""
 
 from labelloom.llm import (  # noqa: F401
-    ann, bpe, exact_dedup, jaccard, manifest, packing, pii, quality, substring_dedup, url_filter, warc,
+    ann, bpe, exact_dedup, jaccard, manifest, packing, pii, quality, quality_rules,
+    substring_dedup, url_filter, warc,
 )
 from labelloom.llm.registry import ORACLES, QUERIES  # noqa: F401
