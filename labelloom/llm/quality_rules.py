@@ -60,22 +60,25 @@ def repeated_words(words: Column, width: int = WINDOW, digest: Hash = F.xxhash64
     the others the windows themselves are sorted and compared with their neighbours: the
     work is that of a sort, however often a window is repeated.
     """
-    starts = F.sequence(F.lit(1), F.size(words) - (width - 1))
-    hashes = F.transform(starts, lambda i: digest(F.slice(words, i, width)))
-    windows = F.sort_array(
-        F.transform(
-            starts,
-            lambda i: F.struct(F.array_join(F.slice(words, i, width), " ").alias("words"), i.alias("at")),
-        )
-    )
 
     def twice(ordered: Column) -> Column:
         same = lambda s, j: F.coalesce(F.get(ordered, j)["words"] == s["words"], F.lit(False))
         marked = F.transform(ordered, lambda s, i: F.when(same(s, i - 1) | same(s, i + 1), s["at"]))
         return let(F.sort_array(F.filter(marked, lambda at: at.isNotNull())), lambda p: covered(p, width))
 
-    distinct = let(hashes, lambda h: F.size(F.array_distinct(h)) == F.size(h))
-    return F.when((F.size(words) < width) | distinct, F.lit(0)).otherwise(let(windows, twice))
+    def counted(words: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(words) - (width - 1))
+        window = lambda i: F.slice(words, i, width)
+        distinct = let(
+            F.transform(starts, lambda i: digest(window(i))), lambda h: F.size(F.array_distinct(h)) == F.size(h)
+        )
+        joined = F.transform(
+            starts, lambda i: F.struct(F.array_join(window(i), " ").alias("words"), i.alias("at"))
+        )
+        none = (F.size(words) < width) | distinct
+        return F.when(none, F.lit(0)).otherwise(let(F.sort_array(joined), twice))
+
+    return let(words, counted)
 
 
 def line_key(host: Column, line: Column) -> Column:
