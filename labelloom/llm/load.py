@@ -2,6 +2,6 @@
 
 from labelloom.llm import (  # noqa: F401
     ann, bpe, exact_dedup, jaccard, manifest, packing, pii, quality, quality_rules,
-    substring_dedup, url_filter, warc,
+    substring_dedup, url_filter, vector_codes, warc,
 )
 from labelloom.llm.registry import ORACLES, QUERIES  # noqa: F401
