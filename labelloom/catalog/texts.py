@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from functools import partial
+from functools import lru_cache, partial
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from labelloom.catalog import inputs as i
@@ -13,7 +14,7 @@ from labelloom.functions import labels as rules
 from labelloom.functions.prompts import TEMPLATES, render_prompt as fill
 from labelloom.functions.sequences import IGNORED, PAD_ID, restore_mask
 from labelloom.functions.text import STOP_WORDS
-from labelloom.operators import classifier, features, labelling, resample, sequences, split
+from labelloom.operators import classifier, features, labelling, pieces, resample, sequences, split
 from labelloom.plans.lookup import settle
 
 
@@ -167,6 +168,43 @@ def decode_sequence(spark, sf_dir):
     return sequences.decode_sequence(_encoded(spark, sf_dir, vocab), vocab, "doc_id", "input_ids")
 
 
+@lru_cache(maxsize=1)
+def _pieces():
+    return pieces.read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query()
+def subword_vocabulary(spark, sf_dir):
+    """The pieces of a given vocabulary that the corpus uses, with their counts."""
+    return pieces.piece_counts(i.spread_documents(spark, sf_dir), "text", _pieces())
+
+
+@query()
+def subword_encode(spark, sf_dir):
+    """Prompts and targets as fixed-length arrays of piece ids."""
+    pairs = sequences.training_pairs(i.spread_documents(spark, sf_dir), "doc_id", "text", "lang")
+    wanted = {"input_ids": ("text", 256), "labels": ("label_text", 16)}
+    encoded = pieces.encode_pieces(pairs, "doc_id", wanted, _pieces())
+    return encoded.select("doc_id", *spaced("input_ids", "labels"))
+
+
+@query()
+def subword_batch_pad(spark, sf_dir):
+    """Piece ids cut to 512 and filled up to the longest of each batch."""
+    rows = i.spread_documents(spark, sf_dir)
+    cut = pieces.encode_pieces(rows, "doc_id", {"input_ids": ("text", 512)}, _pieces(), padded=False)
+    padded = sequences.batch_pad(split.batch_ids(cut, "doc_id", 16), "input_ids")
+    return padded.select("doc_id", "batch_id", *spaced("input_ids"))
+
+
+@query("SELECT doc_id, text FROM documents")
+def subword_decode(spark, sf_dir):
+    """Whole texts to piece ids and back: nothing is lost, no word is unknown."""
+    rows = i.spread_documents(spark, sf_dir)
+    encoded = pieces.encode_pieces(rows, "doc_id", {"ids": ("text", None)}, _pieces())
+    return pieces.decode_pieces(encoded, "doc_id", "ids", _pieces())
+
+
 @query(
     f"""WITH {i.ANSWERED}
 SELECT o_orderkey, answer, {i.LENIENT.format("answer")} AS label FROM answered"""
