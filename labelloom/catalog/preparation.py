@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 
 from labelloom.catalog import inputs as i
 from labelloom.catalog.registry import query
-from labelloom.operators import checks, clean, profile
+from labelloom.operators import checks, clean, profile, split
 from labelloom.plans.lookup import settle
-from labelloom.plans.scratch import scratch_path
-from labelloom.sources import tables
+from labelloom.plans.scratch import scratch_path, written
+from labelloom.sources import ranges, tables
 
 SIX = 6
 
@@ -48,6 +50,57 @@ def csv_scan_reordered(spark, sf_dir):
     return _nulls_shown(tables.csv_scan(spark, path, RAW_SCHEMA))
 
 
+@contextmanager
+def _ranges_of(spark, size):
+    """Within it, Spark reads files in byte ranges of this size."""
+    name, start = "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"
+    before = {n: spark.conf.get(n) for n in (name, start)}
+    spark.conf.set(name, size)
+    spark.conf.set(start, "1")
+    try:
+        yield
+    finally:
+        for n, value in before.items():
+            spark.conf.set(n, value)
+
+
+@query(CSV_ORACLE)
+def csv_scan_ranges(spark, sf_dir):
+    """One file with quoted line breaks, read by many tasks."""
+    path = scratch_path(spark, "csv_scan_ranges")
+    tables.csv_sink(i.raw_documents(spark, sf_dir).coalesce(1), path)
+    with _ranges_of(spark, "256k"):
+        # Written while the ranges are set, since a scan is cut when it runs.
+        return written(_nulls_shown(ranges.csv_scan_ranges(spark, path, RAW_SCHEMA)), "scanned")
+
+
+def _shuffled_file(spark, sf_dir):
+    """Documents in files whose rows are not in key order, with their position in them."""
+    path = scratch_path(spark, "shuffled_file")
+    rows = i.documents(spark, sf_dir).withColumn("place", F.md5(F.col("doc_id").cast("string")))
+    parts = rows.repartitionByRange(3, "place").sortWithinPartitions("place").drop("place")
+    tables.csv_sink(parts, path)
+    return ranges.csv_scan_ranges(spark, path, RAW_SCHEMA, position="position")
+
+
+@query(
+    """SELECT upper(lang) AS label, arg_min(doc_id, md5(doc_id::VARCHAR)) AS first_key,
+  left(arg_min(text, md5(doc_id::VARCHAR)), 100) || '...' AS example FROM documents GROUP BY lang"""
+)
+def class_example_in_order(spark, sf_dir):
+    """The first text of each label in file order."""
+    return profile.class_example_in_order(_shuffled_file(spark, sf_dir), "position", "doc_id", "text", "lang")
+
+
+@query(
+    """SELECT doc_id, text, lang, source, n_chars FROM documents
+ORDER BY md5(doc_id::VARCHAR) LIMIT 10"""
+)
+def head_in_order(spark, sf_dir):
+    """The first ten rows in file order."""
+    return split.head_in_order(_shuffled_file(spark, sf_dir), "position", 10).drop("position")
+
+
 @query(
     f"""WITH {i.SPLIT_ORDERS}
 SELECT o_orderkey, o_orderpriority, split FROM parted"""

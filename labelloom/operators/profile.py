@@ -99,6 +99,27 @@ def class_example(df: DataFrame, key: str, text: str, label: str, width: int = 1
     )
 
 
+def class_example_in_order(
+    df: DataFrame, position: str, key: str, text: str, label: str, width: int = 100
+) -> DataFrame:
+    """The first text of each label by `position`, in order of first appearance.
+
+    With the position of a file's rows this is table order, whatever the keys are. Only
+    previews are compared, one per label and task.
+    """
+    first = F.min_by(F.struct(F.col(key).alias("key"), preview(F.col(text), width).alias("shown")), position)
+    found = (
+        df.filter(F.col(label).isNotNull())
+        .groupBy(label)
+        .agg(first.alias("first"), F.min(position).alias("at"))
+    )
+    return found.orderBy("at").select(
+        F.upper(label).alias("label"),
+        F.col("first.key").alias("first_key"),
+        F.col("first.shown").alias("example"),
+    )
+
+
 def class_share_flag(df: DataFrame, label: str, limit: float = SHARE_LIMIT) -> DataFrame:
     """Class shares with under- and over-representation flags (strict comparisons)."""
     flag = (

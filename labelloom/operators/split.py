@@ -157,6 +157,11 @@ def head_n(df: DataFrame, key: str, n: int) -> DataFrame:
     return first_rows(df, key, n)
 
 
+def head_in_order(df: DataFrame, position: str, n: int) -> DataFrame:
+    """First n rows by `position`, such as that of a file's rows; every task keeps n rows at most."""
+    return df.orderBy(position).limit(n)
+
+
 def batch_ids(
     df: DataFrame, key: str | Sequence[str], size: int = 16, into: str = "batch_id"
 ) -> DataFrame:

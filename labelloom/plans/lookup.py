@@ -94,8 +94,8 @@ def first_rows(df: DataFrame, key: str, n: int, *order: Column) -> DataFrame:
     ranked = [*order, F.col(key)]
     top = df.select(*[c.alias(f"__{i}") for i, c in enumerate(order)], key)
     top = top.orderBy(*[f"__{i}" for i in range(len(order))], key).limit(n).select(key)
-    found = fetch_by_key(df, top, key).orderBy(*ranked)
-    return found if n > FETCH_KEYS else found.limit(n)
+    # A key may be repeated: it is fetched once, and the rows are cut after that.
+    return fetch_by_key(df, top.distinct(), key).orderBy(*ranked).limit(n)
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
