@@ -14,8 +14,11 @@ from labelloom.functions import labels as rules
 from labelloom.functions.prompts import TEMPLATES, render_prompt as fill
 from labelloom.functions.sequences import IGNORED, PAD_ID, restore_mask
 from labelloom.functions.text import STOP_WORDS
-from labelloom.operators import classifier, features, labelling, pieces, resample, sequences, split
+from labelloom.operators import (
+    classifier, features, kept_labels, labelling, pieces, resample, sequences, split,
+)
 from labelloom.plans.lookup import settle
+from labelloom.plans.scratch import scratch_path
 
 
 def literal(text: str) -> str:
@@ -282,6 +285,25 @@ def batch_label(spark, sf_dir):
     return labelling.batch_label(i.spread_documents(spark, sf_dir), load_keyword_model, "doc_id", "text")
 
 
+@query(f"SELECT doc_id, {KEYWORD} AS label_pred, {KEYWORD} AS raw_response FROM documents")
+def batch_label_kept(spark, sf_dir):
+    """Two runs on one store: the second finds every answer in it."""
+    store = scratch_path(spark, "answers")
+    rows = i.spread_documents(spark, sf_dir)
+    for _ in range(2):
+        labelled = kept_labels.batch_label_kept(rows, load_keyword_model, "doc_id", "text", store, "rule-1")
+    return labelled
+
+
+@query(f"SELECT conv_id, turn, role, text, {KEYWORD} AS label_pred FROM conversations")
+def append_predictions_kept(spark, sf_dir):
+    """Conversations whose answers are kept; most texts are repeated."""
+    return kept_labels.append_predictions_kept(
+        i.table(spark, sf_dir, "conversations"), load_keyword_model, "text",
+        scratch_path(spark, "answers"), "rule-1", normalise=rules.label_strict,
+    )
+
+
 @query(f"SELECT conv_id, turn, role, text, {KEYWORD} AS label_pred FROM conversations")
 def append_predictions(spark, sf_dir):
     return labelling.append_predictions(
