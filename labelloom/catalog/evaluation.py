@@ -103,6 +103,18 @@ def observed_matrix(spark, sf_dir):
     return metrics.observed_matrix(_counts(spark, sf_dir))
 
 
+@query(
+    f"""WITH {i.SCORED_EVENTS}, l AS (
+  SELECT unnest([{', '.join(f"'{x}'" for x in OBSERVED)}]) AS label
+)
+SELECT a.label AS "true", b.label AS pred, count(event_id) AS n
+FROM l a CROSS JOIN l b LEFT JOIN scored s ON s."true" = a.label AND s.pred = b.label GROUP BY ALL"""
+)
+def confusion_cells(spark, sf_dir):
+    """The same matrix in long form."""
+    return metrics.confusion_cells(_counts(spark, sf_dir))
+
+
 TIMED = """timed AS (SELECT CASE WHEN event_id % 3 = 0 THEN NULL ELSE value END AS seconds FROM events)"""
 
 

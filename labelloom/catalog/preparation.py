@@ -12,6 +12,7 @@ from labelloom.operators import checks, clean, profile, split
 from labelloom.plans.lookup import settle
 from labelloom.plans.scratch import scratch_path, written
 from labelloom.sources import ranges, tables
+from labelloom.streaming import arrivals
 
 SIX = 6
 
@@ -326,6 +327,26 @@ def prepare(spark, sf_dir):
     return i.prepared_documents(spark, sf_dir).withColumn("text", shown)
 
 
+@query(
+    f"""WITH {i.PREPARED}
+SELECT doc_id, coalesce(text, '(null)') AS text, text_clean, source, n_chars, lang, label_encoded
+FROM prepared"""
+)
+def prepare_arrivals(spark, sf_dir):
+    """Documents that arrive as files, prepared as a stream with the codes of a saved mapping."""
+    source, mapping, target, state = (
+        scratch_path(spark, f"arrivals-{name}") for name in ("source", "mapping", "target", "state")
+    )
+    rows = i.raw_documents(spark, sf_dir)
+    tables.csv_sink(rows, source)
+    tables.csv_sink(clean.label_index(i.documents(spark, sf_dir), "lang"), mapping)
+    codes = tables.csv_scan(spark, mapping, tables.LABEL_MAPPING_SCHEMA)
+    arrivals.prepare_arrivals(
+        spark, source, RAW_SCHEMA, codes, "doc_id", "text", "lang", target, state, ["source", "n_chars"]
+    ).awaitTermination()
+    return arrivals.prepared_arrivals(spark, target).withColumn("text", F.coalesce("text", F.lit("(null)")))
+
+
 REQUIRED = ("text", "lang", "label_pred")
 
 

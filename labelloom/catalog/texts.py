@@ -64,6 +64,12 @@ def vocabulary(spark, sf_dir):
     return _vocabulary(spark, sf_dir)
 
 
+@query(f"WITH {VOCABULARY} SELECT token, n, id FROM vocabulary")
+def vocabulary_summarised(spark, sf_dir):
+    """The same from bounded summaries of each task's tokens."""
+    return sequences.vocabulary(i.spread_documents(spark, sf_dir), "text", summary=30_000)
+
+
 def encoded_sql(name: str, text: str, length: int) -> str:
     """CTEs with the ids of a text, the end id included: `(doc_id, ids)`."""
     return f"""{name}_t AS (
@@ -355,6 +361,17 @@ def tfidf_terms(spark, sf_dir):
     return rounded(features.term_statistics(train, "text"), "idf")
 
 
+@query(
+    f"""WITH {SPLIT_DOCUMENTS}, {TERMS}
+SELECT term, (row_number() OVER (ORDER BY n DESC, term) - 1)::INTEGER AS term_index, n, df,
+       round(idf, 6) AS idf FROM terms"""
+)
+def tfidf_terms_summarised(spark, sf_dir):
+    """The same from bounded summaries of each task's terms."""
+    train = _parted(spark, sf_dir).filter("split = 'train'")
+    return rounded(features.term_statistics(train, "text", summary=30_000), "idf")
+
+
 @query(
     f"""WITH {SPLIT_DOCUMENTS}, {TERMS}, weighed AS (
   SELECT doc_id, split, term, tf, tf * idf AS raw FROM counted JOIN terms USING (term))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -15,9 +16,11 @@ from labelloom.functions.text import STOP_WORDS, word_key
 from labelloom.operators.clean import label_decode, label_encode, label_index
 from labelloom.operators.features import term_statistics, tfidf_vectors, with_tokens
 from labelloom.plans.lookup import literal_table, pull_small, settle
+from labelloom.plans.scratch import written
 
 
 DIGEST_LENGTH = 33
+ROWS_PER_TASK = 4_000  # of the trainer: some milliseconds of work a step
 
 
 @dataclass
@@ -75,8 +78,11 @@ def fit_classifier(
     )
     if weight is not None:
         learner = learner.setWeightCol("__weight")
-    # The trainer keeps the points itself, in blocks.
-    model = learner.fit(coded.select(*columns).filter("__code IS NOT NULL"))
+    # The texts are turned into vectors once, by all tasks; the trainer, which runs a job per step,
+    # then reads the vectors in tasks that are worth their overhead and keeps them in blocks.
+    points = written(coded.select(*columns).filter("__code IS NOT NULL"), "training-vectors")
+    tasks = max(math.ceil(points.count() / ROWS_PER_TASK), 1)
+    model = learner.fit(points.coalesce(tasks))
     names = terms.column("term").to_pylist()
     words = statistics.select(word_key(F.col("term")).alias("term"), F.col("term").alias("word"))
     return TextClassifier(names, words, labels, vectors, model, stop_words)

@@ -11,6 +11,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, Window, functions as F
 
 from labelloom.functions.text import STOP_WORDS, content_words, word_key
+from labelloom.operators.frequent import frequent_candidates
 from labelloom.plans.lookup import lookup_join, pull_small, settle
 
 # Terms up to which they are a constant of the plan; more are joined, with the same result.
@@ -29,19 +30,25 @@ def term_statistics(
     text: str,
     max_features: int = 5_000,
     stop_words: Sequence[str] = STOP_WORDS,
+    summary: int | None = None,
 ) -> DataFrame:
     """The `max_features` most frequent terms: index, total count, document frequency, idf.
 
     Each document sends its tokens once as occurrences and once as distinct terms, so
-    both counts come from one aggregate over terms, combined before the shuffle.
+    both counts come from one aggregate over terms, combined before the shuffle. With `summary`
+    only terms that may be among the most frequent are counted, as `vocabulary` does.
     """
     tokens = df.select(content_words(F.col(text), stop_words).alias("tokens"))
     both = tokens.select(
         F.posexplode(F.array("tokens", F.array_distinct("tokens"))).alias("kind", "terms")
     )
+    each = both.select("kind", F.explode("terms").alias("term"))
+    if summary:
+        found = frequent_candidates(tokens.select(F.explode("tokens")), max_features, summary)
+        if found is not None and not found.exact:
+            each = lookup_join(each, found.terms.select("term"), "term")
     counts = (
-        both.select("kind", F.explode("terms").alias("term"))
-        .groupBy("term")
+        each.groupBy("term")
         .agg(F.count_if(F.col("kind") == 0).alias("n"), F.count_if(F.col("kind") == 1).alias("df"))
     )
     # At most `max_features` rows reach the ranking window.

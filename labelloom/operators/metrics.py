@@ -11,7 +11,11 @@ from labelloom.functions.labels import STANCES
 from labelloom.functions.text import preview
 from labelloom.operators.clean import label_decode
 from labelloom.operators.profile import ratio
-from labelloom.plans.lookup import first_rows, literal_table, settle, union_all
+from labelloom.plans.lookup import first_rows, literal_table, pull_small, settle, union_all
+
+WIDE_LABELS = 1_000  # labels that may become columns
+CELL_LABELS = 50_000  # labels whose pairs may be listed
+CELL_BLOCKS = 32
 
 
 def is_correct(true: str, pred: str) -> Column:
@@ -56,16 +60,45 @@ def confusion_grid(counts: DataFrame) -> DataFrame:
     return counts.filter(known).select("true", "pred", "n").orderBy("true", "pred")
 
 
-def observed_labels(counts: DataFrame) -> list[str]:
-    """All labels seen as true or predicted, in order; as many as the table has classes."""
+def observed_labels(counts: DataFrame) -> DataFrame:
+    """All labels seen as true or predicted: `label`."""
     both = counts.select(F.explode(F.array("true", "pred")).alias("label")).distinct()
-    return sorted(r["label"] for r in both.filter("label IS NOT NULL").collect())
+    return both.filter("label IS NOT NULL")
+
+
+def observed_matrix(counts: DataFrame, limit: int = WIDE_LABELS) -> DataFrame:
+    """The square matrix over all observed labels, zeros included.
 
+    Labels become columns, so more than `limit` of them are an error: `confusion_grid` lists
+    the pairs that occur, and `confusion_cells` all pairs, whatever the number of labels.
+    """
+    counts = settle(counts)
+    table = pull_small(observed_labels(counts), limit)
+    if table is None:
+        raise ValueError(f"more than {limit} labels do not make a matrix; see confusion_cells")
+    return confusion_matrix(counts, sorted(table.column("label").to_pylist()))
 
-def observed_matrix(counts: DataFrame) -> DataFrame:
-    """The square matrix over all observed labels, zeros included."""
+
+def confusion_cells(
+    counts: DataFrame, limit: int = CELL_LABELS, blocks: int = CELL_BLOCKS
+) -> DataFrame:
+    """All pairs of observed labels in long form, zeros included: `true, pred, n`.
+
+    This is the matrix itself, the square of the number of labels, which is checked against
+    `limit`. Its zeros are made block by block: labels are dealt into `blocks` by hash, and each pair of
+    blocks meets in a task of its own, so no task holds all labels.
+    """
     counts = settle(counts)
-    return confusion_matrix(counts, observed_labels(counts))
+    labels = observed_labels(counts)
+    if labels.count() > limit:
+        raise ValueError(f"the pairs of more than {limit} labels are too many; see confusion_grid")
+    block = F.pmod(F.xxhash64("label"), F.lit(blocks)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    rows = labels.select(F.col("label").alias("true"), block.alias("a")).withColumn("b", every)
+    columns = labels.select(F.col("label").alias("pred"), block.alias("b")).withColumn("a", every)
+    zeros = rows.join(columns, ["a", "b"]).select("true", "pred", F.lit(0).cast("long").alias("n"))
+    seen = counts.filter("true IS NOT NULL AND pred IS NOT NULL").select("true", "pred", "n")
+    return zeros.unionByName(seen).groupBy("true", "pred").agg(F.sum("n").alias("n"))
 
 
 def _correct() -> Column:

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from labelloom.functions.prompts import render_prompt
 from labelloom.functions.sequences import EOS_ID, FIRST_FREE_ID, PAD_ID, UNK_ID, pad, truncate
 from labelloom.functions.text import word_key, words
-from labelloom.plans.lookup import pull_small, salted_join
+from labelloom.operators.frequent import frequent_candidates
+from labelloom.plans.lookup import lookup_join, pull_small, salted_join
 
 DICTIONARY_SLOTS = 4096
 DICTIONARY_WORDS = 100_000
@@ -24,16 +25,21 @@ def training_pairs(
     )
 
 
-def vocabulary(df: DataFrame, text: str, size: int = 8_000) -> DataFrame:
+def vocabulary(df: DataFrame, text: str, size: int = 8_000, summary: int | None = None) -> DataFrame:
     """The `size` most frequent tokens with ids by frequency rank, ties by token.
 
-    Ids start above the reserved pad, end and unknown ids.
+    Ids start above the reserved pad, end and unknown ids. With `summary` each task first sends at
+    most that many tokens, and only those that may be among the most frequent are counted and
+    shuffled, with the same result; where the summaries leave it open, all are counted.
     """
-    counts = (
-        df.select(F.explode(words(F.col(text))).alias("token"))
-        .groupBy("token")
-        .agg(F.count("*").alias("n"))
-    )
+    tokens = df.select(F.explode(words(F.col(text))).alias("token"))
+    found = frequent_candidates(tokens, size, summary) if summary else None
+    if found is not None and found.exact:
+        counts = found.terms.withColumnRenamed("term", "token")
+    else:
+        if found is not None:
+            tokens = lookup_join(tokens, found.terms.select(F.col("term").alias("token")), "token")
+        counts = tokens.groupBy("token").agg(F.count("*").alias("n"))
     # At most `size` rows reach the ranking window.
     top = counts.orderBy(F.desc("n"), "token").limit(size)
     rank = F.row_number().over(Window.orderBy(F.desc("n"), "token"))

@@ -1,10 +1,15 @@
 """Files: what is written comes back."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from labelloom.operators.labelling import KeywordModel
 from labelloom.sources import reports, tables
-from labelloom.streaming.arrivals import label_arrivals
+from labelloom.functions.prompts import render_prompt
+from labelloom.operators import clean
+from labelloom.streaming.arrivals import (
+    label_arrivals, prepare_arrivals, prepared_arrivals, transform_arrivals, unseen_arrivals,
+)
 
 TEXTS = [
     'plain', 'comma, "quoted" and \\ slash', 'two\nlines', 'dos\r\nlines', '  outer blanks  ',
@@ -71,3 +76,41 @@ def test_arriving_files_are_labelled_once(spark, tmp_path):
     }
     assert arrive([(3, "the vaccine is safe")])[3] == "in-favor"
     assert spark.read.parquet(target).count() == 3
+
+
+def test_arriving_files_are_prepared_as_a_batch_is(spark, tmp_path):
+    """The batch operator's rows; a label without a code goes to the side, and nothing twice."""
+    source, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    schema = "id long, t string, label string, more string"
+    mapping = spark.createDataFrame([("a", 0), ("b", 1)], "label string, encoded_value int")
+    batches = [
+        [(1, " x\n", "a", "m"), (2, None, "b", "m"), (3, "\u3000 ", "a", "m"), (4, "y", None, "m")],
+        [(5, "z, \"q\"", "c", "m"), (6, "w", "b", None)],
+    ]
+
+    def arrive(rows):
+        if rows:
+            df = spark.createDataFrame(rows, schema).coalesce(1)
+            df.write.mode("append").options(**tables.CSV_OPTIONS).csv(source)
+        run = prepare_arrivals(spark, source, schema, mapping, "id", "t", "label", target, state, ["more"])
+        run.awaitTermination()
+
+    for rows in [*batches, []]:
+        arrive(rows)
+    everything = spark.createDataFrame(sum(batches, []), schema)
+    want = clean.prepare(everything.filter("label <> 'c'"), "id", "t", "label", carry=["more"])
+    got = prepared_arrivals(spark, target)
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert [tuple(r) for r in unseen_arrivals(spark, target).collect()] == [(5, 'z, "q"', 'z, "q"', "m", "c")]
+
+
+def test_row_wise_operators_run_on_a_stream(spark, tmp_path):
+    source, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    rows = [(1, "a\nb"), (2, "{tweet}"), (3, "c")]
+    df = spark.createDataFrame(rows, "id long, t string")
+    tables.csv_sink(df, source)
+    prompts = lambda part: part.select("id", render_prompt(F.col("t"), "instruction").alias("p"))
+    transform_arrivals(spark, source, "id long, t string", prompts, target, state).awaitTermination()
+    got = spark.read.parquet(target).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, prompts(df).collect()))
