@@ -85,7 +85,7 @@ def declared(piece: Column) -> Column:
     """Bytes of the record that begins with this piece, by its Content-Length; null where none does."""
     head = F.substring_index(piece, CRLF * 2, 1)
     begins = F.substr(piece, F.lit(1), F.lit(3)).isin(*VERSIONS) & (F.instr(piece, CRLF * 2) > 0)
-    length = field(fields_of(head), "content-length").try_cast("int")
+    length = field(fields_of(head), "content-length").try_cast("long")
     return F.when(begins & (length >= 0), F.octet_length(head) + 4 + length).cast("long")
 
 
@@ -204,11 +204,11 @@ def parsed(records: DataFrame) -> DataFrame:
     )
 
 
-def merged_headers(stored: Column, fresh: Column) -> Column:
+def merged_headers(old: Column, fresh: Column) -> Column:
     """Stored fields, with those that the 304 answer may update taken from it."""
     allowed = F.filter(fresh, lambda f: f["name"].isin(PERMITTED))
     names = F.transform(allowed, lambda f: f["name"])
-    kept = F.filter(stored, lambda f: ~F.array_contains(names, f["name"]))
+    kept = F.filter(old, lambda f: ~F.array_contains(names, f["name"]))
     return F.concat(kept, allowed)
 
 
@@ -235,7 +235,7 @@ def resolve_revisits(records: DataFrame, bucket_seconds: int = DAY) -> DataFrame
     revisit = (F.col("kind") == "revisit") & F.coalesce(
         (F.col("profile") == NOT_MODIFIED) | (F.col("status") == 304), F.lit(False)
     )
-    slim = records.filter(response | revisit).select(
+    narrow = records.filter(response | revisit).select(
         "record_id", "captured", "headers",
         canonical_url("url").alias("canonical"),
         micros.alias("at"),
@@ -246,6 +246,8 @@ def resolve_revisits(records: DataFrame, bucket_seconds: int = DAY) -> DataFrame
             F.struct(micros.alias("at"), "record_id", F.sha2("body", 256).alias("digest"), "headers"),
         ).alias("response"),
     )
+    # Both uses below read these narrow rows, so the files are parsed once.
+    slim = stored(narrow, "warc-visits")
     ends = slim.groupBy("canonical", "bucket").agg(F.max("response").alias("end"))
     before = Window.partitionBy("canonical").orderBy("bucket")
     before = before.rowsBetween(Window.unboundedPreceding, -1)
@@ -262,9 +264,9 @@ def resolve_revisits(records: DataFrame, bucket_seconds: int = DAY) -> DataFrame
     def tag(headers: Column) -> Column:
         return F.regexp_replace(field(headers, "etag"), "^W/", "")
 
-    stored = F.col("found.headers")
-    tags = tag(stored) == tag(F.col("headers"))
-    dates = field(stored, "last-modified") == field("headers", "last-modified")
+    kept = F.col("found.headers")
+    tags = tag(kept) == tag(F.col("headers"))
+    dates = field(kept, "last-modified") == field("headers", "last-modified")
     agree = F.coalesce(tags, dates)
     usable = F.col("canonical").isNotNull() & F.col("at").isNotNull() & F.col("found").isNotNull()
     resolution = (
@@ -278,7 +280,7 @@ def resolve_revisits(records: DataFrame, bucket_seconds: int = DAY) -> DataFrame
         "record_id", "canonical", "captured",
         F.when(F.col("resolution") != "missing", F.col("found.record_id")).alias("refers_to"),
         "resolution",
-        F.when(good, merged_headers(stored, F.col("headers")))
+        F.when(good, merged_headers(kept, F.col("headers")))
         .otherwise(F.col("headers")).alias("headers"),
         F.when(good, F.col("found.digest")).alias("digest"),
     )
