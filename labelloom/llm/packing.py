@@ -100,7 +100,8 @@ class Words(dict):
 
     The tokenizer drops white space before anything else, so the words of a text may
     be encoded one by one, and remembered. Words of plain Latin letters go to the model itself
-    as soon as they are in lower case and split; all others take the whole tokenizer.
+    as soon as they are in lower case and split; all others take the whole tokenizer. So does a
+    text that holds the string of an added token, which the tokenizer finds before it splits.
     """
 
     # The tokenizer's own split, and letters that lower-case one by one.
@@ -114,7 +115,9 @@ class Words(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        # A token may be looked for in the lowered text.
+        self.added = regex.compile("|".join(map(regex.escape, added)) or r"(?!)", regex.IGNORECASE)
         self.part = Parts(self.tokenizer.model).__getitem__
 
     def __missing__(self, word: str) -> bytes:
@@ -129,7 +132,7 @@ class Words(dict):
         return packed
 
     def encode(self, text: str) -> bytes:
-        if self.SEPARATORS.search(text):
+        if self.SEPARATORS.search(text) or self.added.search(text):
             return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         return b"".join(map(self.__getitem__, text.split()))
 

@@ -16,9 +16,7 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 @pytest.fixture(scope="module")
 def reference():
-    tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(PATH)
 
 
 def test_differencing():
@@ -51,6 +49,10 @@ def test_words_match_the_tokenizer(reference):
     letters = "abcABC  \n\tÉßŒİıſ's'LL߀漢🙂१²Ⅷ.,$#|09\u0301\x1c<|endoftext|>ǅΣς"
     for _ in range(2000):
         text = "".join(draw.choice(letters) for _ in range(draw.randint(0, 40)))
+        if draw.random() < 0.2:
+            token = draw.choice(("<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext", "<| endoftext|>"))
+            at = draw.randint(0, len(text))
+            text = text[:at] + token + text[at:]
         ids = np.frombuffer(encode(text), dtype="<u4").tolist()
         assert ids == reference.encode(text, add_special_tokens=False).ids, repr(text)
 
