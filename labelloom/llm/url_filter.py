@@ -37,6 +37,8 @@ RULES = (
 )
 
 LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+# What ends no term; a letter of another script does, as any other sign.
+ALPHANUMERIC = frozenset("abcdefghijklmnopqrstuvwxyz0123456789")
 
 
 class UrlJudge:
@@ -80,14 +82,14 @@ class UrlJudge:
         return best
 
     def hits(self, url: str) -> tuple[int, int]:
-        """Distinct strict and soft terms in the url that stand between non-letters and non-digits."""
+        """Distinct strict and soft terms in the url with no ASCII letter or digit on either side."""
         url = url.translate(LOWER)
         found: dict[str, int] = {}
         if len(self.terms):
             for end, (term, weight) in self.terms.iter(url):
                 start = end - len(term) + 1
                 before, after = url[start - 1 : start] if start else "", url[end + 1 : end + 2]
-                if not (before.isalnum() or after.isalnum()):
+                if before not in ALPHANUMERIC and after not in ALPHANUMERIC:
                     found[term] = weight
         return sum(w == 2 for w in found.values()), sum(w == 1 for w in found.values())
 
@@ -113,7 +115,7 @@ def judge_urls(
 
     A rule decides where one fits; of several, the longest. Otherwise a url is blocked for
     one strict term or `soft_hits` distinct soft ones, counted over the whole url in lower
-    case (A-Z), where a term counts only between characters that are no letters or digits. A null or
+    case (A-Z), where a term counts only between characters that are no ASCII letters or digits. A null or
     empty url has empty parts and is allowed. Columns of the same names are replaced; rows
     are independent, nothing is shuffled, and repeated rows get the same verdict.
     """
@@ -142,6 +144,7 @@ def _oracle() -> str:
     return rf"""
     WITH u AS (
         SELECT page_id, url,
+               translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
                translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''),
                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
                coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
@@ -156,7 +159,7 @@ def _oracle() -> str:
     ), hit AS (
         SELECT page_id, count(*) FILTER (weight = 2) AS strict_hits,
                count(*) FILTER (weight = 1) AS soft_hits
-        FROM u JOIN terms ON regexp_matches(lower(url), '(^|[^a-z0-9])' || term || '($|[^a-z0-9])')
+        FROM u JOIN terms ON regexp_matches(low, '(^|[^a-z0-9])' || term || '($|[^a-z0-9])')
         GROUP BY page_id
     )
     SELECT page_id, host, path, rule,
