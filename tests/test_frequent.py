@@ -19,11 +19,10 @@ def table(spark, seed, hot=0.0):
     return spark.createDataFrame(rows, "id long, t string").repartition(6, "id")
 
 
-@pytest.mark.parametrize("capacity", [5, 40, 150, 10_000])
-@pytest.mark.parametrize("hot", [0.0, 0.4])
-def test_as_the_full_count(spark, capacity, hot):
+@pytest.mark.parametrize("capacity", [5, 150, 10_000])
+def test_as_the_full_count(spark, capacity):
     """Whether the summaries are exact, give candidates or leave it open."""
-    df = table(spark, 3, hot)
+    df = table(spark, 3, 0.4)
     want = sequences.vocabulary(df, "t", 20).collect()
     assert sequences.vocabulary(df, "t", 20, summary=capacity).collect() == want
 

@@ -32,6 +32,7 @@ def asked(folder):
 
 
 def run(df, model, path, version="1", **options):
+    options = {"steps": 2, **options}
     got = kept_labels.batch_label_kept(df, model, "id", "t", str(path / "store"), version, **options)
     return Counter(map(tuple, got.collect()))
 
