@@ -81,11 +81,10 @@ def table(sizes):
 
 
 CASES = {
-    "awkward": [(i, s, lang, n, t) for i, t, lang, s, n, *_ in cases.rows()],
-    "sizes": table({None: 3, "": 1, "a": 16, "b": 17, "é": 257, "=": 2, "Z": 40}),
-    "many sources": table({f"s{i}": 1 + i % 3 for i in range(40)}),
+    "awkward": [(i, s, lang, n, t) for i, t, lang, s, n, *_ in cases.rows()]
+    + [(1, "again", "en", 3, "ABC")] * 20 + [(None, "again", None, None, "X"), (None, "again", None, None, "Y")],
+    "sizes": table({None: 3, "": 1, "a": 16, "b": 17, "é": 257, "=": 2, **{f"s{i}": 1 + i % 3 for i in range(40)}}),
     "one row": [(1, None, None, None, None)],
-    "repeated": [(1, "s", "en", 3, "ABC")] * 20 + [(None, "s", None, None, "X"), (None, "s", None, None, "Y")],
     "empty": [],
 }
 

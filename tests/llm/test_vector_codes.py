@@ -62,7 +62,7 @@ def awkward():
     return rows + [(303, [math.nan] * 16, 1), (304, [math.inf] + [0.0] * 15, 1), (-5, [-0.001] * 16, 2)]
 
 
-CASES = {"spread": vectors(400), "tight": vectors(300, 16, 0.02), "few": vectors(9, 16), "awkward": awkward()}
+CASES = {"spread": vectors(200), "tight": vectors(150, 16, 0.02), "few": vectors(9, 16), "awkward": awkward()}
 
 
 @pytest.mark.parametrize("name", CASES)
