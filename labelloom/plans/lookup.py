@@ -94,8 +94,12 @@ def first_rows(df: DataFrame, key: str, n: int, *order: Column) -> DataFrame:
     ranked = [*order, F.col(key)]
     top = df.select(*[c.alias(f"__{i}") for i, c in enumerate(order)], key)
     top = top.orderBy(*[f"__{i}" for i in range(len(order))], key).limit(n).select(key)
-    # A key may be repeated: it is fetched once, and the rows are cut after that.
-    return fetch_by_key(df, top.distinct(), key).orderBy(*ranked).limit(n)
+    keys = top.distinct()
+    found = fetch_by_key(df, keys, key).orderBy(*ranked)
+    # Only where keys are repeated do n keys have more than n rows; these are cut, in order.
+    if n <= FETCH_KEYS or fetch_by_key(df.select(key), keys, key).limit(n + 1).count() > n:
+        return found.limit(n)
+    return found
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
