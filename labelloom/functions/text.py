@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
+from pathlib import Path
+from zipfile import ZipFile
 
+import pyspark
 from pyspark.sql import Column, functions as F
 
 # Every code point that Python's str.strip() removes.
@@ -19,16 +23,23 @@ LONG_WORD_PATTERN = r"[\p{L}\p{N}_]{2,}"
 
 LONGEST_KEY = 128
 
+STOP_WORDS_FILE = "org/apache/spark/ml/feature/stopwords/english.txt"
+
+
+def english_stop_words() -> tuple[str, ...]:
+    """Spark's own English list, that of `StopWordsRemover.loadDefaultStopWords("english")`.
+
+    It is read from Spark's jar, so that it can be had, and named in SQL, without a session.
+    """
+    homes = [Path(pyspark.__file__).parent, *map(Path, filter(None, [os.environ.get("SPARK_HOME")]))]
+    for jar in (jar for home in homes for jar in sorted(home.glob("jars/spark-mllib_*.jar"))):
+        with ZipFile(jar) as files:
+            return tuple(files.read(STOP_WORDS_FILE).decode().split())
+    raise FileNotFoundError(f"no spark-mllib jar in {', '.join(map(str, homes))}")
+
+
 # Default stop words; every operator that uses them takes another list as a parameter.
-STOP_WORDS = (
-    "a about above after again against all also am an and any are as at be because been "
-    "before being below between both but by can cannot could did do does doing down during "
-    "each few for from further had has have having he her here hers him his how i if in into "
-    "is it its itself just me more most my no nor not now of off on once only or other our "
-    "ours out over own same she should so some such than that the their theirs them then "
-    "there these they this those through to too under until up very was we were what when "
-    "where which while who whom why will with would you your yours"
-).split()
+STOP_WORDS = english_stop_words()
 
 
 def strip_unicode(text: Column) -> Column:

@@ -72,3 +72,11 @@ def test_fixed_point(spark):
     row = spark.createDataFrame([(0.5, None)], "a double, b double")
     got = row.select(text.fixed_point(F.col("a"), 2), text.fixed_point(F.col("b"), 2)).first()
     assert tuple(got) == ("0.50", None)
+
+
+def test_stop_words_are_the_library_s(spark):
+    from pyspark.ml.feature import StopWordsRemover
+
+    from labelloom.functions.text import STOP_WORDS
+
+    assert list(STOP_WORDS) == StopWordsRemover.loadDefaultStopWords("english")
