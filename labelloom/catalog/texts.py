@@ -414,3 +414,11 @@ def predict_classifier(spark, sf_dir):
     return classifier.predict_classifier(fitted, test, "text").select(
         "doc_id", "lang", "label_pred"
     )
+
+
+@query(f"WITH {SPLIT_DOCUMENTS} SELECT doc_id, true AS agreed FROM parted WHERE split = 'test'")
+def predict_classifier_agrees(spark, sf_dir):
+    """Every predicted label has the largest sum of term weights times coefficients."""
+    parted, weighted, fitted = _fitted(spark, sf_dir)
+    statistics = features.term_statistics(weighted, "text")
+    return classifier.agreement(fitted, parted.filter("split = 'test'"), "doc_id", "text", statistics)

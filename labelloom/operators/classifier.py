@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from labelloom.functions.text import STOP_WORDS, word_key
 from labelloom.operators.clean import label_decode, label_encode, label_index
-from labelloom.operators.features import term_statistics, tfidf_vectors, with_tokens
-from labelloom.plans.lookup import literal_table, pull_small, settle
+from labelloom.operators.features import term_statistics, tfidf, tfidf_vectors, with_tokens
+from labelloom.plans.lookup import literal_table, lookup_join, pull_small, settle
 from labelloom.plans.scratch import written
 
 
@@ -156,3 +156,23 @@ def predict_classifier(
     scored = fitted.model.transform(fitted.features(df, text))
     coded = scored.select(*df.columns, F.col("prediction").cast("int").alias("__code"))
     return label_decode(coded, "__code", fitted.labels, into).select(*df.columns, into)
+
+
+def agreement(
+    fitted: TextClassifier, df: DataFrame, key: str, text: str, statistics: DataFrame, tolerance: float = 1e-6
+) -> DataFrame:
+    """Per row, whether the predicted label has the largest score: `key, agreed`.
+
+    The scores are sums of term weights times the model's coefficients, joined in long form, so they owe
+    nothing to the vectors that the model reads. Scores closer than `tolerance` count as equal.
+    """
+    weights = coefficients(fitted, df.sparkSession)
+    own = tfidf(df, statistics, key, text, fitted.stop_words).select(key, "term", "weight")
+    constant = df.select(key, F.lit("").alias("term"), F.lit(1.0).alias("weight"))
+    by_term = weights.groupBy("term").agg(F.collect_list(F.struct("label", "coefficient")).alias("labels"))
+    parts = lookup_join(own.unionByName(constant), by_term, "term").select(key, "weight", F.inline("labels"))
+    scores = parts.groupBy(key, "label").agg(F.sum(F.col("weight") * F.col("coefficient")).alias("score"))
+    predicted = predict_classifier(fitted, df, text, "__predicted").select(key, "__predicted")
+    mine = F.max(F.when(F.col("label") == F.col("__predicted"), F.col("score")))
+    judged = scores.join(predicted, key).groupBy(key).agg((mine >= F.max("score") - tolerance).alias("agreed"))
+    return judged.select(key, F.coalesce("agreed", F.lit(False)).alias("agreed"))

@@ -3,6 +3,7 @@
 import math
 import re
 from collections import Counter
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -249,3 +250,17 @@ def test_sampled_scores_keep_their_text(texts):
     rows = scored.collect()
     known = {key: (text, label) for key, text, label in TEXTS}
     assert len(rows) == 3 and all(known[r.key] == (r.text, r.label) for r in rows)
+
+
+def test_predictions_have_the_largest_score(spark, texts):
+    """Also for texts without terms; a model whose labels are swapped is found out."""
+    more = texts.unionByName(spark.createDataFrame(NULLS, "key long, text string, label string"))
+    fitted = classifier.fit_classifier(texts, "text", "label", max_features=100, stop_words=STOP)
+    statistics = features.term_statistics(texts, "text", 100, STOP)
+    got = classifier.agreement(fitted, more, "key", "text", statistics).collect()
+    assert {r.key for r in got} == {1, 2, 3, 4, 5, 6, 7, 8} and all(r.agreed for r in got)
+    codes = {"a": 1, "b": 2, "c": 0}
+    names = spark.createDataFrame(list(codes.items()), "label string, encoded_value int")
+    swapped = replace(fitted, labels=names)
+    wrong = classifier.predict_classifier(swapped, texts, "text").filter("label <> label_pred")
+    assert wrong.count() > 0
