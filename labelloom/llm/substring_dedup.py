@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -20,42 +20,79 @@ ANCHOR = 6  # words of an anchor; every window holds WINDOW - ANCHOR + 1 of them
 SHARD_CHARS = 2_000_000  # of text per shard of passages, and per part of a large shard
 CHUNK_WORDS = 40_000  # for which one automaton is compiled
 SALTS = 16
-SEED = 5
+BASE = 0x9E3779B97F4A7C15  # of the windows' polynomial; odd, so that it has an inverse
+HOT = 1000  # an anchor with more than this part of all occurrences is salted
+
+
+def powers(base: int, count: int) -> np.ndarray:
+    """`base` to the powers 0 to `count`, modulo 2**64."""
+    out = np.full(count + 1, base, dtype=np.uint64)
+    out[0] = 1
+    return out.cumprod(dtype=np.uint64)
+
+
+def sliding(values: np.ndarray, span: int, pick: np.ufunc) -> np.ndarray:
+    """The smallest or largest of each `span` values in a row, by doubling."""
+    size, out = 1, values
+    while 2 * size <= span:
+        size, out = 2 * size, pick(out[:-size], out[size:])
+    count = len(values) - span + 1
+    return pick(out[:count], out[span - size : span - size + count])
 
 
 class Windows:
-    """Hashes of a text's windows, and the anchor of each: its word group of smallest hash.
+    """Hashes of a text's windows, and the anchor of each: the smallest hash of its word groups.
 
-    Equal windows have equal anchors, so only windows whose anchor recurs can recur.
+    Equal windows have equal anchors, so only windows whose anchor recurs can recur. All hashes
+    of one width are differences of running sums of a polynomial in the words' hashes.
     """
 
     def __init__(self, window: int) -> None:
-        draw = np.random.default_rng(SEED)
         self.window, self.anchor = window, min(ANCHOR, window)
-        self.place = draw.integers(0, 2**63, window, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        self.up = self.down = np.ones(1, dtype=np.uint64)
         self.words = WordHash()
 
     def mixed(self, hashes: np.ndarray, width: int) -> np.ndarray:
-        size = len(hashes) - width + 1
-        total = np.zeros(size, dtype=np.uint64)
-        for k in range(width):
-            total += hashes[k : size + k] * self.place[k]
+        size = len(hashes)
+        if size >= len(self.up):
+            self.up, self.down = powers(BASE, 2 * size), powers(pow(BASE, -1, 2**64), 2 * size)
+        sums = np.zeros(size + 1, dtype=np.uint64)
+        np.cumsum(hashes * self.up[:size], out=sums[1:])
+        total = (sums[width:] - sums[:-width]) * self.down[: size - width + 1]
         total ^= total >> np.uint64(32)
         total *= np.uint64(0xD6E8FEB86659FD93)
         return total ^ (total >> np.uint64(29))
 
-    def hashes(self, words: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.words.__getitem__, words), dtype=np.uint64, count=len(words))
+    def coded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Each word's number among the different words, and its hash; each of those is hashed once."""
+        coded = words.dictionary_encode()
+        distinct = map(self.words.__getitem__, coded.dictionary.to_pylist())
+        hashes = np.fromiter(distinct, dtype=np.uint64, count=len(coded.dictionary))
+        numbers = coded.indices.to_numpy()
+        return numbers, hashes[numbers]
+
+    def groups(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+        """The hash of each word group, the smallest of each window, and the groups in a window."""
+        groups, span = self.mixed(hashes, self.anchor), self.window - self.anchor + 1
+        return groups, sliding(groups, span, np.minimum), span
+
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """The anchors, each as often as it is the smallest at another place."""
+        groups, least, span = self.groups(hashes)
+        around = sliding(np.pad(least, span - 1), span, np.maximum)
+        return groups[around == groups].view(np.int64)
 
     def anchors(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hash of every word group, and for each window the place of its anchor."""
-        groups = self.mixed(hashes, self.anchor)
-        span = self.window - self.anchor + 1
-        seen = np.lib.stride_tricks.sliding_window_view(groups, span)
-        place = np.concatenate(
-            [seen[i : i + 8192].argmin(axis=1) for i in range(0, len(seen), 8192)]
-        )
-        return groups, place + np.arange(len(seen))
+        """The anchors in the order of the windows, and the first window of each, then their number."""
+        least = self.groups(hashes)[1]
+        first = np.concatenate([[0], np.flatnonzero(least[1:] != least[:-1]) + 1])
+        return least[first].view(np.int64), np.append(first, len(least))
+
+
+def split_words(bodies: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Where each text's words start among all words, then their number, and the words."""
+    parts = pc.split_pattern(bodies, " ")
+    return parts.offsets.to_numpy(), parts.flatten()
 
 
 def runs(flags: np.ndarray) -> list[tuple[int, int]]:
@@ -65,42 +102,44 @@ def runs(flags: np.ndarray) -> list[tuple[int, int]]:
 
 
 def located(
-    segments: list[tuple[bytes, int, list[str]]], recurring: np.ndarray, windows: Windows
-) -> list[tuple[bytes, int, int]]:
+    owners: list[bytes], starts: list[int], bodies: list[str], recurring: np.ndarray, windows: Windows
+) -> pa.RecordBatch:
     """`addr, first word, end` of all passages in the segments that are among the recurring ones.
 
     The recurring windows that occur in these segments become the phrases of an
     Aho-Corasick automaton over words, and every segment streams through it: what is
     found is equal word for word.
     """
-    numbers: dict[str, int] = {}
-    phrases, coded = {}, []
-    for _, _, words in segments:
-        ids = tuple([numbers.setdefault(w, len(numbers) + 1) for w in words])
-        coded.append(ids)
-        if len(ids) < windows.window:
+    at, words = split_words(pa.array(bodies, pa.string()))
+    numbers, hashes = windows.coded(words)
+    bounds = list(zip(at[:-1].tolist(), at[1:].tolist()))
+    phrases: dict[int, int] = {}
+    for a, b in bounds:
+        if b - a < windows.window or not len(recurring):
             continue
-        hashes = windows.mixed(windows.hashes(words), windows.window)
-        at = np.minimum(np.searchsorted(recurring, hashes), max(len(recurring) - 1, 0))
-        same = np.flatnonzero(recurring[at] == hashes) if len(recurring) else at[:0]
-        for i, value in zip(same.tolist(), hashes[same].tolist()):
-            if value not in phrases:
-                phrases[value] = ids[i : i + windows.window]
-    if not phrases:
-        return []
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
-    for phrase in phrases.values():
-        automaton.add_word(phrase)
-    automaton.make_automaton()
-    found = []
-    for (addr, start, words), ids in zip(segments, coded):
-        ends = np.array([end for end, _ in automaton.iter(ids)], dtype=np.int64) + 1
-        if len(ends):
-            depth = np.zeros(len(words) + 1, dtype=np.int64)
-            depth[ends - windows.window] += 1  # no two phrases end at one place
-            depth[ends] -= 1
-            found += [(addr, start + a, start + b) for a, b in runs(depth.cumsum()[:-1] > 0)]
-    return found
+        whole = windows.mixed(hashes[a:b], windows.window)
+        near = np.minimum(np.searchsorted(recurring, whole), len(recurring) - 1)
+        same = np.flatnonzero(recurring[near] == whole)
+        phrases.update(zip(whole[same].tolist(), (same + a).tolist()))
+    found: list[tuple[bytes, int, int]] = []
+    if phrases:
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
+        ids = numbers.tolist()
+        for i in phrases.values():
+            automaton.add_word(tuple(ids[i : i + windows.window]))
+        automaton.make_automaton()
+        for owner, start, (a, b) in zip(owners, starts, bounds):
+            ends = np.array([end for end, _ in automaton.iter(tuple(ids[a:b]))], dtype=np.int64) + 1
+            if len(ends):
+                depth = np.zeros(b - a + 1, dtype=np.int64)
+                depth[ends - windows.window] += 1  # no two phrases end at one place
+                depth[ends] -= 1
+                found += [(owner, start + i, start + j) for i, j in runs(depth.cumsum()[:-1] > 0)]
+    columns = zip(*found) if found else ([], [], [])
+    kinds = (pa.binary(), pa.int64(), pa.int64())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(columns, kinds)], ["addr", "first", "end"]
+    )
 
 
 def recurring_texts(docs: DataFrame, text: str, window: int) -> DataFrame:
@@ -116,18 +155,17 @@ def recurring_texts(docs: DataFrame, text: str, window: int) -> DataFrame:
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = Windows(window)
         for batch in slices(batches, 256):
-            owners, values = [], []
-            for owner, value in zip(batch.column("addr").to_pylist(), batch.column("body")):
-                words = value.as_py().split(" ")
-                if len(words) >= window:
-                    groups, place = windows.anchors(windows.hashes(words))
-                    found = groups[np.unique(place)].view(np.int64)
-                    owners += [owner] * len(found)
-                    values.append(found)
-            if owners:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(values)), pa.array(owners, pa.binary())], ["anchor", "addr"]
-                )
+            at, words = split_words(batch.column("body"))
+            hashes = windows.coded(words)[1]
+            values = [
+                windows.places(hashes[a:b]) if b - a >= window else np.empty(0, np.int64)
+                for a, b in zip(at[:-1], at[1:])
+            ]
+            owners = np.repeat(np.arange(len(values)), [len(v) for v in values])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(values)), batch.column("addr").take(pa.array(owners))],
+                ["anchor", "addr"],
+            )
 
     # A text with copies counts its anchors more often, which only adds candidates. The
     # anchors are read twice; kept on disk, they are found once, and again only where one is lost.
@@ -135,11 +173,21 @@ def recurring_texts(docs: DataFrame, text: str, window: int) -> DataFrame:
     counted = spots.groupBy("anchor").agg(F.count("*").alias("n"), F.min("addr").alias("owner"))
     total = docs.agg(F.sum(F.length(text))).first()[0] or 0
     shards = max(-(-total // SHARD_CHARS), 1)
-    again = counted.filter("n > 1").select(
-        "anchor", F.pmod(F.xxhash64("owner"), F.lit(shards)).cast("int").alias("shard")
+    again = stored(
+        counted.filter("n > 1").select(
+            "anchor", "n", F.pmod(F.xxhash64("owner"), F.lit(shards)).cast("int").alias("shard")
+        ),
+        "anchors",
     )
+    # At most HOT anchors have more than one HOT-th of the occurrences: these few are salted.
+    all_spots = again.agg(F.sum("n")).first()[0] or 0
+    salts = F.when(F.col("n") * HOT > all_spots, SALTS).otherwise(1)
+    often = again.select("anchor", salts.alias("salts")).filter("salts > 1")
+    salt = F.pmod(F.xxhash64("addr"), F.coalesce("salts", F.lit(1))).cast("int")
+    salted = spots.join(F.broadcast(often), "anchor", "left").select("anchor", "addr", salt.alias("salt"))
+    again = again.select("anchor", "shard", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
     # Anchors of one text per text: as many as a part of its words.
-    lists = spots.join(again, "anchor").groupBy("addr").agg(
+    lists = salted.join(again, ["anchor", "salt"]).groupBy("addr").agg(
         F.collect_set(F.struct("anchor", "shard")).alias("anchors")
     )
     texts = rows.groupBy("addr").agg(F.first("body").alias("body"))
@@ -159,20 +207,28 @@ def changed_texts(docs: DataFrame, text: str, window: int) -> DataFrame:
         windows = Windows(window)
         for batch in slices(batches, 64):
             out: list[list] = [[], [], [], [], []]
-            for row in batch.to_pylist():
-                words = row["body"].split(" ")
-                shard_of = {a["anchor"]: a["shard"] for a in row["anchors"]}
-                hashes = windows.hashes(words)
-                groups, place = windows.anchors(hashes)
-                used, back = np.unique(place, return_inverse=True)
-                shards = np.array(
-                    [shard_of.get(a, -1) for a in groups[used].view(np.int64).tolist()]
-                )[back]
-                whole = windows.mixed(hashes, window).view(np.int64)
-                for shard in np.unique(shards[shards >= 0]).tolist():
-                    for a, b in runs(shards == shard):
-                        piece = [shard, row["addr"], a, " ".join(words[a : b + window - 1]), whole[a:b]]
-                        for column, value in zip(out, piece):
+            at, words = split_words(batch.column("body"))
+            hashes = windows.coded(words)[1]
+            # Bytes up to the start of each word, with a space after each word of the batch.
+            place = np.concatenate([[0], np.cumsum(pc.binary_length(words).to_numpy().astype(np.int64) + 1)])
+            lists = batch.column("anchors")
+            known = [lists.flatten().field(i).to_numpy() for i in (0, 1)]
+            lists_at = np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy()))
+            bodies = batch.column("body").cast(pa.binary()).to_pylist()
+            for i, (owner, body) in enumerate(zip(batch.column("addr").to_pylist(), bodies)):
+                low, high = at[i], at[i + 1]
+                mine = slice(lists_at[i], lists_at[i + 1])
+                shard_of = dict(zip(known[0][mine].tolist(), known[1][mine].tolist()))
+                anchors, first = windows.anchors(hashes[low:high])
+                shards = np.array([shard_of.get(anchor, -1) for anchor in anchors.tolist()])
+                turns = np.concatenate([[0], np.flatnonzero(np.diff(shards)) + 1])
+                ends = first[np.concatenate([turns[1:], [len(shards)]])]
+                whole = windows.mixed(hashes[low:high], window).view(np.int64)
+                byte = place[low : high + 1] - place[low]
+                for shard, a, b in zip(shards[turns].tolist(), first[turns].tolist(), ends.tolist()):
+                    if shard >= 0:
+                        piece = body[byte[a] : byte[b + window - 1] - 1]
+                        for column, value in zip(out, [shard, owner, a, piece, whole[a:b]]):
                             column.append(value)
             kinds = [pa.int32(), pa.binary(), pa.int64(), pa.string(), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays(
@@ -202,33 +258,31 @@ def changed_texts(docs: DataFrame, text: str, window: int) -> DataFrame:
 
     def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = Windows(window)
-        shard, known, waiting, size = None, [], [], 0
+        place, known, waiting, size = None, [], [], 0
 
         def closed() -> Iterator[pa.RecordBatch]:
-            values = np.sort(np.array(known, dtype=np.int64).view(np.uint64))
-            found = located(waiting, values, windows) if waiting else []
-            if found:
-                owner, first, end = zip(*found)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(owner, pa.binary()), pa.array(first, pa.int64()), pa.array(end, pa.int64())],
-                    ["addr", "first", "end"],
-                )
+            if waiting:
+                values = np.concatenate([np.empty(0, np.int64), *known]).view(np.uint64)
+                yield located(*zip(*waiting), np.sort(values), windows)
 
         for batch in slices(batches, 2048):
-            columns = [batch.column(c).to_pylist() for c in ("shard", "part", "window", "addr", "start", "body")]
-            for number, part, value, owner, start, body in zip(*columns):
-                if (number, part) != shard:
-                    yield from closed()
-                    shard, known, waiting, size = (number, part), [], [], 0
-                if owner is None:
-                    known.append(value)
-                    continue
-                words = body.split(" ")
-                waiting.append((owner, start, words))
-                size += len(words)
-                if size >= CHUNK_WORDS:
+            shards, parts = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("shard", "part"))
+            turns = np.flatnonzero((np.diff(shards) != 0) | (np.diff(parts) != 0)) + 1
+            for a, b in zip([0, *turns.tolist()], [*turns.tolist(), batch.num_rows]):
+                rows = batch.slice(a, b - a)
+                if (shards[a], parts[a]) != place:
                     yield from closed()
-                    waiting, size = [], 0
+                    place, known, waiting, size = (shards[a], parts[a]), [], [], 0
+                # Within a part all windows come before the texts.
+                ahead = rows.column("addr").null_count
+                known.append(rows.column("window").slice(0, ahead).to_numpy(zero_copy_only=False))
+                texts = [rows.column(c).slice(ahead).to_pylist() for c in ("addr", "start", "body")]
+                for owner, start, body in zip(*texts):
+                    waiting.append((owner, start, body))
+                    size += body.count(" ") + 1
+                    if size >= CHUNK_WORDS:
+                        yield from closed()
+                        waiting, size = [], 0
         yield from closed()
 
     places = (

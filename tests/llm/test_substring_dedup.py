@@ -3,9 +3,10 @@
 from collections import Counter
 
 import cases
+import numpy as np
 import pytest
 
-from labelloom.llm.substring_dedup import remove_repeats
+from labelloom.llm.substring_dedup import Windows, remove_repeats, sliding
 
 
 def expected(rows, window):
@@ -30,3 +31,24 @@ def test_against_brute_force(spark, window):
 
 def test_no_rows(spark):
     assert remove_repeats(cases.empty(spark)).count() == 0
+
+
+def test_one_text_repeats_itself(spark):
+    rows = [(1, " ".join("a" for _ in range(9))), (2, "b c " * 5), (3, "d e f g h i j k l m n o")]
+    got = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), window=8)
+    assert Counter(tuple(r) for r in got.collect()) == expected(rows, 8)
+
+
+@pytest.mark.parametrize("size", [1, 3, 7, 30])
+def test_sliding(size):
+    values = np.random.default_rng(1).integers(0, 50, 64).astype(np.uint64)
+    want = [values[i : i + size].min() for i in range(64 - size + 1)]
+    assert sliding(values, size, np.minimum).tolist() == want
+
+
+def test_equal_windows_have_equal_hashes():
+    windows, draw = Windows(35), np.random.default_rng(2)
+    passage = draw.integers(0, 2**63, 35, dtype=np.uint64)
+    for ahead in (0, 1, 1000, 70_000):
+        text = np.concatenate([draw.integers(0, 2**63, ahead, dtype=np.uint64), passage])
+        assert windows.mixed(text, 35)[-1] == windows.mixed(passage, 35)[0]
