@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from typing import NamedTuple
 
@@ -25,7 +26,8 @@ MENTION = r"(?<![^\x20\x09-\x0D])(?=[^\x20\x09-\x0D]*[0-9@])[^\x20\x09-\x0D]++"
 BETWEEN = r"^\x20(?:[-.()\[\]]\x20)?$"
 ENDS, BEGINS = r"[\p{L}\p{N})\]-]$", r"^[\p{L}\p{N}+@(.\[-]"
 
-CONTEXT = 64  # characters before an identifier that are searched for the words before it
+CONTEXT = 64  # characters before an identifier that are searched for the whole words before it
+BLOCK = 128  # steps of a running fold whose results are put together at once
 MIN_SEEDS = 3  # different known identifiers that a pattern must have introduced
 CONFIDENCE = 0.7
 DOUBT = 1.0  # added to a pattern's instances, so that few of them prove little
@@ -36,6 +38,42 @@ SPANS = "array<struct<start:int,end:int,text:string,left:string>>"
 CANDIDATES = "array<struct<start:int,end:int,text:string,left:string,word:boolean,run:boolean>>"
 
 
+def running(
+    items: Column, zero: Column, kind: str, step: Callable[[Column, Column], tuple[Column, Column]],
+    last: Callable[[Column], Column] | None = None,
+) -> Column:
+    """What a fold over an array gives out on its way, in one array of type `kind`.
+
+    `step` takes what is carried and an item, and returns what is carried on and an array of
+    results; `last` may add more at the end. Results are put together by blocks, so the cost is
+    linear for arrays up to some hundred thousand items.
+    """
+    none, blocks = F.array().cast(kind), F.array().cast(f"array<{kind}>")
+
+    def one(s: Column, item: Column) -> Column:
+        carried, results = step(s["carried"], item)
+        return F.struct(carried.alias("carried"), F.concat(s["out"], results).alias("out"))
+
+    def block(s: Column, part: Column) -> Column:
+        # Only the block's own results go through its steps.
+        def joined(t: Column) -> Column:
+            done = F.concat(s["done"], F.array(t["out"]))
+            return F.struct(t["carried"].alias("carried"), done.alias("done"))
+
+        return F.aggregate(part, F.struct(s["carried"].alias("carried"), none.alias("out")), one, joined)
+
+    def finish(s: Column) -> Column:
+        flat = F.flatten(s["done"])
+        return F.concat(flat, last(s["carried"])) if last else flat
+
+    def over(all_items: Column) -> Column:
+        at = F.sequence(F.lit(0), F.greatest(F.size(all_items) - 1, F.lit(0)), F.lit(BLOCK))
+        start = F.struct(zero.alias("carried"), blocks.alias("done"))
+        return F.aggregate(at, start, lambda s, i: block(s, F.slice(all_items, i + 1, F.lit(BLOCK))), finish)
+
+    return F.get(F.transform(F.array(items), over), F.lit(0))
+
+
 def luhn(digits: Column) -> Column:
     """True where the check digit is right."""
     n = F.length(digits)
@@ -89,24 +127,21 @@ def matches(text: Column, pattern: str, needs: str) -> Column:
         F.split(text, pattern, -1),
         lambda p: F.struct(F.length(p).alias("n"), F.right(p, F.lit(CONTEXT)).alias("left")),
     )
-    start = F.struct(
-        F.lit(0).alias("at"), F.lit("").alias("tail"), F.array().cast(SPANS).alias("spans")
-    )
+    # The last piece comes after the last match.
+    pairs = F.slice(F.arrays_zip(found, pieces), F.lit(1), F.size(found))
+    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"))
 
-    def step(state: Column, pair: Column) -> Column:
+    def step(state: Column, pair: Column) -> tuple[Column, Column]:
         first = state["at"] + pair["1"]["n"]
         end = first + F.length(pair["0"])
         left = F.right(F.concat(state["tail"], pair["1"]["left"]), F.lit(CONTEXT))
         span = F.struct(
             first.alias("start"), end.alias("end"), pair["0"].alias("text"), left.alias("left")
         )
-        more = F.struct(
-            end.alias("at"), F.right(F.concat(left, pair["0"]), F.lit(CONTEXT)).alias("tail"),
-            F.concat(state["spans"], F.array(span)).alias("spans"),
-        )
-        return F.when(pair["0"].isNull(), state).otherwise(more)  # the piece after the last match
+        tail = F.right(F.concat(left, pair["0"]), F.lit(CONTEXT))
+        return F.struct(end.alias("at"), tail.alias("tail")), F.array(span)
 
-    spans = F.aggregate(F.arrays_zip(found, pieces), start, step, lambda s: s["spans"])
+    spans = running(pairs, zero, SPANS, step)
     return F.when(text.rlike(needs), spans).otherwise(F.array().cast(SPANS))
 
 
@@ -117,7 +152,9 @@ def checked(text: Column, kind: Kind) -> Column:
 
 def before(left: Column, count: int) -> Column:
     """The last `count` words of the text before an identifier; null where there are fewer."""
-    words = F.filter(F.split(F.lower(left), SPACE), lambda w: w != "")
+    cut = F.when(F.length(left) == CONTEXT, 2).otherwise(1)  # a word that may begin further left is left out
+    words = F.split(F.lower(left), SPACE)
+    words = F.filter(F.slice(words, cut, F.size(words)), lambda w: w != "")
     return F.when(F.size(words) >= count, F.array_join(F.slice(words, -count, count), " "))
 
 
@@ -139,13 +176,11 @@ def candidates(free: Column) -> Column:
             words.alias("words"),
         )
 
-    def closed(state: Column) -> Column:
-        run = state["open"]
+    def closed(run: Column) -> Column:
         last = F.when(run["words"] == 0, none).when(run["words"] == 1, one(run, True, True))
-        return F.concat(state["done"], last.otherwise(one(run, False, True)))
+        return last.otherwise(one(run, False, True))
 
-    def step(state: Column, m: Column) -> Column:
-        run = state["open"]
+    def step(run: Column, m: Column) -> tuple[Column, Column]:
         gap = m["start"] - run["end"]
         between = F.right(m["left"], gap)
         linked = (
@@ -153,19 +188,38 @@ def candidates(free: Column) -> Column:
             & run["text"].rlike(ENDS) & m["text"].rlike(BEGINS)
         )
         first = F.when(run["words"] == 1, one(run, True, False)).otherwise(none)
-        longer = F.struct(
-            F.concat(state["done"], first, one(m, True, True)).alias("done"),
-            opened(
-                run["start"], m["end"], F.concat(run["text"], between, m["text"]), run["left"], run["words"] + 1
-            ).alias("open"),
+        longer = opened(
+            run["start"], m["end"], F.concat(run["text"], between, m["text"]), run["left"], run["words"] + 1
         )
         fresh = opened(m["start"], m["end"], m["text"], m["left"], F.lit(1))
-        return F.when(linked, longer).otherwise(
-            F.struct(closed(state).alias("done"), fresh.alias("open"))
-        )
+        results = F.when(linked, F.concat(first, one(m, True, True))).otherwise(closed(run))
+        return F.when(linked, longer).otherwise(fresh), results
 
     nothing = opened(F.lit(0), F.lit(0), F.lit(""), F.lit(""), F.lit(0))
-    return F.aggregate(free, F.struct(none.alias("done"), nothing.alias("open")), step, closed)
+    return running(free, nothing, CANDIDATES, step, closed)
+
+
+def outside(mentions: Column, covered: Column) -> Column:
+    """The mentions that overlap none of the covered spans; one pass over both in order of their starts."""
+    none = F.array().cast(SPANS)
+
+    def tagged(spans: Column, tag: int) -> Column:
+        return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(tag).alias("tag"), s.alias("span")))
+
+    def step(state: Column, event: Column) -> tuple[Column, Column]:
+        """`reach` is how far covered spans go; `waiting` a mention that the next span may still touch."""
+        cover, span = event["tag"] == 0, event["span"]
+        untouched = F.filter(state["waiting"], lambda m: m["end"] <= event["start"])
+        new = F.when(state["reach"] <= event["start"], F.array(span)).otherwise(none)
+        carried = F.struct(
+            F.when(cover, F.greatest(state["reach"], span["end"])).otherwise(state["reach"]).alias("reach"),
+            F.when(cover, untouched).otherwise(new).alias("waiting"),
+        )
+        return carried, F.when(cover, none).otherwise(state["waiting"])
+
+    events = F.array_sort(F.concat(tagged(covered, 0), tagged(mentions, 1)))
+    zero = F.struct(F.lit(0).alias("reach"), none.alias("waiting"))
+    return running(events, zero, SPANS, step, lambda state: state["waiting"])
 
 
 def scanned(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -201,11 +255,7 @@ def discovered(rows: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         ],
     )
     seeds = base.select("kind", F.lower("s.text").alias("instance"), "s.left")
-    covered = F.concat(*[F.col(k.name) for k in KINDS])
-    free = F.filter(
-        "mention",
-        lambda m: ~F.exists(covered, lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])),
-    )
+    free = outside(F.col("mention"), F.concat(*[F.col(k.name) for k in KINDS]))
     # The punctuation around an identifier is not part of it, but for a bracket that closes within.
     lead = r"^(?:(?!\([^(]*\)[^)]*[\p{L}\p{N}])[^\p{L}\p{N}+@])*+"
     core = F.regexp_replace("s.text", lead + r"|[^\p{L}\p{N}]+$", "")
@@ -311,21 +361,17 @@ def find_personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text")
 def redacted(text: Column, spans: Column) -> Column:
     """The text with every span replaced by its kind in brackets; overlapping spans by the first."""
     names = F.array(*[F.lit(f"[{k.name.upper()}]") for k in KINDS])
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-
-    def step(state: Column, span: Column) -> Column:
+    def step(state: Column, span: Column) -> tuple[Column, Column]:
         gap = F.substr(text, state["at"] + 1, span["start"] - state["at"])
-        more = F.struct(
-            span["end"].alias("at"), F.concat(state["parts"], F.array(gap, F.get(names, span["kind"]))).alias("parts")
-        )
-        longer = F.struct(F.greatest(state["at"], span["end"]).alias("at"), state["parts"].alias("parts"))
-        return F.when(span["start"] >= state["at"], more).otherwise(longer)
+        clear = span["start"] >= state["at"]
+        parts = F.when(clear, F.array(gap, F.get(names, span["kind"]))).otherwise(F.array().cast("array<string>"))
+        return F.struct(F.greatest(state["at"], span["end"]).alias("at")), parts
 
-    def finish(state: Column) -> Column:
-        rest = F.substr(text, state["at"] + 1, F.length(text))
-        return F.array_join(F.concat(state["parts"], F.array(rest)), "")
+    def rest(state: Column) -> Column:
+        return F.array(F.substr(text, state["at"] + 1, F.length(text)))
 
-    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, finish)).otherwise(text)
+    parts = running(spans, F.struct(F.lit(0).alias("at")), "array<string>", step, rest)
+    return F.when(F.size(spans) > 0, F.array_join(parts, "")).otherwise(text)
 
 
 def redact(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

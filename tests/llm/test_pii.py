@@ -6,6 +6,7 @@ from collections import Counter
 
 import cases
 import pytest
+from pyspark.sql import functions as F
 
 from labelloom.llm import pii
 
@@ -149,3 +150,40 @@ def test_redaction(spark, text, want):
 def test_native_plan(spark):
     plan = pii.find_personal_data(cases.frame(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("n", [0, 1, 127, 128, 129, 300])
+def test_running_sums(spark, n):
+    row = spark.range(1).select(F.expr(f"slice(sequence(0, {n}), 1, {n})").alias("items")).select(
+        pii.running(
+            F.col("items"), F.lit(0), "array<int>", lambda c, i: (c + i, F.array(c + i)),
+            lambda c: F.array(-c),
+        ).alias("got")
+    ).first()
+    sums = [i * (i + 1) // 2 for i in range(n)]
+    assert row["got"] == [*sums, -sums[-1] if sums else 0]
+
+
+def test_a_text_of_many_numbers(spark):
+    numbers = " ".join(f"a{i}@b.org" for i in range(20_000))
+    got = pii.find_personal_data(spark.createDataFrame([(1, numbers)], "doc_id long, text string")).first()
+    assert len(got["base"]) == 20_000 and got["base"][-1]["end"] == len(numbers)
+
+
+def test_words_before_are_whole(spark):
+    left = ["x" * 60 + " ab", "x" * 63 + " ab", "y" * 70, " " + "z" * 63, "z" * 63]
+    rows = spark.createDataFrame([(t[-pii.CONTEXT:],) for t in left], "t string")
+    got = [tuple(r) for r in rows.select(pii.before(F.col("t"), 1), pii.before(F.col("t"), 2)).collect()]
+    z = "z" * 63
+    assert got == [("ab", "x" * 60 + " ab"), ("ab", None), (None, None), (z, None), (z, None)]
+
+
+def test_mentions_outside_spans(spark):
+    draw = random.Random(4)
+    for _ in range(4):
+        cuts = sorted(draw.sample(range(200), 40))
+        mentions = [(a, b, str(a), "") for a, b in zip(cuts[::2], cuts[1::2])]
+        covered = [(a, a + draw.randint(1, 9), "", "") for a in draw.sample(range(200), 12)]
+        df = spark.createDataFrame([(mentions, covered)], f"m {pii.SPANS}, c {pii.SPANS}")
+        got = [tuple(m) for m in df.select(pii.outside(df.m, df.c)).first()[0]]
+        assert got == [m for m in mentions if not any(c[0] < m[1] and m[0] < c[1] for c in covered)]
