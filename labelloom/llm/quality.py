@@ -1,26 +1,33 @@
-"""Quality by co-training: a text view and a metadata view that teach each other."""
+"""Quality by co-training: a view of the text and a view of the metadata that teach each other."""
 
 from __future__ import annotations
 
 import json
 import math
+import zlib
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from labelloom.llm.common import stored, table, whole
+from labelloom.llm.common import bound_batches, stored, table, whole
 from labelloom.llm.registry import query
 
+GRAMS = 1 << 15  # hash buckets of the words; words that share one share its weight
 BINS = 16  # values of a measure: zero, and ranges cut at quantiles over all documents
-SOURCES = 256  # hash buckets of the source
+GRID = 16  # cells per doubling of a measure
+OCTAVES = 32  # doublings below and above one that are told apart
+SOURCES = 4096  # hash buckets of the source; sources that share one share its weight
+LANGUAGES = 64
 ROUNDS = 3
 CONFIDENT = 0.95  # a view labels what it is this sure of, for the other view
 FOLDS = 5  # labelled rows of one fold calibrate, the others train
 THRESHOLD = 0.5
-SMOOTHING = 1.0
+SMOOTHING = 1.0  # rows that every value counts for besides its own
+WORD_SMOOTHING = 100.0  # the same for buckets of words: those seen in fewer rows say little
 STEPS_PER_LOGIT, LOGIT_LIMIT = 10, 40.0
 
 MEASURES = (
@@ -37,97 +44,130 @@ SHARES = (
 )
 
 
-def measured(text: str) -> list[float]:
-    """What the text view sees: the numbers named in MEASURES, over the whole text."""
+class Buckets(dict):
+    """The hash bucket of each word of a batch."""
+
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = zlib.crc32(word) % GRAMS
+        return value
+
+
+def cell(value: float) -> int:
+    """The place of a measure on a grid of GRID cells per doubling, exactly; 0 for zero."""
+    if value <= 0:
+        return 0
+    part, octave = math.frexp(value)
+    at = (octave + OCTAVES) * GRID + int((part - 0.5) * 2 * GRID)
+    return min(max(at, 1), 2 * OCTAVES * GRID)
+
+
+def measured(text: str, buckets: dict[bytes, int]) -> tuple[list[int], list[int]]:
+    """What the text view sees of a whole text.
+
+    First the grid cells of what MEASURES names, then the buckets of its words, each once.
+    """
     raw = text.encode()
     size = max(len(text), 1)
     shares = [(len(raw) - len(raw.translate(None, chars))) / size for chars in SHARES]
     words, lines = raw.split(), raw.split(b"\n")
-    count = max(len(words), 1)
+    count, distinct = max(len(words), 1), set(words)
     phrases = list(zip(words, words[1:], words[2:]))
-    return [
+    numbers = [
         *shares,
         sum(w.isupper() and len(w) > 1 for w in words) / count,
         (len(lines) - 1) / count,
         size / count,
-        len(set(words)) / count,
+        len(distinct) / count,
         len(set(phrases)) / max(len(phrases), 1) if phrases else 1.0,
         len(set(lines)) / len(lines),
     ]
+    return [cell(n) for n in numbers], sorted({buckets[w] for w in distinct})
 
 
-def measures(text: str) -> Column:
+def content(text: str) -> Column:
     """`measured` by Arrow batches; a null text counts as empty."""
 
-    @F.pandas_udf("array<double>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("struct<cells array<int>, grams array<int>>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.Series([measured(value) for value in batch], dtype=object)
+            buckets = Buckets()  # as many as a batch has words
+            seen = [measured(value, buckets) for value in batch]
+            yield pd.DataFrame({"cells": [c for c, _ in seen], "grams": [g for _, g in seen]})
 
     return run(whole(text))
 
 
-def metadata(docs: DataFrame, source: str, lang: str, size: str) -> Column:
-    """What the metadata view sees, as numbers of categories: source, language, size class.
+def metadata(docs: DataFrame, source: str, lang: str) -> Column:
+    """What the metadata view sees, as numbers of categories: the source and the language.
 
-    A missing column counts as null, and null is a category of its own.
+    Nothing of the text, not even its length, so that the views are apart. Values are hashed to
+    SOURCES and LANGUAGES buckets, whose values share a weight. A missing column counts as null,
+    and null is a category of its own.
     """
 
     def bucket(column: str, buckets: int) -> Column:
         value = F.col(column).cast("string") if column in docs.columns else F.lit(None).cast("string")
         return F.when(value.isNull(), buckets).otherwise(F.pmod(F.xxhash64(value), F.lit(buckets)))
 
-    number = F.col(size).try_cast("double") if size in docs.columns else F.lit(None).cast("double")
-    classes = F.when(number.isNull() | (number < 0), 31).otherwise(
-        F.least(F.floor(F.log2(number + 1)), F.lit(30))
-    )
-    first, second = SOURCES + 1, SOURCES + 1 + 65
     return F.array(
-        bucket(source, SOURCES).cast("int"),
-        (bucket(lang, 64) + first).cast("int"),
-        (classes + second).cast("int"),
+        bucket(source, SOURCES).cast("int"), (bucket(lang, LANGUAGES) + (SOURCES + 1)).cast("int")
     )
 
 
-METADATA_VALUES = SOURCES + 1 + 65 + 32
+METADATA_VALUES = SOURCES + 1 + LANGUAGES + 1
+FEATURES = ("__measures", "__grams", "__meta")
 
 
 def featured(
-    docs: DataFrame, text: str = "text", source: str = "source", lang: str = "lang",
-    size: str = "n_chars",
+    docs: DataFrame, text: str = "text", source: str = "source", lang: str = "lang"
 ) -> DataFrame:
-    """The rows with `__measures` and `__meta`."""
-    return docs.withColumns(
-        {
-            "__measures": measures(text),
-            "__meta": metadata(docs, source, lang, size),
-        }
-    )
+    """The rows with the columns of FEATURES."""
+    bound_batches(docs.sparkSession)
+    seen = docs.withColumns({"__seen": content(text), "__meta": metadata(docs, source, lang)})
+    return seen.withColumns(
+        {"__measures": F.col("__seen.cells"), "__grams": F.col("__seen.grams")}
+    ).drop("__seen")
 
 
 @dataclass(frozen=True)
 class View:
-    """Naive Bayes log-odds by feature value, and the line that calibrates their sum."""
+    """Naive Bayes log-odds by feature value, and the line that calibrates their sum.
+
+    `words` weighs the buckets of a text's words. Their sum is divided by the root of their number,
+    since words of one text are far from independent.
+    """
 
     weights: list[float]
     prior: float
     slope: float = 1.0
     offset: float = 0.0
+    words: tuple[float, ...] = ()
 
     def raw(self, values: Column) -> Column:
-        table = F.array(*[F.lit(w) for w in self.weights])
-        return F.aggregate(values, F.lit(self.prior), lambda s, v: s + F.get(table, v))
+        table = F.from_json(F.lit(json.dumps(self.weights)), "array<double>")
+        total = F.aggregate(values, F.lit(self.prior), lambda s, v: s + F.get(table, v))
+        return total + damped(self.words)("__grams") if self.words else total
 
     def logit(self, values: Column) -> Column:
-        # The literals of the table appear in the plan once per use, not once per row.
         return self.raw(values) * self.slope + self.offset
 
 
+def damped(weights: tuple[float, ...]):
+    """The weights of a row's buckets, summed and divided by the root of their number."""
+    known = np.array(weights)
+
+    @F.pandas_udf("double")
+    def run(rows: pd.Series) -> pd.Series:
+        return pd.Series([known[r].sum() / math.sqrt(max(len(r), 1)) for r in rows], dtype=float)
+
+    return run
+
+
 @dataclass(frozen=True)
 class CoTrained:
     """Two calibrated views; together they score any document, without a join."""
 
-    edges: list[list[float]]
+    edges: list[list[int]]
     text: View
     meta: View
     prior: float
@@ -138,7 +178,7 @@ class CoTrained:
     def score(self, rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         """Featured rows with `p_text, p_meta, score, keep` in place of the features."""
         text, meta = self.text.logit(self.bins()), self.meta.logit(F.col("__meta"))
-        new = ["__measures", "__meta", "__t", "__m", "p_text", "p_meta", "score", "keep"]
+        new = [*FEATURES, "__t", "__m", "p_text", "p_meta", "score", "keep"]
         kept = [c for c in rows.columns if c not in new]
         logits = rows.select(*kept, text.alias("__t"), meta.alias("__m"))
 
@@ -152,13 +192,9 @@ class CoTrained:
         )
 
 
-def binned(edges: list[list[float]]) -> Column:
-    """The measures as numbers of values: measure times BINS plus the edges below it.
-
-    The column of measures is named once, so an optimiser that puts the measures themselves
-    in its place computes them once.
-    """
-    table = F.from_json(F.lit(json.dumps(edges)), "array<array<double>>")
+def binned(edges: list[list[int]]) -> Column:
+    """The measures as numbers of values: measure times BINS plus the edges below it."""
+    table = F.from_json(F.lit(json.dumps(edges)), "array<array<int>>")
 
     def value(measure: Column, i: Column) -> Column:
         below = F.filter(F.get(table, i), lambda cut: cut < measure)
@@ -167,16 +203,21 @@ def binned(edges: list[list[float]]) -> Column:
     return F.transform("__measures", value)
 
 
-def log_odds(counts: dict[int, tuple[float, float]], size: int, good: float, bad: float) -> View:
-    """Naive Bayes from weighted counts per value, smoothed."""
-    values = []
-    for v in range(size):
-        g, b = counts.get(v, (0.0, 0.0))
-        values.append(
-            math.log((g + SMOOTHING) / (good + 2 * SMOOTHING))
-            - math.log((b + SMOOTHING) / (bad + 2 * SMOOTHING))
+def log_odds(
+    counts: dict[int, tuple[int, int]], values: range, good: int, bad: int, smoothing: float = SMOOTHING
+) -> list[float]:
+    """Naive Bayes weights of the values from their counts among `good` and `bad` rows, both above zero.
+
+    Counts are smoothed towards the classes' shares, so a value that no row has says nothing.
+    """
+    share = good / (good + bad)
+    weights = []
+    for v in values:
+        g, b = counts.get(v, (0, 0))
+        weights.append(
+            math.log((g + smoothing * share) / good) - math.log((b + smoothing * (1 - share)) / bad)
         )
-    return View(values, math.log((good + SMOOTHING) / (bad + SMOOTHING)))
+    return weights
 
 
 def calibrated(view: View, scores: np.ndarray, good: np.ndarray, bad: np.ndarray) -> View:
@@ -205,20 +246,28 @@ def calibrated(view: View, scores: np.ndarray, good: np.ndarray, bad: np.ndarray
     # A view that is worse than chance says nothing.
     if slope < 0:
         slope, offset = 0.0, math.log((total_good + 1) / (total_bad + 1))
-    return View(view.weights, view.prior, float(slope), float(offset))
-
-
-def measure_edges(features: DataFrame) -> list[list[float]]:
-    """At most BINS - 1 edges per measure: zero, and quantiles of what is above it."""
-    shares = [b / (BINS - 1) for b in range(1, BINS - 1)]
-    above = [F.get("__measures", F.lit(i)) for i in range(len(MEASURES))]
-    cuts = features.agg(
-        *[
-            F.percentile_approx(F.when(value > 0, value), shares, 1000).alias(str(i))
-            for i, value in enumerate(above)
-        ]
-    ).first()
-    return [sorted({0.0, *(c or [])}) for c in cuts]
+    return replace(view, slope=float(slope), offset=float(offset))
+
+
+def measure_edges(features: DataFrame) -> list[list[int]]:
+    """At most BINS - 1 edges per measure: zero, and quantiles of the cells above it.
+
+    They come from counts per cell of the grid, so they are the same on any partitioning.
+    """
+    cells = features.select(F.posexplode("__measures").alias("i", "cell")).filter("cell > 0")
+    counts: list[Counter] = [Counter() for _ in MEASURES]
+    for i, at, n in cells.groupBy("i", "cell").count().collect():  # at most 2 * OCTAVES * GRID each
+        counts[i][at] = n
+    edges = []
+    for cell_counts in counts:
+        total, upto, cuts = cell_counts.total(), 0, {0}
+        for at in sorted(cell_counts):
+            before, upto = upto, upto + cell_counts[at]
+            # The cell that holds a quantile; quantile b is the first value with b / (BINS - 1) at or below it.
+            if any(before * (BINS - 1) < b * total <= upto * (BINS - 1) for b in range(1, BINS - 1)):
+                cuts.add(at)
+        edges.append(sorted(cuts))
+    return edges
 
 
 def fit(
@@ -231,39 +280,50 @@ def fit(
     both on the held-out fold of labelled rows, and lets each label, for the other, all unlabelled
     rows it is confident of. What comes to the driver are counts per feature value. A label
     is good when above zero; a document with several labels has the smallest; null labels
-    and keys count as unlabelled. Without labels of both classes all documents score alike.
+    and keys count as unlabelled. Without labels of both classes, held-out rows left aside, all
+    documents score alike.
     """
     edges = measure_edges(features)
     known = labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull())
     known = known.groupBy(key).agg((F.min(label) > 0).cast("int").alias("__y"))
     fold = F.pmod(F.xxhash64(F.col(key)), F.lit(FOLDS)) == 0
-    rows = features.select(key, binned(edges).alias("__bins"), "__meta").join(known, key, "left")
-    rows = stored(
-        rows.select("__bins", "__meta", "__y", (fold & F.col("__y").isNotNull()).alias("__held")),
-        "co-training",
-    )
+    bins = binned(edges).alias("__bins")
+    rows = features.select(key, bins, "__grams", "__meta").join(known, key, "left")
+    held = (fold & F.col("__y").isNotNull()).alias("__held")
+    rows = stored(rows.select("__bins", "__grams", "__meta", "__y", held), "co-training")
     own = F.when(~F.col("__held"), F.col("__y"))
-    sizes = {"__bins": len(MEASURES) * BINS, "__meta": METADATA_VALUES}
+    n_bins = len(MEASURES) * BINS
+    # Every row has one of the first values: a cell of the first measure, or a source.
+    views_of = {"__bins": (n_bins, BINS), "__meta": (METADATA_VALUES, SOURCES + 1)}
+    base = rows.agg(
+        F.sum("__y").alias("good"), F.count("__y").alias("n"),
+        F.sum(own).alias("own_good"), F.count(own).alias("own_n"),
+    ).first()
+    if (base["own_good"] or 0) in (0, base["own_n"]):
+        flat = View([0.0] * n_bins, 0.0), View([0.0] * METADATA_VALUES, 0.0)
+        return CoTrained(edges, *flat, 0.0)
     taught = {"__bins": own, "__meta": own}  # what each view trains on
     views: dict[str, View] = {}
     for _ in range(rounds):
-        for name in sizes:
-            seen = rows.select(taught[name].alias("y"), F.explode(name).alias("value")).filter(
-                "y IS NOT NULL"
+        for name, (size, firsts) in views_of.items():
+            values = F.col(name)
+            if name == "__bins":
+                values = F.concat(values, F.transform("__grams", lambda g: g + n_bins))
+            seen = rows.select(taught[name].alias("y"), values.alias("values")).filter("y IS NOT NULL")
+            seen = seen.select("y", F.explode("values").alias("value")).groupBy("value")
+            found = seen.agg(F.sum("y").alias("good"), F.count("*").alias("n")).collect()
+            counts = {r["value"]: (r["good"], r["n"] - r["good"]) for r in found}
+            good, bad = (sum(c[side] for v, c in counts.items() if v < firsts) for side in (0, 1))
+            words = range(n_bins, n_bins + GRAMS) if name == "__bins" else range(0)
+            views[name] = View(
+                log_odds(counts, range(size), good, bad), math.log(good / bad),
+                words=tuple(log_odds(counts, words, good, bad, WORD_SMOOTHING)),
             )
-            counts = {
-                r["value"]: (float(r["good"]), float(r["n"] - r["good"]))
-                for r in seen.groupBy("value").agg(F.sum("y").alias("good"), F.count("*").alias("n")).collect()
-            }
-            # Every row has one value of the first measure or category.
-            per_row = len(MEASURES) if name == "__bins" else 3
-            good = sum(g for g, _ in counts.values()) / per_row
-            bad = sum(b for _, b in counts.values()) / per_row
-            views[name] = log_odds(counts, sizes[name], good, bad)
         for name, view in views.items():
-            raw = F.round(view.raw(F.col(name)) * STEPS_PER_LOGIT) / STEPS_PER_LOGIT
-            bounded = F.greatest(F.least(raw, F.lit(LOGIT_LIMIT)), F.lit(-LOGIT_LIMIT))
-            held = rows.filter("__held").groupBy(bounded.alias("s")).agg(
+            scored = rows.filter("__held").select("__y", view.raw(F.col(name)).alias("raw"))
+            steps = F.round(F.col("raw") * STEPS_PER_LOGIT) / STEPS_PER_LOGIT
+            bounded = F.greatest(F.least(steps, F.lit(LOGIT_LIMIT)), F.lit(-LOGIT_LIMIT))
+            held = scored.groupBy(bounded.alias("s")).agg(
                 F.sum("__y").alias("good"), F.count("*").alias("n")
             )
             found = sorted((r["s"], r["good"], r["n"]) for r in held.collect())
@@ -274,27 +334,23 @@ def fit(
             chance = 1 / (1 + F.exp(-views[other].logit(F.col(other))))
             guess = F.when(chance >= CONFIDENT, 1).when(chance <= 1 - CONFIDENT, 0)
             taught[name] = F.when(F.col("__y").isNull(), guess).otherwise(own)
-    base = rows.agg(F.sum("__y").alias("good"), F.count("__y").alias("n")).first()
-    good, n = base["good"] or 0, base["n"]
-    if good in (0, n):
-        flat = View([0.0] * sizes["__bins"], 0.0), View([0.0] * sizes["__meta"], 0.0)
-        return CoTrained(edges, *flat, 0.0)
+    good, n = base["good"], base["n"]
     return CoTrained(edges, views["__bins"], views["__meta"], math.log((good + 1) / (n - good + 1)))
 
 
 def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
     """The rows with `p_text, p_meta, score, keep`; columns of these names are replaced.
 
-    A null text counts as empty. Repeated rows get the same score; no row is dropped.
+    A null text counts as empty. Repeated rows get the same score; no row is dropped. A score at the
+    threshold keeps. Each text is measured once: the rows are written with what was seen of them.
     """
-    features = featured(docs)
-    narrow = stored(features.select(key, "__measures", "__meta"), "quality-features")
-    return fit(narrow, labels, key).score(features)
+    rows = stored(featured(docs), "quality-features")
+    return fit(rows, labels, key).score(rows)
 
 
 @query()
 def op4_co_training(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's quality score and verdict."""
     docs = table(spark, sf_dir, "documents")
-    narrow = stored(featured(docs).select("doc_id", "__measures", "__meta"), "quality-features")
+    narrow = stored(featured(docs).select("doc_id", *FEATURES), "quality-features")
     return fit(narrow, table(spark, sf_dir, "labels")).score(narrow)
