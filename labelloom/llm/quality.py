@@ -11,12 +11,14 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from labelloom.llm.common import bound_batches, stored, table, whole
 from labelloom.llm.registry import query
 
 GRAMS = 1 << 15  # hash buckets of the words; words that share one share its weight
+PACKED = np.dtype("<u2")  # of a row's buckets, side by side in a binary value
 BINS = 16  # values of a measure: zero, and ranges cut at quantiles over all documents
 GRID = 16  # cells per doubling of a measure
 OCTAVES = 32  # doublings below and above one that are told apart
@@ -87,12 +89,13 @@ def measured(text: str, buckets: dict[bytes, int]) -> tuple[list[int], list[int]
 def content(text: str) -> Column:
     """`measured` by Arrow batches; a null text counts as empty."""
 
-    @F.pandas_udf("struct<cells array<int>, grams array<int>>")
+    @F.pandas_udf("struct<cells array<int>, grams binary>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             buckets = Buckets()  # as many as a batch has words
             seen = [measured(value, buckets) for value in batch]
-            yield pd.DataFrame({"cells": [c for c, _ in seen], "grams": [g for _, g in seen]})
+            grams = [np.array(g, dtype=PACKED).tobytes() for _, g in seen]
+            yield pd.DataFrame({"cells": [c for c, _ in seen], "grams": grams})
 
     return run(whole(text))
 
@@ -158,7 +161,8 @@ def damped(weights: tuple[float, ...]):
 
     @F.pandas_udf("double")
     def run(rows: pd.Series) -> pd.Series:
-        return pd.Series([known[r].sum() / math.sqrt(max(len(r), 1)) for r in rows], dtype=float)
+        found = (known[np.frombuffer(r, dtype=PACKED)] for r in rows)
+        return pd.Series([f.sum() / math.sqrt(max(len(f), 1)) for f in found], dtype=float)
 
     return run
 
@@ -249,6 +253,11 @@ def calibrated(view: View, scores: np.ndarray, good: np.ndarray, bad: np.ndarray
     return replace(view, slope=float(slope), offset=float(offset))
 
 
+def by_value(counts: DataFrame) -> dict[int, tuple[int, int]]:
+    """Good and bad rows per value, from `value, good, n`: as many as there are values."""
+    return {r["value"]: (r["good"], r["n"] - r["good"]) for r in counts.collect()}
+
+
 def measure_edges(features: DataFrame) -> list[list[int]]:
     """At most BINS - 1 edges per measure: zero, and quantiles of the cells above it.
 
@@ -270,6 +279,19 @@ def measure_edges(features: DataFrame) -> list[list[int]]:
     return edges
 
 
+def word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From `y, __grams`: rows of this task, and good ones, per bucket that they hold."""
+    good, n = np.zeros(GRAMS, dtype=np.int64), np.zeros(GRAMS, dtype=np.int64)
+    for batch in batches:
+        for y, grams in zip(batch.column("y").to_pylist(), batch.column("__grams").to_pylist()):
+            at = np.frombuffer(grams, dtype=PACKED)  # each bucket once
+            n[at] += 1
+            good[at] += y
+    at = np.flatnonzero(n)
+    columns = [pa.array(at.astype(np.int32)), pa.array(good[at]), pa.array(n[at])]
+    yield pa.RecordBatch.from_arrays(columns, ["value", "good", "n"])
+
+
 def fit(
     features: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality",
     rounds: int = ROUNDS,
@@ -306,19 +328,17 @@ def fit(
     views: dict[str, View] = {}
     for _ in range(rounds):
         for name, (size, firsts) in views_of.items():
-            values = F.col(name)
-            if name == "__bins":
-                values = F.concat(values, F.transform("__grams", lambda g: g + n_bins))
-            seen = rows.select(taught[name].alias("y"), values.alias("values")).filter("y IS NOT NULL")
-            seen = seen.select("y", F.explode("values").alias("value")).groupBy("value")
-            found = seen.agg(F.sum("y").alias("good"), F.count("*").alias("n")).collect()
-            counts = {r["value"]: (r["good"], r["n"] - r["good"]) for r in found}
+            seen = rows.withColumn("y", taught[name]).filter("y IS NOT NULL")
+            cells = seen.select("y", F.explode(name).alias("value")).groupBy("value")
+            counts = by_value(cells.agg(F.sum("y").alias("good"), F.count("*").alias("n")))
             good, bad = (sum(c[side] for v, c in counts.items() if v < firsts) for side in (0, 1))
-            words = range(n_bins, n_bins + GRAMS) if name == "__bins" else range(0)
-            views[name] = View(
-                log_odds(counts, range(size), good, bad), math.log(good / bad),
-                words=tuple(log_odds(counts, words, good, bad, WORD_SMOOTHING)),
-            )
+            view = View(log_odds(counts, range(size), good, bad), math.log(good / bad))
+            if name == "__bins":
+                part = seen.select("y", "__grams").mapInArrow(word_counts, "value int, good long, n long")
+                counts = by_value(part.groupBy("value").agg(F.sum("good").alias("good"), F.sum("n").alias("n")))
+                weights = log_odds(counts, range(GRAMS), good, bad, WORD_SMOOTHING)
+                view = replace(view, words=tuple(weights))
+            views[name] = view
         for name, view in views.items():
             scored = rows.filter("__held").select("__y", view.raw(F.col(name)).alias("raw"))
             steps = F.round(F.col("raw") * STEPS_PER_LOGIT) / STEPS_PER_LOGIT
