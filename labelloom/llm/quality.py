@@ -18,7 +18,7 @@ from labelloom.llm.common import bound_batches, stored, table, whole
 from labelloom.llm.registry import query
 
 GRAMS = 1 << 15  # hash buckets of the words; words that share one share its weight
-PACKED = np.dtype("<u2")  # of a row's buckets, side by side in a binary value
+ESCAPE = 255  # a byte of a packed step that goes on in the next one
 BINS = 16  # values of a measure: zero, and ranges cut at quantiles over all documents
 GRID = 16  # cells per doubling of a measure
 OCTAVES = 32  # doublings below and above one that are told apart
@@ -86,6 +86,23 @@ def measured(text: str, buckets: dict[bytes, int]) -> tuple[list[int], list[int]
     return [cell(n) for n in numbers], sorted({buckets[w] for w in distinct})
 
 
+def packed(numbers: list[int]) -> bytes:
+    """Ascending numbers as the steps between them, a step as ESCAPE bytes and its rest.
+
+    Words of a text are many and their steps small, so most take one byte.
+    """
+    whole_steps, rest = np.divmod(np.diff(np.array(numbers, dtype=np.int64), prepend=0), ESCAPE)
+    ends = np.cumsum(whole_steps + 1)
+    out = np.full(int(ends[-1]) if len(ends) else 0, ESCAPE, dtype=np.uint8)
+    out[ends - 1] = rest
+    return out.tobytes()
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    steps = np.frombuffer(raw, dtype=np.uint8)
+    return steps.cumsum(dtype=np.int64)[steps != ESCAPE]
+
+
 def content(text: str) -> Column:
     """`measured` by Arrow batches; a null text counts as empty."""
 
@@ -94,7 +111,7 @@ def content(text: str) -> Column:
         for batch in batches:
             buckets = Buckets()  # as many as a batch has words
             seen = [measured(value, buckets) for value in batch]
-            grams = [np.array(g, dtype=PACKED).tobytes() for _, g in seen]
+            grams = [packed(g) for _, g in seen]
             yield pd.DataFrame({"cells": [c for c, _ in seen], "grams": grams})
 
     return run(whole(text))
@@ -161,7 +178,7 @@ def damped(weights: tuple[float, ...]):
 
     @F.pandas_udf("double")
     def run(rows: pd.Series) -> pd.Series:
-        found = (known[np.frombuffer(r, dtype=PACKED)] for r in rows)
+        found = (known[unpacked(r)] for r in rows)
         return pd.Series([f.sum() / math.sqrt(max(len(f), 1)) for f in found], dtype=float)
 
     return run
@@ -284,7 +301,7 @@ def word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     good, n = np.zeros(GRAMS, dtype=np.int64), np.zeros(GRAMS, dtype=np.int64)
     for batch in batches:
         for y, grams in zip(batch.column("y").to_pylist(), batch.column("__grams").to_pylist()):
-            at = np.frombuffer(grams, dtype=PACKED)  # each bucket once
+            at = unpacked(grams)  # each bucket once
             n[at] += 1
             good[at] += y
     at = np.flatnonzero(n)

@@ -196,3 +196,8 @@ def test_cells_grow_with_the_measure():
     values = [0.0, 1e-12, 0.001, 0.01, 0.5, 0.53125, 0.99, 1.0, 7.5, 40_000.0, 1e12]
     cells = [quality.cell(v) for v in values]
     assert cells == sorted(cells) and cells[0] == 0 and len(set(cells)) == len(cells)
+
+
+@pytest.mark.parametrize("numbers", [[], [0], [254, 255, 509], [1, 2, 32767], [255, 510, 765], [0, 255, 32767]])
+def test_packed_numbers_come_back(numbers):
+    assert quality.unpacked(quality.packed(numbers)).tolist() == numbers
