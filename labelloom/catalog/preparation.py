@@ -67,19 +67,24 @@ def _ranges_of(spark, size):
 
 @query(CSV_ORACLE)
 def csv_scan_ranges(spark, sf_dir):
-    """One file with quoted line breaks, read by many tasks."""
+    """Files with quoted line breaks, each written by one task of the scan and read by many."""
     path = scratch_path(spark, "csv_scan_ranges")
-    tables.csv_sink(i.raw_documents(spark, sf_dir).coalesce(1), path)
+    tables.csv_sink(i.raw_documents(spark, sf_dir), path)
     with _ranges_of(spark, "256k"):
         # Written while the ranges are set, since a scan is cut when it runs.
         return written(_nulls_shown(ranges.csv_scan_ranges(spark, path, RAW_SCHEMA)), "scanned")
 
 
 def _shuffled_file(spark, sf_dir):
-    """Documents in files whose rows are not in key order, with their position in them."""
+    """Documents in files whose rows are not in key order, with their position in them.
+
+    There are as many files as the scan has tasks, so that none holds more as the table grows.
+    """
     path = scratch_path(spark, "shuffled_file")
-    rows = i.documents(spark, sf_dir).withColumn("place", F.md5(F.col("doc_id").cast("string")))
-    parts = rows.repartitionByRange(3, "place").sortWithinPartitions("place").drop("place")
+    documents = i.documents(spark, sf_dir)
+    files = max(3, documents.rdd.getNumPartitions())
+    rows = documents.withColumn("place", F.md5(F.col("doc_id").cast("string")))
+    parts = rows.repartitionByRange(files, "place").sortWithinPartitions("place").drop("place")
     tables.csv_sink(parts, path)
     return ranges.csv_scan_ranges(spark, path, RAW_SCHEMA, position="position")
 

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from labelloom.catalog import preparation
 from labelloom.operators import profile, split
 from labelloom.plans import lookup
 from labelloom.sources import ranges, tables
@@ -112,3 +113,15 @@ def test_repeated_keys_give_n_rows(spark):
     for n in (10, 1000, 1200):
         assert split.head_n(df, "k", n).count() == n
         assert split.sample_n(df, "k", n).count() == n
+
+
+@pytest.mark.parametrize("scan, files", [("csv_scan_ranges", 6), ("_shuffled_file", 6)])
+def test_files_grow_with_the_scan(spark, tmp_path, cut, monkeypatch, scan, files):
+    """No task writes, and no file holds, more as the table grows."""
+    rows = spark.range(600).selectExpr("id AS doc_id", "'a\nb' AS text", "'en' AS lang", "'s' AS source", "3L AS n_chars")
+    rows.repartition(files).write.parquet(str(tmp_path / "documents.parquet"))
+    cut(1 << 20)
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 20))
+    monkeypatch.setattr(preparation, "scratch_path", lambda _, name: str(tmp_path / name.strip("_")))
+    assert getattr(preparation, scan)(spark, str(tmp_path)).count() == 600
+    assert len(list((tmp_path / scan.strip("_")).glob("*.csv"))) >= files
