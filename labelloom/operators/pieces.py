@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import heapq
-import json
+import math
 import sys
+from array import array
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -19,7 +23,9 @@ from labelloom.plans.lookup import literal_table
 BLANK = "▁"
 CHUNKS = f"{BLANK}*[^{BLANK}]+|{BLANK}+"
 
-REMEMBERED = 1 << 16  # chunks that a task remembers at once
+REMEMBERED = 1 << 17  # chunks, and parts of chunks, that a task remembers at once
+SHORT = 64  # characters up to which joins are found by looking at all neighbours
+SLICE = 256  # rows worked on at once; bounds a task's memory
 
 # The codec travels with the job, so executors need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -36,12 +42,43 @@ class Pieces:
     end: int
     filler: int
 
+    @cached_property
+    def inner(self) -> set[str]:
+        """All two characters that are neighbours in a piece."""
+        return {name[i : i + 2] for name in self.scores for i in range(len(name) - 1)}
+
+    def apart(self, chunk: str) -> list[str]:
+        """The chunk, cut between characters that no piece joins, so that joining stays within a part."""
+        cuts = [i for i in range(1, len(chunk)) if chunk[i - 1 : i + 1] not in self.inner]
+        return [chunk[a:b] for a, b in zip([0, *cuts], [*cuts, len(chunk)])]
+
     def merged(self, chunk: str) -> list[int]:
         """Ids of a chunk: neighbours join, best score first, then leftmost, while a piece names them.
 
         The characters are a linked list and the possible joins a heap, so a chunk of n
-        characters takes n log n steps.
+        characters takes n log n steps. For a short one a look at all neighbours per join is quicker.
         """
+        parts = self.merged_short(chunk) if len(chunk) <= SHORT else self.merged_long(chunk)
+        ids: list[int] = []
+        for part in parts:
+            known = self.scores.get(part)
+            ids += [known[1]] if known else [self.byte_ids[b] for b in part.encode()]
+        return ids
+
+    def merged_short(self, chunk: str) -> list[str]:
+        parts, known, none = list(chunk), self.scores.get, (-math.inf, -1)
+        pairs = [known(a + b, none)[0] for a, b in zip(parts, parts[1:])]
+        while pairs and (best := max(pairs)) != -math.inf:
+            i = pairs.index(best)  # the leftmost
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del pairs[i]
+            if i:
+                pairs[i - 1] = known(parts[i - 1] + parts[i], none)[0]
+            if i < len(pairs):
+                pairs[i] = known(parts[i] + parts[i + 1], none)[0]
+        return parts
+
+    def merged_long(self, chunk: str) -> list[str]:
         parts = list(chunk)
         left, right = list(range(-1, len(parts) - 1)), list(range(1, len(parts) + 1))
         heap: list[tuple[float, int, str]] = []
@@ -63,11 +100,7 @@ class Pieces:
                 left[right[j]] = i
             offer(left[i], i)
             offer(i, right[i])
-        ids: list[int] = []
-        for part in filter(None, parts):
-            known = self.scores.get(part)
-            ids += [known[1]] if known else [self.byte_ids[b] for b in part.encode()]
-        return ids
+        return [part for part in parts if part]
 
 
 def read_pieces(path: str) -> Pieces:
@@ -104,27 +137,53 @@ def chunks(text: Column) -> Column:
     return F.when(F.length(text) == 0, F.expr("CAST(array() AS array<string>)")).otherwise(found)
 
 
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, SLICE):
+            yield batch.slice(start, SLICE)
+
+
+def row_ends(lists: pa.ListArray) -> np.ndarray:
+    """Where each row starts among the flattened items, then their number; a null row has none."""
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+    return np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+
+
 def _with_ids(df: DataFrame, column: str, pieces: Pieces) -> DataFrame:
     """The rows, with the array of chunks in `column` replaced by their ids, chunk by chunk."""
     at = df.columns.index(column)
 
     def segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory: dict[str, list[int]] = {}
-        for batch in batches:
-            rows = []
-            for parts in batch.column(at).to_pylist():
-                ids = None if parts is None else []
-                for part in parts or ():
-                    known = memory.get(part)
-                    if known is None:
-                        known = pieces.merged(part)
-                        if len(memory) >= REMEMBERED:
-                            memory.clear()
-                        memory[part] = known
-                    ids += known
-                rows.append(ids)
+        memory: dict[str, bytes] = {}
+        inner: dict[str, bytes] = {}
+
+        def remembered(known: dict[str, bytes], text: str, packed: bytes) -> bytes:
+            if len(known) >= REMEMBERED:
+                known.clear()
+            known[text] = packed
+            return packed
+
+        def packed_ids(part: str) -> bytes:
+            return inner.get(part) or remembered(inner, part, array("i", pieces.merged(part)).tobytes())
+
+        for batch in sliced(batches):
+            lists = batch.column(at)
+            # Each different chunk of the slice is looked up once; its ids are then dealt to its places.
+            coded = lists.flatten().dictionary_encode()
+            known = []
+            for part in coded.dictionary.to_pylist():
+                packed = memory.get(part)
+                if packed is None:
+                    packed = remembered(memory, part, b"".join(map(packed_ids, pieces.apart(part))))
+                known.append(packed)
+            sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+            places = coded.indices.to_numpy()
+            ends = np.concatenate([[0], np.cumsum(sizes[places])])
+            ids = np.frombuffer(b"".join(map(known.__getitem__, places.tolist())), dtype=np.int32)
             values = [*batch.columns]
-            values[at] = pa.array(rows, pa.list_(pa.int32()))
+            values[at] = pa.ListArray.from_arrays(
+                pa.array(ends[row_ends(lists)], pa.int32()), pa.array(ids), mask=lists.is_null()
+            )
             yield pa.RecordBatch.from_arrays(values, names=batch.schema.names)
 
     kind = T.ArrayType(T.IntegerType())
@@ -174,15 +233,32 @@ def decode_pieces(df: DataFrame, key: str, ids: str, pieces: Pieces) -> DataFram
 
     The bytes of all pieces are put together before they are read as UTF-8, so characters
     spelt in bytes come back; of one that was cut in the middle a replacement sign stays. Ids
-    that the vocabulary lacks are left out. All in the JVM.
+    that the vocabulary lacks are left out. Map-only.
     """
-    spelt = [name.replace(BLANK, " ").encode().hex() for name in pieces.names]
+    spelt = [name.replace(BLANK, " ").encode() for name in pieces.names]
     for value, i in enumerate(pieces.byte_ids):
-        spelt[i] = f"{value:02x}"
+        spelt[i] = bytes([value])
     for i in pieces.reserved:
-        spelt[i] = ""
-    table = F.from_json(F.lit(json.dumps(spelt)), "array<string>")
-    known = F.filter(F.col(ids), lambda i: (i >= 0) & (i < len(spelt)))
-    hexes = F.array_join(F.transform(known, lambda i: F.get(table, i)), "")
-    text = F.make_valid_utf8(F.unhex(hexes).cast("string"))
-    return df.select(key, F.regexp_replace(text, "^ ", "").alias("text"))
+        spelt[i] = b""
+    rows = df.select(key, ids)
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = [*spelt, b""]
+        sizes = np.array([len(entry) for entry in table])
+        for batch in sliced(batches):
+            lists = batch.column(1)
+            flat = pc.fill_null(lists.flatten(), -1).to_numpy()
+            # The empty entry at the end stands for what is left out.
+            known = np.where((flat >= 0) & (flat < len(spelt)), flat, len(spelt))
+            joined = b"".join(map(table.__getitem__, known.tolist()))
+            ends = np.concatenate([[0], np.cumsum(sizes[known])])[row_ends(lists)].tolist()
+            null = lists.is_null().to_pylist()
+            texts = [
+                None if gone else joined[a + joined.startswith(b" ", a, b) : b]
+                for gone, a, b in zip(null, ends, ends[1:])
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary())], [key, "text"])
+
+    schema = T.StructType([rows.schema[0], T.StructField("text", T.BinaryType())])
+    text = F.make_valid_utf8(F.col("text").cast("string"))
+    return rows.mapInArrow(spell, schema).select(key, text.alias("text"))

@@ -4,8 +4,10 @@ import random
 from collections import Counter
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
+from pyspark.sql import types as T
 
 from labelloom.operators import pieces
 
@@ -72,3 +74,33 @@ def test_counts(codec, table):
     got = pieces.piece_counts(df, "text", known).collect()
     assert {r.id: r.n for r in got} == want and all(library.id_to_piece(r.id) == r.piece for r in got)
     assert pieces.piece_counts(df.limit(0), "text", known).count() == 0
+
+
+def test_work_follows_different_chunks(codec, monkeypatch):
+    """A chunk that comes many times in a slice is looked up once, and decoding needs no look-up per id in the JVM."""
+    known, _ = codec
+    seen = Counter()
+    monkeypatch.setattr(pieces.Pieces, "merged", lambda self, chunk: seen.update([chunk]) or [5, 6])
+    monkeypatch.setattr(pieces, "REMEMBERED", 1)
+
+    class Frame:
+        """What `_with_ids` asks of a frame."""
+
+        columns, schema = ["ids"], T.StructType([T.StructField("ids", T.ArrayType(T.StringType()))])
+
+        def mapInArrow(self, run, _):
+            rows = [["a", "b", "a"], None, [], ["b", "b", "a"]]
+            batch = pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.string()))], ["ids"])
+            return [b.column(0).to_pylist() for b in run([batch.slice(0), batch.slice(1)])]
+
+    first = [[5, 6] * 3, None, [], [5, 6] * 3]
+    assert pieces._with_ids(Frame(), "ids", known) == [first, first[1:]]
+    assert seen == {"a": 2, "b": 1}
+
+
+def test_decode_of_odd_arrays(spark, codec):
+    known, library = codec
+    ids = library.encode("  two")
+    frame = spark.createDataFrame([(1, None), (2, []), (3, [None, *ids, None]), (4, ids)], "key long, ids array<long>")
+    got = {r.key: r.text for r in pieces.decode_pieces(frame.coalesce(1), "key", "ids", known).collect()}
+    assert got == {1: None, 2: "", 3: "  two", 4: "  two"}
