@@ -24,6 +24,7 @@ PIECE = 512
 # Pieces of one differencing problem: bounds a task's memory, at any number of documents.
 SHARD = 2048
 REMEMBERED = 700_000  # words a worker remembers; bounds memory, not results
+SEEN = 1 << 20  # marks of words' parts that came once; only those that come again are remembered
 LONG = 64  # longer words hardly return
 
 Piece = tuple[int, int, int]  # size, and two numbers that name it
@@ -84,13 +85,19 @@ class Parts(dict):
     def __init__(self, model) -> None:
         super().__init__()
         self.model, self.visible = model, byte_alphabet()
+        self.seen = bytearray(SEEN)
 
     def __missing__(self, part: str) -> bytes:
         shown = part if part.isascii() else "".join(map(self.visible.__getitem__, part.encode()))
         packed = array("I", [token.id for token in self.model.tokenize(shown)]).tobytes()
         if len(part) < LONG:
+            mark = hash(part) % SEEN
+            if not self.seen[mark]:
+                self.seen[mark] = 1
+                return packed
             if len(self) >= REMEMBERED:
                 self.clear()
+                self.seen = bytearray(SEEN)
             self[part] = packed
         return packed
 

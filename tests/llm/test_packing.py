@@ -57,6 +57,18 @@ def test_words_match_the_tokenizer(reference):
         assert ids == reference.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_parts_that_come_once_are_not_remembered(reference, monkeypatch):
+    """A word is remembered itself; its part is worth the memory only if other words have it too."""
+    with open(PATH, encoding="utf-8") as definition:
+        words = packing.Words(definition.read())
+    monkeypatch.setattr(packing, "REMEMBERED", 20)
+    for n in range(300):
+        text = f"the end, q{'abcdefghij'[n % 10]}{'klmnopqrst'[n // 10 % 10]}{'uvw'[n // 100]} word."
+        ids = np.frombuffer(words.encode(text), dtype="<u4").tolist()
+        assert ids == reference.encode(text, add_special_tokens=False).ids
+        assert len(words) <= 20 and len(words.part.__self__) < 10  # marks may be shared by chance
+
+
 def test_frame(spark, reference):
     encoder = packing.word_bpe(spark, PATH)
     got = packing.pack_documents(cases.frame(spark), encoder).collect()
