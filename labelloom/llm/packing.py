@@ -23,7 +23,7 @@ WINDOW = 2048
 PIECE = 512
 # Pieces of one differencing problem: bounds a task's memory, at any number of documents.
 SHARD = 2048
-REMEMBERED = 700_000  # words a worker remembers; bounds memory, not results
+REMEMBERED = 400_000  # words a worker remembers; bounds memory, not results
 SEEN = 1 << 20  # marks of words' parts that came once; only those that come again are remembered
 LONG = 64  # longer words hardly return
 
