@@ -8,22 +8,33 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import xxhash
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from labelloom.llm.common import bound_batches, shuffle_parts, slices, stored, table
-from labelloom.llm.jaccard import WordHash, body_of
+from labelloom.llm.jaccard import body_of
 from labelloom.llm.registry import query
 
 WINDOW = 35  # words of a passage
 ANCHOR = 6  # words of an anchor; every window holds WINDOW - ANCHOR + 1 of them
 SHARD_CHARS = 2_000_000  # of text per shard of passages, and per part of a large shard
 CHUNK_WORDS = 40_000  # for which one automaton is compiled
+PARTS = 3  # word groups that a phrase is spelt in
+SLICE_BYTES = 1 << 20  # of text that are hashed at once, or one text
+LANES = 8  # of eight bytes; longer words are hashed one by one
 SALTS = 16
 BASE = 0x9E3779B97F4A7C15  # of the windows' polynomial; odd, so that it has an inverse
 HOT = 1000  # an anchor with more than this part of all occurrences is salted
 
 
+def mix(values: np.ndarray) -> np.ndarray:
+    """A bijection of 64 bits, in place."""
+    values ^= values >> np.uint64(32)
+    values *= np.uint64(0xD6E8FEB86659FD93)
+    values ^= values >> np.uint64(29)
+    return values
+
+
 def powers(base: int, count: int) -> np.ndarray:
     """`base` to the powers 0 to `count`, modulo 2**64."""
     out = np.full(count + 1, base, dtype=np.uint64)
@@ -40,65 +51,132 @@ def sliding(values: np.ndarray, span: int, pick: np.ufunc) -> np.ndarray:
     return pick(out[:count], out[span - size : span - size + count])
 
 
+class Words:
+    """The words of some texts: where each lies in the texts' bytes, and where each text's words start.
+
+    `at` ends with the number of words. An empty text has one empty word.
+    """
+
+    MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
+
+    def __init__(self, bodies: pa.Array) -> None:
+        self.bodies, bodies = bodies, bodies.cast(pa.large_binary())
+        bounds = np.frombuffer(bodies.buffers()[1], np.int64)[bodies.offset :][: len(bodies) + 1]
+        low, size = int(bounds[0]), int(bounds[-1] - bounds[0])
+        # Eight more bytes, so that eight can be read from any place.
+        self.data = np.zeros(size + 8, dtype=np.uint8)
+        if size:
+            self.data[:size] = np.frombuffer(bodies.buffers()[2], np.uint8, size, low)
+        bounds = bounds - low
+        spaces = np.flatnonzero(self.data[:size] == 32)
+        self.filled = np.diff(bounds) > 0
+        self.at = np.searchsorted(spaces, bounds) + np.arange(len(bounds))
+        last = self.at[1:] - 1
+        inner = np.ones(self.at[-1], dtype=bool)
+        inner[last] = False
+        self.ends = np.empty(self.at[-1], dtype=np.int64)
+        self.ends[inner], self.ends[last] = spaces, bounds[1:]
+        self.starts = np.empty_like(self.ends)
+        self.starts[1:] = self.ends[:-1] + 1
+        self.starts[self.at[:-1]] = bounds[:-1]
+
+    def hashes(self) -> np.ndarray:
+        """Each word's hash, from eight of its bytes after the other."""
+        eight = np.ndarray(len(self.data) - 7, "<u8", self.data, strides=(1,))
+        lengths = self.ends - self.starts
+        out = mix(lengths.astype(np.uint64) * np.uint64(BASE))
+        for k in range(0, 8 * LANES, 8):
+            some = np.flatnonzero(lengths > k)
+            if not len(some):
+                break
+            lane = eight[self.starts[some] + k] & self.MASKS[np.minimum(lengths[some] - k, 8)]
+            out[some] = mix(mix(out[some] ^ lane))
+        for i in np.flatnonzero(lengths > 8 * LANES).tolist():
+            out[i] = xxhash.xxh3_64_intdigest(self.data[self.starts[i] : self.ends[i]])
+        return out
+
+    def inside(self, window: int) -> np.ndarray:
+        """Of the places where a window could start, those whose window lies within one text."""
+        count = max(int(self.at[-1]) - window + 1, 0)
+        left = np.repeat(self.at[1:], np.diff(self.at))[:count] - np.arange(count)
+        return left >= window
+
+    def numbers(self) -> np.ndarray:
+        """A number for each word, equal exactly where the words are."""
+        return pc.split_pattern(self.bodies, " ").flatten().dictionary_encode().indices.to_numpy()
+
+
+def group_numbers(numbers: np.ndarray, width: int) -> np.ndarray:
+    """A number for each `width` words in a row, equal exactly where all of them are; by doubling."""
+    codes, have = numbers.astype(np.int64), 1
+    while have < width and len(codes):
+        ahead = min(have, width - have)
+        pairs = codes[:-ahead] * (int(codes.max()) + 1) + codes[ahead:]
+        # Pairs of numbers are numbered anew, so that they stay small and exact.
+        codes = np.unique(pairs, return_inverse=True)[1].astype(np.int64)
+        have += ahead
+    return codes
+
+
 class Windows:
-    """Hashes of a text's windows, and the anchor of each: the smallest hash of its word groups.
+    """Hashes of windows, and the anchor of each: the smallest hash of its word groups.
 
     Equal windows have equal anchors, so only windows whose anchor recurs can recur. All hashes
-    of one width are differences of running sums of a polynomial in the words' hashes.
+    of one width are differences of running sums of a polynomial in the words' hashes. Texts are
+    taken together; windows that reach from one into the next are left out.
     """
 
     def __init__(self, window: int) -> None:
         self.window, self.anchor = window, min(ANCHOR, window)
         self.up = self.down = np.ones(1, dtype=np.uint64)
-        self.words = WordHash()
 
     def mixed(self, hashes: np.ndarray, width: int) -> np.ndarray:
         size = len(hashes)
+        if size < width:
+            return np.empty(0, dtype=np.uint64)
         if size >= len(self.up):
             self.up, self.down = powers(BASE, 2 * size), powers(pow(BASE, -1, 2**64), 2 * size)
         sums = np.zeros(size + 1, dtype=np.uint64)
         np.cumsum(hashes * self.up[:size], out=sums[1:])
-        total = (sums[width:] - sums[:-width]) * self.down[: size - width + 1]
-        total ^= total >> np.uint64(32)
-        total *= np.uint64(0xD6E8FEB86659FD93)
-        return total ^ (total >> np.uint64(29))
-
-    def coded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Each word's number among the different words, and its hash; each of those is hashed once."""
-        coded = words.dictionary_encode()
-        distinct = map(self.words.__getitem__, coded.dictionary.to_pylist())
-        hashes = np.fromiter(distinct, dtype=np.uint64, count=len(coded.dictionary))
-        numbers = coded.indices.to_numpy()
-        return numbers, hashes[numbers]
+        return mix((sums[width:] - sums[:-width]) * self.down[: size - width + 1])
 
     def groups(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
         """The hash of each word group, the smallest of each window, and the groups in a window."""
         groups, span = self.mixed(hashes, self.anchor), self.window - self.anchor + 1
         return groups, sliding(groups, span, np.minimum), span
 
-    def places(self, hashes: np.ndarray) -> np.ndarray:
-        """The anchors, each as often as it is the smallest at another place."""
-        groups, least, span = self.groups(hashes)
-        around = sliding(np.pad(least, span - 1), span, np.maximum)
-        return groups[around == groups].view(np.int64)
-
-    def anchors(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The anchors in the order of the windows, and the first window of each, then their number."""
-        least = self.groups(hashes)[1]
-        first = np.concatenate([[0], np.flatnonzero(least[1:] != least[:-1]) + 1])
-        return least[first].view(np.int64), np.append(first, len(least))
-
-
-def split_words(bodies: pa.Array) -> tuple[np.ndarray, pa.Array]:
-    """Where each text's words start among all words, then their number, and the words."""
-    parts = pc.split_pattern(bodies, " ")
-    return parts.offsets.to_numpy(), parts.flatten()
-
-
-def runs(flags: np.ndarray) -> list[tuple[int, int]]:
-    """Starts and ends (exclusive) of the runs of true values."""
-    edges = np.flatnonzero(np.diff(np.concatenate([[False], flags, [False]]).astype(np.int8)))
-    return list(zip(edges[::2].tolist(), edges[1::2].tolist()))
+    def places(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """The anchors, each as often as it is the smallest at another place, and their words."""
+        inside = words.inside(self.window)
+        if not inside.any():
+            return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+        groups, least, span = self.groups(words.hashes())
+        around = sliding(np.pad(np.where(inside, least, 0), span - 1), span, np.maximum)
+        found = np.flatnonzero(around == groups)
+        return groups[found].view(np.int64), found
+
+
+def by_bytes(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """The batches, cut to at most SLICE_BYTES of text each, or one text."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column(column)).to_numpy().astype(np.int64))
+        start = 0
+        while start < batch.num_rows:
+            most = SLICE_BYTES + (ends[start - 1] if start else 0)
+            stop = max(int(np.searchsorted(ends, most, "right")), start + 1)
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
+def streams(codes: np.ndarray, step: int) -> tuple[list[str], int]:
+    """The codes from each of the first `step` places on, every `step`-th, in digits; and the digits of each.
+
+    The library looks through a node's edges one after the other, so there are sixteen symbols.
+    """
+    digits = max(-(-int(codes.max(initial=0)).bit_length() // 4), 1)
+    shifts = np.arange(0, 4 * digits, 4)
+    spelt = (codes[:, None] >> shifts & 15).astype(np.uint8) + np.uint8(ord("a"))
+    return [spelt[first::step].tobytes().decode("ascii") for first in range(step)], digits
 
 
 def located(
@@ -107,71 +185,90 @@ def located(
     """`addr, first word, end` of all passages in the segments that are among the recurring ones.
 
     The recurring windows that occur in these segments become the phrases of an
-    Aho-Corasick automaton over words, and every segment streams through it: what is
-    found is equal word for word.
+    Aho-Corasick automaton, and the segments stream through it. A phrase is spelt in a few
+    groups of words, numbered exactly, so that it is short; the segments stream once from
+    each word that a group could start at. What is found is equal word for word.
     """
-    at, words = split_words(pa.array(bodies, pa.string()))
-    numbers, hashes = windows.coded(words)
-    bounds = list(zip(at[:-1].tolist(), at[1:].tolist()))
-    phrases: dict[int, int] = {}
-    for a, b in bounds:
-        if b - a < windows.window or not len(recurring):
-            continue
-        whole = windows.mixed(hashes[a:b], windows.window)
+    words = Words(pa.array(bodies, pa.string()))
+    size, count = windows.window, int(words.at[-1])
+    parts = min(PARTS, size)
+    step = size // parts
+    inside = words.inside(size)
+    phrases = np.empty(0, dtype=np.int64)
+    if len(recurring) and inside.any():
+        whole = windows.mixed(words.hashes(), size)
         near = np.minimum(np.searchsorted(recurring, whole), len(recurring) - 1)
-        same = np.flatnonzero(recurring[near] == whole)
-        phrases.update(zip(whole[same].tolist(), (same + a).tolist()))
-    found: list[tuple[bytes, int, int]] = []
-    if phrases:
-        automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
-        ids = numbers.tolist()
-        for i in phrases.values():
-            automaton.add_word(tuple(ids[i : i + windows.window]))
+        same = np.flatnonzero((recurring[near] == whole) & inside)
+        phrases = same[np.unique(whole[same], return_index=True)[1]]
+    depth = np.zeros(count + 1, dtype=np.int64)
+    if len(phrases):
+        spelt, digits = streams(group_numbers(words.numbers(), size - (parts - 1) * step), step)
+        length = parts * digits
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+        for row, first in zip((phrases // step * digits).tolist(), (phrases % step).tolist()):
+            automaton.add_word(spelt[first][row : row + length])
         automaton.make_automaton()
-        for owner, start, (a, b) in zip(owners, starts, bounds):
-            ends = np.array([end for end, _ in automaton.iter(tuple(ids[a:b]))], dtype=np.int64) + 1
-            if len(ends):
-                depth = np.zeros(b - a + 1, dtype=np.int64)
-                depth[ends - windows.window] += 1  # no two phrases end at one place
-                depth[ends] -= 1
-                found += [(owner, start + i, start + j) for i, j in runs(depth.cumsum()[:-1] > 0)]
-    columns = zip(*found) if found else ([], [], [])
-    kinds = (pa.binary(), pa.int64(), pa.int64())
+        for first, stream in enumerate(spelt):
+            at = np.fromiter((end for end, _ in automaton.iter(stream)), dtype=np.int64) + 1 - length
+            at = at[at % digits == 0] // digits * step + first
+            at = at[inside[at]]
+            depth[at] += 1  # no two phrases start at one place
+            depth[at + size] -= 1
+    # Runs of words that go, cut where a segment ends.
+    gone = np.concatenate([[False], depth[:-1].cumsum() > 0, [False]])
+    bound = np.zeros(count + 1, dtype=bool)
+    bound[words.at] = True
+    begin = np.flatnonzero(gone[1:] & (bound | ~gone[:-1]))
+    end = np.flatnonzero(gone[:-1] & (bound | ~gone[1:]))
+    of = np.searchsorted(words.at, begin, "right") - 1
+    ahead = np.array(starts, dtype=np.int64)[of] - words.at[of]
     return pa.RecordBatch.from_arrays(
-        [pa.array(c, k) for c, k in zip(columns, kinds)], ["addr", "first", "end"]
+        [pa.array(owners, pa.binary()).take(pa.array(of)), pa.array(begin + ahead), pa.array(end + ahead)],
+        ["addr", "first", "end"],
     )
 
 
-def recurring_texts(docs: DataFrame, text: str, window: int) -> DataFrame:
-    """Distinct texts that share an anchor with another place: `addr, body, anchors`.
+def measured_texts(docs: DataFrame, key: str, text: str, window: int) -> DataFrame:
+    """`key, sha, n_words, n_chars, anchors` of every row, with the digest of its words.
 
-    `addr` is half of the SHA-256 of the words. Each anchor has a shard, which comes from the
-    smallest text that holds it, so the passages of one text stay together.
+    The later steps read this again and again, and the texts only once more.
     """
     body = body_of(text)
-    addr = F.unhex(F.substring(F.sha2(body, 256), 1, 32))
-    rows = docs.select(addr.alias("addr"), body.alias("body"))
+    rows = docs.select(F.col(key).alias("key"), F.sha2(body, 256).alias("sha"), body.alias("body"))
+    kinds = T.StructType(rows.schema.fields[:2])
+    kinds.add("n_words", "long").add("n_chars", "long").add("anchors", T.ArrayType(T.LongType()))
 
-    def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = Windows(window)
-        for batch in slices(batches, 256):
-            at, words = split_words(batch.column("body"))
-            hashes = windows.coded(words)[1]
-            values = [
-                windows.places(hashes[a:b]) if b - a >= window else np.empty(0, np.int64)
-                for a, b in zip(at[:-1], at[1:])
-            ]
-            owners = np.repeat(np.arange(len(values)), [len(v) for v in values])
+        for batch in by_bytes(batches, "body"):
+            words = Words(batch.column("body"))
+            anchors, found = windows.places(words)
+            lists = pa.ListArray.from_arrays(np.searchsorted(found, words.at).astype(np.int32), anchors)
+            n_words = np.where(words.filled, np.diff(words.at), 0)
+            n_chars = pc.utf8_length(batch.column("body")).cast(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(values)), batch.column("addr").take(pa.array(owners))],
-                ["anchor", "addr"],
+                [batch.column("key"), batch.column("sha"), pa.array(n_words), n_chars, lists], kinds.names
             )
 
-    # A text with copies counts its anchors more often, which only adds candidates. The
-    # anchors are read twice; kept on disk, they are found once, and again only where one is lost.
-    spots = rows.mapInArrow(anchors, "anchor long, addr binary").persist(StorageLevel.DISK_ONLY)
+    return stored(rows.mapInArrow(measure, kinds), "measured")
+
+
+def addr_of(sha: str | Column) -> Column:
+    return F.unhex(F.substring(sha, 1, 32))
+
+
+def recurring_texts(docs: DataFrame, measured: DataFrame, text: str) -> DataFrame:
+    """Distinct texts that share an anchor with another place: `addr, body, anchors`.
+
+    `addr` is half of the SHA-256 of the words. Each anchor has a shard, which comes from the
+    smallest text that holds it, so the passages of one text stay together.
+    """
+    body = body_of(text)
+    rows = docs.select(addr_of(F.sha2(body, 256)).alias("addr"), body.alias("body"))
+    # A text with copies counts its anchors more often, which only adds candidates.
+    spots = measured.select(F.explode("anchors").alias("anchor"), addr_of("sha").alias("addr"))
     counted = spots.groupBy("anchor").agg(F.count("*").alias("n"), F.min("addr").alias("owner"))
-    total = docs.agg(F.sum(F.length(text))).first()[0] or 0
+    total = measured.agg(F.sum("n_chars")).first()[0] or 0
     shards = max(-(-total // SHARD_CHARS), 1)
     again = stored(
         counted.filter("n > 1").select(
@@ -191,48 +288,46 @@ def recurring_texts(docs: DataFrame, text: str, window: int) -> DataFrame:
         F.collect_set(F.struct("anchor", "shard")).alias("anchors")
     )
     texts = rows.groupBy("addr").agg(F.first("body").alias("body"))
-    try:
-        return stored(texts.join(lists, "addr"), "recurring")
-    finally:
-        spots.unpersist()
+    return stored(texts.join(lists, "addr"), "recurring")
 
 
-def changed_texts(docs: DataFrame, text: str, window: int) -> DataFrame:
+def changed_texts(docs: DataFrame, measured: DataFrame, text: str, window: int) -> DataFrame:
     """`addr, n_removed, kept` of every distinct text that loses words."""
     spark = docs.sparkSession
-    bound_batches(spark)
-    texts = recurring_texts(docs, text, window)
+    texts = recurring_texts(docs, measured, text)
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = Windows(window)
-        for batch in slices(batches, 64):
-            out: list[list] = [[], [], [], [], []]
-            at, words = split_words(batch.column("body"))
-            hashes = windows.coded(words)[1]
-            # Bytes up to the start of each word, with a space after each word of the batch.
-            place = np.concatenate([[0], np.cumsum(pc.binary_length(words).to_numpy().astype(np.int64) + 1)])
-            lists = batch.column("anchors")
-            known = [lists.flatten().field(i).to_numpy() for i in (0, 1)]
-            lists_at = np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy()))
-            bodies = batch.column("body").cast(pa.binary()).to_pylist()
-            for i, (owner, body) in enumerate(zip(batch.column("addr").to_pylist(), bodies)):
-                low, high = at[i], at[i + 1]
-                mine = slice(lists_at[i], lists_at[i + 1])
-                shard_of = dict(zip(known[0][mine].tolist(), known[1][mine].tolist()))
-                anchors, first = windows.anchors(hashes[low:high])
-                shards = np.array([shard_of.get(anchor, -1) for anchor in anchors.tolist()])
-                turns = np.concatenate([[0], np.flatnonzero(np.diff(shards)) + 1])
-                ends = first[np.concatenate([turns[1:], [len(shards)]])]
-                whole = windows.mixed(hashes[low:high], window).view(np.int64)
-                byte = place[low : high + 1] - place[low]
-                for shard, a, b in zip(shards[turns].tolist(), first[turns].tolist(), ends.tolist()):
-                    if shard >= 0:
-                        piece = body[byte[a] : byte[b + window - 1] - 1]
-                        for column, value in zip(out, [shard, owner, a, piece, whole[a:b]]):
-                            column.append(value)
-            kinds = [pa.int32(), pa.binary(), pa.int64(), pa.string(), pa.list_(pa.int64())]
+        for batch in by_bytes(batches, "body"):
+            words = Words(batch.column("body"))
+            starts = np.flatnonzero(words.inside(window))
+            if not len(starts):
+                continue
+            hashes = words.hashes()
+            # Runs of windows with one anchor; an anchor has one shard, or none if it comes once.
+            least = windows.groups(hashes)[1][starts].view(np.int64)
+            owners = np.searchsorted(words.at, starts, "right") - 1
+            first = np.append(0, np.flatnonzero(np.diff(least) | np.diff(owners)) + 1)
+            known, shard_of = (batch.column("anchors").flatten().field(i).to_numpy() for i in (0, 1))
+            known, places = np.unique(known, return_index=True)
+            near = np.minimum(np.searchsorted(known, least[first]), len(known) - 1)
+            shards = np.where(known[near] == least[first], shard_of[places][near], -1)
+            # Runs of these that go to one shard.
+            turns = np.append(0, np.flatnonzero(np.diff(shards) | np.diff(owners[first])) + 1)
+            shards, first = shards[turns], first[turns]
+            counts = np.diff(np.append(first, len(starts)))
+            whole = windows.mixed(hashes, window)[starts].view(np.int64)[np.repeat(shards >= 0, counts)]
+            shards, first, counts = (x[shards >= 0] for x in (shards, first, counts))
+            lists = pa.ListArray.from_arrays(np.append(0, np.cumsum(counts)).astype(np.int32), whole)
+            a, owners = starts[first], owners[first]
+            ends = words.ends[a + counts + window - 2].tolist()
+            data = words.data.tobytes()
+            pieces = [data[i:j] for i, j in zip(words.starts[a].tolist(), ends)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(out, kinds)],
+                [
+                    pa.array(shards, pa.int32()), batch.column("addr").take(pa.array(owners)),
+                    pa.array(a - words.at[owners]), pa.array(pieces, pa.binary()).cast(pa.string()), lists,
+                ],
                 ["shard", "addr", "start", "body", "windows"],
             )
 
@@ -258,12 +353,14 @@ def changed_texts(docs: DataFrame, text: str, window: int) -> DataFrame:
 
     def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = Windows(window)
-        place, known, waiting, size = None, [], [], 0
+        place, known, waiting, size, sorted_windows = None, [], [], 0, None
 
         def closed() -> Iterator[pa.RecordBatch]:
+            nonlocal sorted_windows
             if waiting:
-                values = np.concatenate([np.empty(0, np.int64), *known]).view(np.uint64)
-                yield located(*zip(*waiting), np.sort(values), windows)
+                if sorted_windows is None:
+                    sorted_windows = np.sort(np.concatenate([np.empty(0, np.uint64), *known]))
+                yield located(*zip(*waiting), sorted_windows, windows)
 
         for batch in slices(batches, 2048):
             shards, parts = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("shard", "part"))
@@ -273,9 +370,11 @@ def changed_texts(docs: DataFrame, text: str, window: int) -> DataFrame:
                 if (shards[a], parts[a]) != place:
                     yield from closed()
                     place, known, waiting, size = (shards[a], parts[a]), [], [], 0
+                    sorted_windows = None
                 # Within a part all windows come before the texts.
                 ahead = rows.column("addr").null_count
-                known.append(rows.column("window").slice(0, ahead).to_numpy(zero_copy_only=False))
+                if ahead:
+                    known.append(rows.column("window").slice(0, ahead).to_numpy().view(np.uint64))
                 texts = [rows.column(c).slice(ahead).to_pylist() for c in ("addr", "start", "body")]
                 for owner, start, body in zip(*texts):
                     waiting.append((owner, start, body))
@@ -326,21 +425,23 @@ def remove_repeats(
     An empty table gives no rows; null keys and other columns don't matter.
 
     Windows are judged by 64-bit hashes within a shard, then found again word by word. Texts are
-    shuffled once, and those that share an anchor once more; the rest moves in passages.
+    read twice (three times without `digests`) and shuffled once, those that share an anchor
+    once more; the rest moves in passages.
     """
-    body = body_of(text)
-    sha = F.sha2(body, 256)
-    n_words = F.when(body == "", 0).otherwise(F.size(F.split(body, " "))).cast("long")
-    rows = docs.select(F.col(key).alias("key"), sha.alias("sha"), n_words.alias("n_words"), *(
-        [] if digests else [body.alias("body")]
-    ))
+    bound_batches(docs.sparkSession)
+    measured = measured_texts(docs, key, text, window)
+    if digests:
+        rows = measured.select("key", "sha", "n_words")
+    else:
+        body = body_of(text)
+        n_words = F.when(body == "", 0).otherwise(F.size(F.split(body, " "))).cast("long")
+        rows = docs.select(
+            F.col(key).alias("key"), F.sha2(body, 256).alias("sha"), n_words.alias("n_words"), body.alias("body")
+        )
     rows = rows.withColumns(
-        {
-            "addr": F.unhex(F.substring("sha", 1, 32)),
-            "salt": F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int"),
-        }
+        {"addr": addr_of("sha"), "salt": F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")}
     )
-    changed = changed_texts(docs, text, window)
+    changed = changed_texts(docs, measured, text, window)
     if digests:
         changed = changed.select("addr", "n_removed", F.sha2("kept", 256).alias("after"))
     else:

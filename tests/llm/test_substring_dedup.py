@@ -4,8 +4,10 @@ from collections import Counter
 
 import cases
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from labelloom.llm import substring_dedup
 from labelloom.llm.substring_dedup import Windows, remove_repeats, sliding
 
 
@@ -52,3 +54,51 @@ def test_equal_windows_have_equal_hashes():
     for ahead in (0, 1, 1000, 70_000):
         text = np.concatenate([draw.integers(0, 2**63, ahead, dtype=np.uint64), passage])
         assert windows.mixed(text, 35)[-1] == windows.mixed(passage, 35)[0]
+
+
+def text_digests(df):
+    return df._jdf.queryExecution().toString().count("sha2(trim(regexp_replace(")
+
+
+def test_digests_come_from_one_pass(spark):
+    got = remove_repeats(cases.frame(spark), digests=True)
+    assert text_digests(got) == 0
+    assert got.select("doc_id").count() == len(cases.rows())
+
+
+@pytest.mark.parametrize("window", [2, 11])
+def test_windows_of_other_sizes(spark, window):
+    got = remove_repeats(cases.frame(spark), window=window)
+    assert Counter(tuple(r) for r in got.collect()) == expected(cases.rows(), window)
+
+
+def test_no_window_reaches_into_the_next_text(spark):
+    parts = cases.words(20, 70).split(" ")
+    cut = [parts[:20], parts[20:35], parts[35:60], parts[60:]]
+    rows = [(i, " ".join(w)) for i, w in enumerate([*cut, parts[:34] + parts[35:], parts])]
+    rows += [(10, " ".join(parts[30:] + ["end"])), (11, " ".join(["begin"] + parts[:40]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = remove_repeats(df)
+    assert Counter(tuple(r) for r in got.collect()) == expected(rows, 35)
+
+
+TEXTS = ["", "a", "a\0 a\0\0 a", "漢字 Ünïcode 🙂", "", "x" * 64 + " " + "x" * 65, "12345678 123456789 1234567812345678", "a"]
+
+
+@pytest.mark.parametrize("low", [0, 1, 3])
+def test_words_and_their_hashes(low):
+    words = substring_dedup.Words(pa.array(TEXTS).slice(low))
+    want = [w.encode() for t in TEXTS[low:] for w in t.split(" ")]
+    got = [words.data[a:b].tobytes() for a, b in zip(words.starts, words.ends)]
+    assert got == want and np.diff(words.at).tolist() == [t.count(" ") + 1 for t in TEXTS[low:]]
+    hashes = words.hashes().tolist()
+    assert len(set(zip(want, hashes))) == len(set(want)) == len(set(hashes))
+
+
+@pytest.mark.parametrize("width", [1, 2, 3, 7, 13])
+def test_group_numbers(width):
+    numbers = np.random.default_rng(3).integers(0, 3, 400)
+    groups = [tuple(numbers[i : i + width]) for i in range(400 - width + 1)]
+    codes = substring_dedup.group_numbers(numbers, width).tolist()
+    assert len(codes) == len(groups)
+    assert len(set(zip(groups, codes))) == len(set(groups)) == len(set(codes))
